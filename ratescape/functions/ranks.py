@@ -25,16 +25,24 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
 
+NO_VALUE = -(2**62)
+
+
 def _bucket(value: Column) -> Column:
-    """Monotone coarse bucket on a log scale; null for null."""
+    """Monotone coarse bucket on a log scale; ``NO_VALUE`` for null.
+
+    Never null, so no branch of a plan gets a null filter of its own and all
+    branches keep sharing one shuffle of the counts.
+    """
     scaled = F.floor(F.log2(F.lit(1.0) + F.abs(value)) * F.lit(float(BUCKETS_PER_OCTAVE)))
     largest = F.lit(2**40)
-    return (
+    bucket = (
         F.when(F.isnan(value) | (value == float("inf")), largest)
         .when(value == float("-inf"), -largest)
         .when(value >= 0, scaled)
         .otherwise(-scaled)
     )
+    return F.coalesce(bucket, F.lit(NO_VALUE))
 
 
 def rank_statistics(
@@ -50,38 +58,40 @@ def rank_statistics(
     names = list(ranks)
     group = F.struct(*keys) if keys else F.lit(0)
     base = counts.select(
-        group.alias("_group"), F.col(value).cast("double").alias("_value"), "n"
-    ).withColumn("_bucket", _bucket(F.col("_value")))
-
-    buckets = base.groupBy("_group", "_bucket").agg(
-        F.sum("n").alias("_rows"),
-        F.min("_value").alias("_min"),
-        F.max("_value").alias("_max"),
-        F.sum(F.col("_value") * F.col("n")).alias("_sum"),
+        group.alias("_group"),
+        F.col(value).cast("double").alias("_value"),
+        F.col("n").alias("_n"),
+        _bucket(F.col(value).cast("double")).alias("_bucket"),
     )
 
     # Which bucket of a group holds which rank: a running sum over bucket
     # totals, whose number per group is bounded by the log scale.
     by_group = Window.partitionBy("_group")
     upto = by_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = F.when(F.col("_bucket") != NO_VALUE, F.col("_rows")).otherwise(0)
     placed = (
-        buckets.filter(F.col("_bucket").isNotNull())
-        .select(
-            "_group",
-            "_bucket",
-            (F.sum("_rows").over(upto) - F.col("_rows")).alias("_start"),
-            F.sum("_rows").over(upto).alias("_end"),
-            F.sum("_rows").over(by_group).alias("_total"),
+        base.groupBy("_group", "_bucket")
+        .agg(
+            F.sum("_n").alias("_rows"),
+            F.min("_value").alias("_min"),
+            F.max("_value").alias("_max"),
+            F.sum(F.col("_value") * F.col("_n")).alias("_sum"),
         )
         .select(
             "_group",
             "_bucket",
-            "_start",
-            "_end",
-            *[ranks[name](F.col("_total")).cast("long").alias(f"_at_{name}") for name in names],
+            F.sum(filled).over(upto).alias("_end"),
+            (F.sum(filled).over(upto) - filled).alias("_start"),
+            F.sum("_rows").over(by_group).alias("row_count"),
+            F.sum(filled).over(by_group).alias("value_count"),
+            F.min("_min").over(by_group).alias("min_value"),
+            F.max("_max").over(by_group).alias("max_value"),
+            F.sum("_sum").over(by_group).alias("sum_value"),
         )
+        .withColumns({f"_at_{n}": ranks[n](F.col("value_count")).cast("long") for n in names})
     )
-    wanted = F.lit(False)
+    # A group without any value keeps one bucket, so that it stays in the result.
+    wanted = F.col("value_count") == 0
     for name in names:
         wanted = wanted | _holds(name)
     hits = placed.filter(wanted).drop("_end")
@@ -92,27 +102,18 @@ def rank_statistics(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     picked = (
-        base.filter(F.col("_bucket").isNotNull())
-        .join(hits, ["_group", "_bucket"])
-        .withColumn("_end", F.col("_start") + F.sum("n").over(within))
-        .withColumn("_start", F.col("_end") - F.col("n"))
-        .groupBy("_group")
-        .agg(*[F.max(F.when(_holds(name), F.col("_value"))).alias(name) for name in names])
+        base.join(hits, ["_group", "_bucket"])
+        .withColumn("_end", F.col("_start") + F.sum("_n").over(within))
+        .withColumn("_start", F.col("_end") - F.col("_n"))
     )
-
-    both = buckets.drop("_bucket").unionByName(picked, allowMissingColumns=True)
-    grouped = both.groupBy("_group") if keys else both
-    result = grouped.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("_min").isNotNull(), F.col("_rows"))), F.lit(0)).alias("value_count"),
-        F.min("_min").alias("min_value"),
-        F.max("_max").alias("max_value"),
-        F.sum("_sum").alias("sum_value"),
-        *[F.max(name).alias(name) for name in names],
+    totals = ["row_count", "value_count", "min_value", "max_value", "sum_value"]
+    result = (picked.groupBy("_group") if keys else picked).agg(
+        F.coalesce(F.max("row_count"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.max("value_count"), F.lit(0)).alias("value_count"),
+        *[F.max(name).alias(name) for name in totals[2:]],
+        *[F.max(F.when(_holds(name), F.col("_value"))).alias(name) for name in names],
     )
-    unpacked = [F.col("_group")[key].alias(key) for key in keys]
-    statistics = ["row_count", "value_count", "min_value", "max_value", "sum_value", *names]
-    return result.select(*unpacked, *statistics)
+    return result.select(*[F.col("_group")[key].alias(key) for key in keys], *totals, *names)
 
 
 def _holds(name: str) -> Column:

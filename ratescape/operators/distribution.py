@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ratescape.functions.columns import round_cents
 from ratescape.functions.ranks import quantile_statistics, rank_statistics
 from ratescape.operators.providers import MEDIAN, benchmark_rates, by_provider, keep_providers
+from ratescape.session import materialize
 
 # Medians above this multiple of the middle one are left out,
 # and the number of histogram bins is capped.
@@ -33,9 +34,18 @@ def npi_median(
     )
 
 
-def trimmed_counts(medians: DataFrame) -> DataFrame:
-    """(median_rate, n) of the medians up to four times the upper median."""
+def median_counts(medians: DataFrame) -> DataFrame:
+    """Stored (median_rate, n) of per-provider medians.
+
+    All later steps of a distribution work on these distinct values, so the
+    rate table is read once.
+    """
     counts = medians.groupBy("median_rate").agg(F.count(F.lit(1)).alias("n"))
+    return materialize(counts, "median-counts")
+
+
+def trimmed_counts(counts: DataFrame) -> DataFrame:
+    """The medians up to four times the upper median."""
     middle = rank_statistics(
         counts, [], "median_rate", {"middle": lambda total: F.floor(total / F.lit(2))}
     ).select("middle")
@@ -104,7 +114,7 @@ def rate_distribution(
 ) -> tuple[DataFrame, DataFrame]:
     """(statistics, histogram bins) of one code's per-provider medians."""
     medians = npi_median(rates, registry, cpt, modifier, payer, provider_filter)
-    trimmed = trimmed_counts(medians)
+    trimmed = trimmed_counts(median_counts(medians))
     return distribution_stats(trimmed), distribution_bins(trimmed)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,3 +43,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="ratescape-")
         base = _LOCAL_SCRATCH[app]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For results that several later steps use: they start from the stored rows
+    instead of repeating the work, also after executors are lost.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -35,7 +35,7 @@ ENTRY_COLUMNS = ("source_file_url", *HEADER_FIELDS, "item_ord", *ITEM_FIELDS, "r
 class RateFiles:
     """Tables of a set of rate files, keyed by ``source_file_url``.
 
-    * headers: the four header fields, one row per readable file;
+    * headers: the four header fields, one row per file;
     * items: (item_ord, billing_code) of every in-network item;
     * entries: one row per negotiated rate of a profile code, with header and
       item fields; groups, reference ids and prices stay nested;
@@ -83,7 +83,7 @@ def split_docs(docs: DataFrame, profile: CodeProfile) -> RateFiles:
     ).select("source_file_url", "ord", "reference.*")
     broken = F.col("_corrupt_record").isNotNull()
     return RateFiles(
-        headers=docs.filter(~broken).select("source_file_url", *HEADER_FIELDS),
+        headers=docs.select("source_file_url", *HEADER_FIELDS),
         items=items.select(
             "source_file_url", "item_ord", F.col("item.billing_code").alias("billing_code")
         ),
@@ -92,7 +92,10 @@ def split_docs(docs: DataFrame, profile: CodeProfile) -> RateFiles:
         errors=docs.filter(broken).select(
             "source_file_url",
             F.lit("ValueError").alias("error_type"),
-            F.lit("the document does not match the rate-file schema").alias("error"),
+            F.concat(
+                F.lit("not a valid rate document; payer: "),
+                F.coalesce("reporting_entity_name", F.lit("unknown")),
+            ).alias("error"),
         ),
     )
 

@@ -623,7 +623,9 @@ QUERIES: dict[str, Query] = {
     "plan_rates_median": _with_registry(lambda r, n: prov.plan_rates_median(r, n, CPT)),
     "plan_rates": _with_registry(_plan_rates),
     "rate_distribution": _with_registry(
-        lambda r, n: dist.trimmed_counts(dist.npi_median(r, n, CPT, "HM", TEXAS, "excl_phys"))
+        lambda r, n: dist.trimmed_counts(
+            dist.median_counts(dist.npi_median(r, n, CPT, "HM", TEXAS, "excl_phys"))
+        )
     ),
     "rate_distribution_stats": _with_registry(lambda r, n: dist.rate_distribution(r, n, CPT)[0]),
     "rate_distribution_bins": _with_registry(lambda r, n: dist.rate_distribution(r, n, CPT)[1]),
