@@ -68,14 +68,15 @@ def provider_name(organization: Column, first: Column, last: Column) -> Column:
     return F.coalesce(organization, F.concat_ws(" ", first, last))
 
 
-def taxonomy_label(
-    code: Column, labels: Sequence[tuple[str, str]] = ref.TAXONOMY_LABELS
-) -> Column:
-    """Label of the first matching prefix; else the first ten characters."""
-    label = F.coalesce(F.substring(code, 1, 10), F.lit(""))
-    for prefix, text in reversed(labels):
-        label = F.when(code.startswith(prefix), F.lit(text)).otherwise(label)
-    return label
+def taxonomy_label(code: str, labels: Sequence[tuple[str, str]] = ref.TAXONOMY_LABELS) -> Column:
+    """Label of the first matching prefix of column ``code``.
+
+    Without a match the first ten characters stand in; null becomes ''.
+    """
+    cases = " ".join(
+        f"WHEN startswith({code}, {quoted(prefix)}) THEN {quoted(label)}" for prefix, label in labels
+    )
+    return F.expr(f"CASE WHEN {code} IS NULL THEN '' {cases} ELSE substring({code}, 1, 10) END")
 
 
 def is_behavior_analyst(taxonomy: Column) -> Column:
@@ -124,10 +125,15 @@ def primary_taxonomy(codes: Sequence[Column], switches: Sequence[Column]) -> Col
     return F.coalesce(*flagged, *[filled(c) for c in codes])
 
 
+def quoted(text: str) -> str:
+    """Text as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def lookup(values: Mapping[str, str], key: Column) -> Column:
     """Value of a small fixed mapping; null where the key is missing."""
-    entries = [F.lit(x) for pair in values.items() for x in pair]
-    return F.try_element_at(F.create_map(*entries), key)
+    entries = ", ".join(quoted(x) for pair in values.items() for x in pair)
+    return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
 def url_path(url: Column) -> Column:

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratescape.functions.columns import lookup
 from ratescape.schemas import CLASSIFICATION_COLUMNS
 
 
@@ -58,8 +59,7 @@ class CodeProfile:
             if not by_code:
                 columns[name] = F.lit(None).cast("string")
                 continue
-            lookup = F.create_map(*[F.lit(x) for pair in by_code.items() for x in pair])
-            columns[name] = F.try_element_at(lookup, code)
+            columns[name] = lookup(by_code, code)
         return columns
 
 

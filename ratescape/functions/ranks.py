@@ -10,14 +10,22 @@ ordered. The work per task is bounded by one bucket of one group.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS_PER_OCTAVE = 256
+NO_VALUE = -(2**62)
 
-Rank = Callable[[Column], Column]
+# Monotone coarse bucket on a log scale; NO_VALUE for null. Never null, so no
+# branch of a plan gets a null filter of its own and all branches keep sharing
+# one shuffle of the counts.
+_BUCKET = f"""coalesce(
+    CASE WHEN isnan(_value) OR _value = double('Infinity') THEN {2**40}L
+         WHEN _value = double('-Infinity') THEN -{2**40}L
+         ELSE sign(_value) * floor(log2(1.0D + abs(_value)) * {BUCKETS_PER_OCTAVE}.0D) END,
+    {NO_VALUE}L)"""
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -25,118 +33,96 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-NO_VALUE = -(2**62)
-
-
-def _bucket(value: Column) -> Column:
-    """Monotone coarse bucket on a log scale; ``NO_VALUE`` for null.
-
-    Never null, so no branch of a plan gets a null filter of its own and all
-    branches keep sharing one shuffle of the counts.
-    """
-    scaled = F.floor(F.log2(F.lit(1.0) + F.abs(value)) * F.lit(float(BUCKETS_PER_OCTAVE)))
-    largest = F.lit(2**40)
-    bucket = (
-        F.when(F.isnan(value) | (value == float("inf")), largest)
-        .when(value == float("-inf"), -largest)
-        .when(value >= 0, scaled)
-        .otherwise(-scaled)
-    )
-    return F.coalesce(bucket, F.lit(NO_VALUE))
-
-
 def rank_statistics(
-    counts: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Rank]
+    counts: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, str]
 ) -> DataFrame:
     """Order statistics per group from a ``value_counts`` table.
 
-    ``ranks`` maps a column name to a function from the number of non-null
-    values to a 0-based rank. The result has the keys, ``row_count`` (nulls
-    included), ``value_count``, ``min_value``, ``max_value``, ``sum_value`` and
-    one column per rank. Without keys there is always exactly one row.
+    ``ranks`` maps a column name to a SQL expression for a 0-based rank in
+    terms of ``value_count``, the number of non-null values. The result has the
+    keys, ``row_count`` (nulls included), ``value_count``, ``min_value``,
+    ``max_value``, ``sum_value`` and one column per rank. Without keys there is
+    always exactly one row.
     """
-    names = list(ranks)
-    group = F.struct(*keys) if keys else F.lit(0)
-    base = counts.select(
-        group.alias("_group"),
-        F.col(value).cast("double").alias("_value"),
-        F.col("n").alias("_n"),
-        _bucket(F.col(value).cast("double")).alias("_bucket"),
-    )
+    group = f"struct({', '.join(f'`{k}`' for k in keys)})" if keys else "0"
+    base = counts.selectExpr(
+        f"{group} AS _group", f"CAST(`{value}` AS double) AS _value", "n AS _n"
+    ).selectExpr("*", f"{_BUCKET} AS _bucket")
 
     # Which bucket of a group holds which rank: a running sum over bucket
     # totals, whose number per group is bounded by the log scale.
-    by_group = Window.partitionBy("_group")
-    upto = by_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = F.when(F.col("_bucket") != NO_VALUE, F.col("_rows")).otherwise(0)
+    filled = f"CASE WHEN _bucket <> {NO_VALUE}L THEN _rows ELSE 0L END"
+    in_group = "OVER (PARTITION BY _group)"
+    upto = "OVER (PARTITION BY _group ORDER BY _bucket ROWS UNBOUNDED PRECEDING)"
     placed = (
         base.groupBy("_group", "_bucket")
         .agg(
-            F.sum("_n").alias("_rows"),
-            F.min("_value").alias("_min"),
-            F.max("_value").alias("_max"),
-            F.sum(F.col("_value") * F.col("_n")).alias("_sum"),
+            F.expr("sum(_n) AS _rows"),
+            F.expr("min(_value) AS _min"),
+            F.expr("max(_value) AS _max"),
+            F.expr("sum(_value * _n) AS _sum"),
         )
-        .select(
+        .selectExpr(
             "_group",
             "_bucket",
-            F.sum(filled).over(upto).alias("_end"),
-            (F.sum(filled).over(upto) - filled).alias("_start"),
-            F.sum("_rows").over(by_group).alias("row_count"),
-            F.sum(filled).over(by_group).alias("value_count"),
-            F.min("_min").over(by_group).alias("min_value"),
-            F.max("_max").over(by_group).alias("max_value"),
-            F.sum("_sum").over(by_group).alias("sum_value"),
+            f"sum({filled}) {upto} AS _end",
+            f"sum({filled}) {upto} - {filled} AS _start",
+            f"sum(_rows) {in_group} AS row_count",
+            f"sum({filled}) {in_group} AS value_count",
+            f"min(_min) {in_group} AS min_value",
+            f"max(_max) {in_group} AS max_value",
+            f"sum(_sum) {in_group} AS sum_value",
         )
-        .withColumns({f"_at_{n}": ranks[n](F.col("value_count")).cast("long") for n in names})
+        .selectExpr("*", *[f"CAST({rank} AS bigint) AS `_at_{name}`" for name, rank in ranks.items()])
     )
     # A group without any value keeps one bucket, so that it stays in the result.
-    wanted = F.col("value_count") == 0
-    for name in names:
-        wanted = wanted | _holds(name)
-    hits = placed.filter(wanted).drop("_end")
-
-    within = (
-        Window.partitionBy("_group", "_bucket")
-        .orderBy("_value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    wanted = ["value_count = 0", *[_holds(name) for name in ranks]]
+    hits = placed.filter(" OR ".join(wanted)).drop("_end")
+
     picked = (
         base.join(hits, ["_group", "_bucket"])
-        .withColumn("_end", F.col("_start") + F.sum("_n").over(within))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
+        .selectExpr(
+            "* EXCEPT (_start)",
+            "_start + sum(_n) OVER (PARTITION BY _group, _bucket ORDER BY _value"
+            " ROWS UNBOUNDED PRECEDING) AS _end",
+        )
+        .selectExpr("*", "_end - _n AS _start")
     )
-    totals = ["row_count", "value_count", "min_value", "max_value", "sum_value"]
     result = (picked.groupBy("_group") if keys else picked).agg(
-        F.coalesce(F.max("row_count"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.max("value_count"), F.lit(0)).alias("value_count"),
-        *[F.max(name).alias(name) for name in totals[2:]],
-        *[F.max(F.when(_holds(name), F.col("_value"))).alias(name) for name in names],
+        F.expr("coalesce(max(row_count), 0L) AS row_count"),
+        F.expr("coalesce(max(value_count), 0L) AS value_count"),
+        F.expr("max(min_value) AS min_value"),
+        F.expr("max(max_value) AS max_value"),
+        F.expr("max(sum_value) AS sum_value"),
+        *[F.expr(f"max(CASE WHEN {_holds(name)} THEN _value END) AS `{name}`") for name in ranks],
     )
-    return result.select(*[F.col("_group")[key].alias(key) for key in keys], *totals, *names)
+    unpacked = [f"_group.`{key}` AS `{key}`" for key in keys]
+    return result.selectExpr(*unpacked, "* EXCEPT (_group)") if keys else result
 
 
-def _holds(name: str) -> Column:
-    at = F.col(f"_at_{name}")
-    return (at >= F.col("_start")) & (at < F.col("_end"))
+def _holds(name: str) -> str:
+    return f"(`_at_{name}` >= _start AND `_at_{name}` < _end)"
 
 
 def quantile_statistics(
     counts: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]
 ) -> DataFrame:
     """``rank_statistics`` with linearly interpolated quantiles and the mean."""
-    ranks: dict[str, Rank] = {}
-    for name, p in quantiles.items():
-        ranks[f"{name}__low"] = lambda total, p=p: F.floor((total - 1) * F.lit(p))
-        ranks[f"{name}__high"] = lambda total, p=p: F.ceil((total - 1) * F.lit(p))
-    stats = rank_statistics(counts, keys, value, ranks)
-
-    columns = [*keys, "row_count", "value_count", "min_value", "max_value", "sum_value"]
+    ranks = {}
     interpolated = []
     for name, p in quantiles.items():
-        position = (F.col("value_count") - 1) * F.lit(p)
-        share = position - F.floor(position)
-        low, high = F.col(f"{name}__low"), F.col(f"{name}__high")
-        interpolated.append((low * (F.lit(1.0) - share) + high * share).alias(name))
-    mean = F.try_divide(F.col("sum_value"), F.col("value_count")).alias("mean_value")
-    return stats.select(*columns, mean, *interpolated)
+        position = f"(value_count - 1) * {p}D"
+        ranks[f"{name}__low"] = f"floor({position})"
+        ranks[f"{name}__high"] = f"ceil({position})"
+        share = f"({position} - floor({position}))"
+        interpolated.append(f"{name}__low * (1.0D - {share}) + {name}__high * {share} AS {name}")
+    return rank_statistics(counts, keys, value, ranks).selectExpr(
+        *[f"`{key}`" for key in keys],
+        "row_count",
+        "value_count",
+        "min_value",
+        "max_value",
+        "sum_value",
+        "try_divide(sum_value, value_count) AS mean_value",
+        *interpolated,
+    )

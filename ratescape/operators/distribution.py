@@ -47,7 +47,7 @@ def median_counts(medians: DataFrame) -> DataFrame:
 def trimmed_counts(counts: DataFrame) -> DataFrame:
     """The medians up to four times the upper median."""
     middle = rank_statistics(
-        counts, [], "median_rate", {"middle": lambda total: F.floor(total / F.lit(2))}
+        counts, [], "median_rate", {"middle": "value_count div 2"}
     ).select("middle")
     return counts.filter(F.col("median_rate") <= F.lit(float(TRIM_FACTOR)) * middle.scalar())
 
@@ -59,10 +59,10 @@ def distribution_stats(trimmed: DataFrame) -> DataFrame:
         [],
         "median_rate",
         {
-            "p25": lambda total: F.floor(total / F.lit(4)),
-            "median": lambda total: F.floor(total / F.lit(2)),
-            "p75": lambda total: F.floor(total * F.lit(3) / F.lit(4)),
-            "p90": lambda total: F.floor(total * F.lit(0.9)),
+            "p25": "value_count div 4",
+            "median": "value_count div 2",
+            "p75": "3 * value_count div 4",
+            "p90": "floor(value_count * 0.9D)",
         },
     )
     return stats.filter(F.col("value_count") > 0).select(

@@ -179,7 +179,7 @@ def provider_rates_median(
     table = with_names(stats, named).select(
         "npi",
         "provider_name",
-        taxonomy_label(F.col("primary_taxonomy")).alias("type"),
+        taxonomy_label("primary_taxonomy").alias("type"),
         modifiers_text(F.col("modifiers")).alias("modifiers"),
         "payer_name",
         round_cents(F.col("median_value")).alias("median_rate"),

@@ -118,7 +118,7 @@ def read_rate_docs(
 # --- large files and batches ----------------------------------------------
 
 PIECE_SCHEMA = "source_file_url string, kind string, item_ord long, ord long, code string, body string"
-MAX_WALK_TASKS = 10_000
+FILES_PER_TASK = 16
 
 
 def land_rate_files(
@@ -133,10 +133,14 @@ def land_rate_files(
     same landing.
     """
     pattern = profile.pattern if profile else ".*"
-    count = tasks or max(1, min(paths.count(), MAX_WALK_TASKS))
+    if tasks is None:
+        # Enough tasks to keep every core busy, yet a few files each when there are many.
+        files = paths.count()
+        cores = paths.sparkSession.sparkContext.defaultParallelism
+        tasks = max(1, min(files, max(4 * cores, files // FILES_PER_TASK)))
     (
         paths.select("path")
-        .repartition(count)
+        .repartition(tasks)
         .mapInArrow(lambda batches: _pieces(batches, pattern), PIECE_SCHEMA)
         .write.mode("overwrite")
         .partitionBy("kind")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratescape import reference_values as ref
-from ratescape.functions.columns import component_flags, rate_and_percentage
+from ratescape.functions.columns import component_flags, quoted, rate_and_percentage
 from ratescape.functions.profiles import PROFILES
 from ratescape.schemas import CLASSIFICATION_COLUMNS, MANIFEST, RATE_COLUMNS
 from ratescape.session import scratch_path
@@ -31,85 +31,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def payer_name() -> Column:
-    name = F.col("r_name")
-    for key, payer in enumerate(PAYERS):
-        name = F.when(F.col("r_regionkey") == key, payer).otherwise(name)
-    return name
-
-
 def _text(column: Column) -> Column:
     return column.cast("string")
 
 
+_PLAN_LIST = "array(" + ", ".join(quoted(plan) for plan in ref.PLAN_LABELS) + ")"
+_PAYER_CASES = " ".join(f"WHEN {key} THEN {quoted(payer)}" for key, payer in enumerate(PAYERS))
+_NO_TEXT = "CAST(array() AS array<string>)"
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One priced line per lineitem, before classification."""
     lines = (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-    key = F.col("l_partkey") % 10
-    code = (
-        F.when(key <= 5, _text(key + 97151))
-        .when(key == 6, "97157")
-        .when(key == 7, _text(70000 + F.col("l_partkey") % 10000))
-        .when(key == 8, "99213")
-        .otherwise("70551")
-    )
-    plans = F.array(*[F.lit(plan) for plan in ref.PLAN_LABELS])
-    slot = (F.col("l_partkey") % 16).cast("int")
-    plan = (
-        F.when(F.col("n_nationkey") % 5 == 0, "77")
-        .when(F.col("n_nationkey") % 5 == 1, "Blue-Shield-of-California")
-        .when(slot < len(ref.PLAN_LABELS), F.get(plans, slot))
-        .otherwise(F.concat(F.lit("Plan-"), "p_type"))
-    )
-    url = F.concat(
-        F.lit("https://example.test/2026-05-01_"),
-        _text(F.col("n_nationkey")),
-        F.lit("-"),
-        plan,
-        F.lit("_Blue-Shield-"),
-        "n_name",
-        F.lit(".json.gz"),
-    )
-    number = F.col("l_linenumber")
-    negotiated_type = (
-        F.when(F.col("l_returnflag") == "A", "negotiated")
-        .when(F.col("l_returnflag") == "N", "fee schedule")
-        .when(number % 2 == 0, "percentage")
-        .otherwise("per diem")
-    )
-    modifier_sets = ([], ["HM"], ["HN", "GT"], ["HO"], ["TC"], ["26"], ["53"])
-    modifiers = F.lit(None).cast("array<string>")
-    for position, values in enumerate(modifier_sets, start=1):
-        listed = F.array(*[F.lit(v) for v in values]).cast("array<string>")
-        modifiers = F.when(number == position, listed).otherwise(modifiers)
-    npis = F.array(
-        _text(1000000000 + F.col("l_suppkey")), _text(1000000000 + F.col("l_partkey") % 10)
+        .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+        .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(table(spark, sf_dir, "nation"), F.expr("s_nationkey = n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
     )
-    return lines.select(
+    return lines.selectExpr(
         *LINE_KEYS,
         "r_regionkey",
-        payer_name().alias("payer_name"),
-        url.alias("source_file_url"),
-        code.alias("billing_code"),
-        F.when(F.col("l_linestatus") == "O", "professional")
-        .otherwise("institutional")
-        .alias("billing_class"),
-        F.when(number % 2 == 1, "office").otherwise("inpatient").alias("setting"),
-        negotiated_type.alias("negotiated_type"),
+        f"CASE r_regionkey {_PAYER_CASES} ELSE r_name END AS payer_name",
+        f"""concat('https://example.test/2026-05-01_', n_nationkey, '-',
+            CASE WHEN n_nationkey % 5 = 0 THEN '77'
+                 WHEN n_nationkey % 5 = 1 THEN 'Blue-Shield-of-California'
+                 WHEN l_partkey % 16 < {len(ref.PLAN_LABELS)} THEN get({_PLAN_LIST}, int(l_partkey % 16))
+                 ELSE concat('Plan-', p_type) END,
+            '_Blue-Shield-', n_name, '.json.gz') AS source_file_url""",
+        """CASE WHEN l_partkey % 10 <= 5 THEN string(97151 + l_partkey % 10)
+                WHEN l_partkey % 10 = 6 THEN '97157'
+                WHEN l_partkey % 10 = 7 THEN string(70000 + l_partkey % 10000)
+                WHEN l_partkey % 10 = 8 THEN '99213' ELSE '70551' END AS billing_code""",
+        "CASE WHEN l_linestatus = 'O' THEN 'professional' ELSE 'institutional' END AS billing_class",
+        "CASE WHEN l_linenumber % 2 = 1 THEN 'office' ELSE 'inpatient' END AS setting",
+        """CASE WHEN l_returnflag = 'A' THEN 'negotiated' WHEN l_returnflag = 'N' THEN 'fee schedule'
+                WHEN l_linenumber % 2 = 0 THEN 'percentage' ELSE 'per diem' END AS negotiated_type""",
         # A multiple of 1/4, so that averages and interpolation are exact.
-        (F.floor(F.col("l_extendedprice") / F.col("l_quantity")) / F.lit(4.0)).alias("raw_rate"),
-        F.array(_text(10 + number)).alias("service_codes"),
-        modifiers.alias("billing_code_modifiers"),
-        F.when(F.col("l_orderkey") % 17 == 0, F.array().cast("array<string>"))
-        .otherwise(npis)
-        .alias("provider_npi_list"),
-        F.lpad(_text(F.col("l_suppkey")), 9, "0").alias("provider_tin_value"),
+        "floor(l_extendedprice / l_quantity) / 4.0D AS raw_rate",
+        "array(string(10 + l_linenumber)) AS service_codes",
+        f"""CASE l_linenumber WHEN 1 THEN {_NO_TEXT} WHEN 2 THEN array('HM') WHEN 3 THEN array('HN', 'GT')
+                WHEN 4 THEN array('HO') WHEN 5 THEN array('TC') WHEN 6 THEN array('26')
+                WHEN 7 THEN array('53') END AS billing_code_modifiers""",
+        f"""CASE WHEN l_orderkey % 17 = 0 THEN {_NO_TEXT}
+                ELSE array(string(1000000000 + l_suppkey), string(1000000000 + l_partkey % 10)) END
+            AS provider_npi_list""",
+        "lpad(l_suppkey, 9, '0') AS provider_tin_value",
         "p_name",
     )
 
@@ -119,16 +86,14 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = raw_lines(spark, sf_dir)
     price = rate_and_percentage(F.col("negotiated_type"), F.col("raw_rate"))
     code = F.col("billing_code")
-    classes = {name: F.lit(None).cast("string") for name in CLASSIFICATION_COLUMNS}
+    found = [profile.classify(code) for profile in PROFILES.values()]
+    classes = {name: F.coalesce(*[columns[name] for columns in found]) for name in CLASSIFICATION_COLUMNS}
     eligible = F.lit(False)
     for profile in PROFILES.values():
-        inside = profile.contains(code)
-        own = profile.classify(code)
-        classes = {n: F.when(inside, own[n]).otherwise(classes[n]) for n in CLASSIFICATION_COLUMNS}
         policy = profile.policy.eligible(
             F.col("negotiated_type"), price["negotiated_rate"], F.col("billing_class")
         )
-        eligible = F.when(inside, policy).otherwise(eligible)
+        eligible = F.when(profile.contains(code), policy).otherwise(eligible)
     fixed = {
         "index_payer": F.concat(F.lit("index-"), _text(F.col("r_regionkey"))),
         "reporting_entity_type": F.lit("Health Insurance Issuer"),

@@ -421,7 +421,7 @@ def plan_names(rates):
 def taxonomy_labels(spark, sf_dir):
     names = fx.npi_names(spark, sf_dir)
     return names.select(
-        "npi", "primary_taxonomy", col.taxonomy_label(F.col("primary_taxonomy")).alias("label")
+        "npi", "primary_taxonomy", col.taxonomy_label("primary_taxonomy").alias("label")
     )
 
 
