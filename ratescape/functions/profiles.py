@@ -7,6 +7,8 @@ classify, so the code filter runs directly after the first explode.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -115,6 +117,26 @@ def get_profile(name: str) -> CodeProfile:
     return PROFILES[name]
 
 
+MAX_CUSTOM_CODES = 10_000
+
+
+def code_set_profile(codes: Sequence[str], policy: BenchmarkPolicy | None = None) -> CodeProfile:
+    """A profile of a user's own code list; it has no classification.
+
+    For lists beyond ``MAX_CUSTOM_CODES`` use :func:`in_code_table`.
+    """
+    unique = sorted({code.strip() for code in codes if code.strip()})
+    if not unique or len(unique) > MAX_CUSTOM_CODES:
+        raise ValueError(f"a code list has 1 to {MAX_CUSTOM_CODES} codes, got {len(unique)}")
+    pattern = "|".join(re.escape(code) for code in unique)
+    return CodeProfile("custom_code_set", pattern, policy or BenchmarkPolicy())
+
+
+def in_code_table(rows: DataFrame, codes: DataFrame) -> DataFrame:
+    """Rows whose ``billing_code`` is in a code table of any size."""
+    return rows.join(codes.select("billing_code"), "billing_code", "left_semi")
+
+
 def profile_codes(spark: SparkSession, name: str) -> DataFrame:
     """The codes of a profile with their classification, as a small table."""
     profile = get_profile(name)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratescape.functions.profiles import CodeProfile
+from ratescape.sources.json_walk import walk_codes
+from ratescape.sources.rate_files import walk_tasks
 
 # Fixed value: items looked at per file.
 PROBE_ITEMS = 2_000
@@ -50,6 +54,72 @@ def probe_files(
     )
 
 
+PROBE_SCHEMA = (
+    "source string, status string, items_scanned long, has_match boolean, "
+    "matched_codes array<string>, error string"
+)
+
+
+def probe_paths(
+    paths: DataFrame,
+    profile: CodeProfile,
+    limit_items: int = PROBE_ITEMS,
+    stop_on_match: bool = True,
+    tasks: int | None = None,
+) -> DataFrame:
+    """``probe_files`` for files of any size; ``paths`` has one ``path`` per row.
+
+    A file is read only up to the last item looked at, and one that cannot be
+    read becomes an ``error`` row.
+    """
+    pattern = profile.pattern
+
+    def probe(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = [_probe_path(p, pattern, limit_items, stop_on_match) for p in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_pylist(rows, schema=_arrow_schema())
+
+    return (
+        paths.select("path").repartition(tasks or walk_tasks(paths)).mapInArrow(probe, PROBE_SCHEMA)
+    )
+
+
+def _arrow_schema():
+    import pyarrow as pa
+
+    return pa.schema(
+        [
+            ("source", pa.string()),
+            ("status", pa.string()),
+            ("items_scanned", pa.int64()),
+            ("has_match", pa.bool_()),
+            ("matched_codes", pa.list_(pa.string())),
+            ("error", pa.string()),
+        ]
+    )
+
+
+def _probe_path(path: str, pattern: str, limit_items: int, stop_on_match: bool) -> dict:
+    wanted, found, scanned = re.compile(pattern), set(), 0
+    row = {"source": path, "status": "ok", "error": None}
+    try:
+        for code in walk_codes(path):
+            scanned += 1
+            if wanted.fullmatch(code):
+                found.add(code)
+                if stop_on_match:
+                    break
+            if scanned >= limit_items:
+                break
+    except (OSError, ValueError) as error:
+        found = set()
+        row.update(status="error", error=str(error))
+    row.update(items_scanned=scanned, has_match=bool(found), matched_codes=sorted(found))
+    return row
+
+
 def probe_summary(results: DataFrame) -> DataFrame:
     """Files, hits, errors and misses of a probe."""
     return results.agg(

@@ -185,21 +185,24 @@ def raw_and_benchmark(
     return views[0].unionByName(views[1])
 
 
-def facets(rates: DataFrame) -> DataFrame:
-    """Distinct codes, payers and modifiers in one pass, as (facet, value)."""
-    entry = lambda facet, value: F.struct(F.lit(facet).alias("facet"), value.alias("value"))
-    entries = F.concat(
-        F.array(
-            entry("payer_names", F.col("payer_name")),
-            entry("cpt_codes", F.col("billing_code")),
-        ),
-        F.coalesce(
-            F.transform("billing_code_modifiers", lambda m: entry("modifiers", m)),
-            F.array().cast("array<struct<facet:string,value:string>>"),
-        ),
+def facets(rates: DataFrame, payers: Sequence[str] | None = None) -> DataFrame:
+    """Distinct codes, payers and modifiers in one pass, as (facet, value).
+
+    Rows are reduced to distinct combinations before lists are opened.
+    ``payers`` narrows the payer facet to a known list.
+    """
+    seen = rates.select("payer_name", "billing_code", "billing_code_modifiers").distinct()
+    listed = F.lit(True) if payers is None else F.col("payer_name").isin(*payers)
+    entries = F.expr(
+        """concat(
+            array(struct('payer_names' AS facet, listed_payer AS value),
+                  struct('cpt_codes' AS facet, billing_code AS value)),
+            transform(coalesce(billing_code_modifiers, CAST(array() AS array<string>)),
+                      m -> struct('modifiers' AS facet, m AS value)))"""
     )
     return (
-        rates.select(F.explode(entries).alias("e"))
+        seen.withColumn("listed_payer", F.when(listed, F.col("payer_name")))
+        .select(F.explode(entries).alias("e"))
         .select("e.facet", "e.value")
         .filter(F.col("value") != "")
         .distinct()

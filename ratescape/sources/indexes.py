@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from itertools import islice
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratescape import reference_values as ref
 from ratescape.functions.columns import absolute_url
-from ratescape.schemas import HEADER_FIELDS, NATIVE_INDEX, PLAN, TOC, VENDOR_METADATA
-from ratescape.sources.rate_files import read_docs
+from ratescape.schemas import HEADER_FIELDS, NATIVE_INDEX, PLAN, TOC, TOC_STRUCTURE, VENDOR_METADATA
+from ratescape.sources.json_walk import walk_array
+from ratescape.sources.rate_files import read_docs, walk_tasks
 
 PLAN_FIELDS = PLAN.fieldNames()
 _PLANS = f"array<{PLAN.simpleString()}>"
@@ -32,6 +35,40 @@ def toc_structures(toc: DataFrame) -> DataFrame:
     )
 
 
+def large_toc_structures(paths: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``toc_structures`` for documents of any size; ``paths`` has one ``path`` per row.
+
+    Each document is walked by one task and leaves one row per structure.
+    """
+
+    def walk(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                elements = ((o, b) for kind, o, b in walk_array(path, "reporting_structure") if kind == "element")
+                while rows := list(islice(elements, 500)):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([path] * len(rows), pa.string()),
+                            pa.array([o for o, _ in rows], pa.int32()),
+                            pa.array([b for _, b in rows], pa.string()),
+                        ],
+                        ["source_file_url", "structure_ord", "body"],
+                    )
+
+    pieces = (
+        paths.select("path")
+        .repartition(tasks or walk_tasks(paths))
+        .mapInArrow(walk, "source_file_url string, structure_ord int, body string")
+    )
+    return (
+        pieces.withColumn("s", F.from_json("body", TOC_STRUCTURE))
+        .filter(F.col("body") != "null")
+        .select("source_file_url", "structure_ord", "s.reporting_plans", "s.in_network_files")
+    )
+
+
 def toc_files(structures: DataFrame) -> DataFrame:
     """One row per listed file with a usable location.
 

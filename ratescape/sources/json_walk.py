@@ -155,3 +155,29 @@ def _walk_item(cursor: Cursor, item_ord: int, pattern: re.Pattern) -> Iterator[P
             if not skip:
                 yield "rate", item_ord, ord_, code, text
     yield "item", item_ord, -1, None, json.dumps(scalars)
+
+
+def walk_codes(path: str) -> Iterator[str]:
+    """Billing code of one item after the other, '' where it has none.
+
+    The file is read only as far as the caller goes on.
+    """
+    for kind, _, _, _, body in walk_rate_file(path, "(?!)"):
+        if kind == "item":
+            yield str(json.loads(body).get("billing_code") or "")
+
+
+def walk_array(path: str, name: str) -> Iterator[tuple[str, int, str]]:
+    """(kind, ord, body) of a document: elements of one array, then its scalars."""
+    with open_stream(path) as stream:
+        cursor = Cursor(stream)
+        header: dict[str, object] = {}
+        for key in cursor.keys():
+            if key == name:
+                for ord_, _ in enumerate(cursor.elements()):
+                    yield "element", ord_, cursor.value()[1]
+            else:
+                parsed, _ = cursor.value()
+                if not isinstance(parsed, dict | list):
+                    header[key] = parsed
+        yield "header", -1, json.dumps(header)

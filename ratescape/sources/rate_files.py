@@ -121,6 +121,13 @@ PIECE_SCHEMA = "source_file_url string, kind string, item_ord long, ord long, co
 FILES_PER_TASK = 16
 
 
+def walk_tasks(paths: DataFrame) -> int:
+    """Tasks for walking files: all cores busy, a few files each when there are many."""
+    files = paths.count()
+    cores = paths.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(files, max(4 * cores, files // FILES_PER_TASK)))
+
+
 def land_rate_files(
     paths: DataFrame, landing: str, profile: CodeProfile | None = None, tasks: int | None = None
 ) -> None:
@@ -133,14 +140,9 @@ def land_rate_files(
     same landing.
     """
     pattern = profile.pattern if profile else ".*"
-    if tasks is None:
-        # Enough tasks to keep every core busy, yet a few files each when there are many.
-        files = paths.count()
-        cores = paths.sparkSession.sparkContext.defaultParallelism
-        tasks = max(1, min(files, max(4 * cores, files // FILES_PER_TASK)))
     (
         paths.select("path")
-        .repartition(tasks)
+        .repartition(tasks or walk_tasks(paths))
         .mapInArrow(lambda batches: _pieces(batches, pattern), PIECE_SCHEMA)
         .write.mode("overwrite")
         .partitionBy("kind")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratescape.functions import columns as col
-from ratescape.functions.profiles import ABA, RADIOLOGY, classify_codes, profile_codes
+from ratescape.functions.profiles import ABA, RADIOLOGY, classify_codes, in_code_table, profile_codes
 from ratescape.operators import contracts as own
 from ratescape.operators import distribution as dist
 from ratescape.operators import providers as prov
@@ -22,7 +22,7 @@ from ratescape.operators.flatten import (
     parse_counters,
     resolve_references,
 )
-from ratescape.operators.probe import probe_files, probe_summary
+from ratescape.operators.probe import probe_files, probe_paths, probe_summary
 from ratescape.plans.batch import batch_counters, plan_batch, read_manifest, run_batch, write_events
 from ratescape.plans.presets import run_preset
 from ratescape.schemas import PROBE_DOC, RATE_DOC
@@ -144,12 +144,12 @@ def flatten_radiology(spark, sf_dir):
     return _flat(flatten_rates(files, RADIOLOGY, index_payer="payer-index", on_missing="skip"))
 
 
-def _doc_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _doc_paths(spark: SparkSession, folder: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.gz")
-        .load(fx.rate_docs(spark, sf_dir))
+        .load(folder)
         .select("path")
     )
 
@@ -160,7 +160,7 @@ def _stable_source(rows: DataFrame, column: str = "source_file_url") -> DataFram
 
 def flatten_large(spark, sf_dir):
     landing = scratch_path(spark, "landing")
-    land_rate_files(_doc_paths(spark, sf_dir), landing, ABA)
+    land_rate_files(_doc_paths(spark, fx.rate_docs(spark, sf_dir)), landing, ABA)
     files = landed_rate_files(spark, landing, ABA)
     rates = flatten_rates(files, ABA, index_payer="payer-index", on_missing="quarantine")
     return _flat(_stable_source(rates))
@@ -199,6 +199,11 @@ def probe_full(spark, sf_dir):
     return _listed(_probe(spark, sf_dir, stop_on_match=False), "matched_codes")
 
 
+def probe_large(spark, sf_dir):
+    rows = probe_paths(_doc_paths(spark, fx.rate_docs(spark, sf_dir)), ABA)
+    return _listed(_stable_source(rows, "source"), "matched_codes")
+
+
 def stream_ingest(spark, sf_dir):
     out = scratch_path(spark, "stream-rates")
     query = ingest_new_files(
@@ -240,8 +245,16 @@ def _structures(spark, sf_dir):
     return indexes.toc_structures(toc)
 
 
+def toc_files_large(spark, sf_dir):
+    structures = indexes.large_toc_structures(_doc_paths(spark, fx.toc_docs(spark, sf_dir)))
+    return _toc_listing(_stable_source(indexes.toc_files(structures)))
+
+
 def toc_files(spark, sf_dir):
-    files = indexes.toc_files(_structures(spark, sf_dir))
+    return _toc_listing(indexes.toc_files(_structures(spark, sf_dir)))
+
+
+def _toc_listing(files):
     return files.select(
         F.col("source_file_url").alias("source"),
         F.col("structure_ord").cast("long").alias("structure_ord"),
@@ -327,7 +340,7 @@ def batch_manifest(spark, sf_dir):
 
 
 def batch_run(spark, sf_dir):
-    files = _doc_paths(spark, sf_dir).select(
+    files = _doc_paths(spark, fx.rate_docs(spark, sf_dir)).select(
         F.col("path").alias("location"),
         F.lit(None).cast("string").alias("description"),
         F.lit(None).cast("long").alias("content_length_bytes"),
@@ -516,8 +529,7 @@ def custom_code_set(spark, sf_dir):
     codes = read_contracts(spark, fx.contract_csv(spark, sf_dir)).select(
         F.col("CPTCode").alias("billing_code")
     )
-    rates = fx.rates(spark, sf_dir).join(codes.distinct(), "billing_code", "left_semi")
-    return rq.summarize(rates, ["billing_code"])
+    return rq.summarize(in_code_table(fx.rates(spark, sf_dir), codes), ["billing_code"])
 
 
 QUERIES: dict[str, Query] = {
@@ -533,12 +545,14 @@ QUERIES: dict[str, Query] = {
     "parse_counters": counters,
     "probe_files": probe_first,
     "probe_files_full": probe_full,
+    "probe_files_large": probe_large,
     "probe_summary": lambda s, d: probe_summary(_probe(s, d)),
     "stream_ingest": stream_ingest,
     "write_rates": written_rates,
     "scan_many": scan_many,
     # indexes and batch
     "toc_files": toc_files,
+    "toc_files_large": toc_files_large,
     "toc_file_plans": toc_file_plans,
     "index_dedupe": index_dedupe,
     "index_headers": index_headers,

@@ -199,6 +199,9 @@ files AS (
   FROM structures WHERE l_linenumber NOT IN (6, 7)
 )"""
 
+TOC_FILES = _with(
+    "SELECT source, structure_ord, file_ord, location, description, reporting_plan_count FROM files", TOC
+)
 DEDUPED = """SELECT location, arg_min(description, (source, structure_ord, file_ord))
     FILTER (WHERE description IS NOT NULL) AS description,
   CAST(NULL AS BIGINT) AS content_length_bytes,
@@ -416,6 +419,7 @@ SQL: dict[str, str] = {
     "missing_refs": _with("SELECT source, ref_id FROM missing", DOCS),
     "parse_counters": _with("SELECT * FROM counters", DOCS, COUNTERS),
     "probe_files": _with(_probe(True), DOCS),
+    "probe_files_large": _with(_probe(True), DOCS),
     "probe_files_full": _with(_probe(False), DOCS),
     "probe_summary": _with(
         f"""SELECT CAST(count(*) AS BIGINT) AS total_files,
@@ -442,11 +446,8 @@ SQL: dict[str, str] = {
           CAST(count(*) AS BIGINT) AS row_count FROM rates GROUP BY 1, 2"""
     ),
     # indexes and batch
-    "toc_files": _with(
-        """SELECT source, structure_ord, file_ord, location, description, reporting_plan_count
-        FROM files""",
-        TOC,
-    ),
+    "toc_files": TOC_FILES,
+    "toc_files_large": TOC_FILES,
     "toc_file_plans": _with(
         """SELECT location, 'Plan ' || (l_suppkey + p) AS plan_name, 'ein' AS plan_id_type,
           CAST(l_suppkey + p AS VARCHAR) AS plan_id, CAST(count(*) AS BIGINT) AS listings
