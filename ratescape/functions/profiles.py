@@ -111,9 +111,7 @@ def list_profiles() -> list[str]:
 
 def get_profile(name: str) -> CodeProfile:
     if name not in PROFILES:
-        raise ValueError(
-            f"unknown code profile {name!r}; expected one of: {', '.join(list_profiles())}"
-        )
+        raise ValueError(f"no code profile {name!r}; choose from: {', '.join(list_profiles())}")
     return PROFILES[name]
 
 

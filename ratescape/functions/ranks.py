@@ -24,7 +24,7 @@ NO_VALUE = -(2**62)
 _BUCKET = f"""coalesce(
     CASE WHEN isnan(_value) OR _value = double('Infinity') THEN {2**40}L
          WHEN _value = double('-Infinity') THEN -{2**40}L
-         ELSE sign(_value) * floor(log2(1.0D + abs(_value)) * {BUCKETS_PER_OCTAVE}.0D) END,
+         ELSE CAST(sign(_value) * floor(log2(1.0D + abs(_value)) * {BUCKETS_PER_OCTAVE}.0D) AS bigint) END,
     {NO_VALUE}L)"""
 
 

@@ -93,7 +93,7 @@ def flatten_rates(
     resolved = resolve_references(entries, files.references)
     groups = F.col("groups")
     if on_missing == "error":
-        message = F.concat(F.lit("missing provider reference "), F.col("ref_id"))
+        message = F.concat(F.lit("undefined provider reference "), F.col("ref_id"))
         groups = F.when(groups.isNull(), F.raise_error(message).cast(_GROUPS)).otherwise(groups)
     rows = (
         resolved.withColumn("group", F.explode(groups))

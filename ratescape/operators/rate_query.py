@@ -49,9 +49,8 @@ def column_list(text: str | Sequence[str] | None) -> list[str]:
     columns = [part.strip() for part in parts if part.strip()]
     unknown = sorted(set(columns) - set(GROUP_COLUMNS))
     if unknown:
-        raise ValueError(
-            f"unsupported column(s): {', '.join(unknown)}; allowed: {', '.join(sorted(GROUP_COLUMNS))}"
-        )
+        choices = ", ".join(sorted(GROUP_COLUMNS))
+        raise ValueError(f"unsupported column(s) {', '.join(unknown)}; choose from: {choices}")
     return columns
 
 

@@ -46,7 +46,7 @@ def large_toc_structures(paths: DataFrame, tasks: int | None = None) -> DataFram
 
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                elements = ((o, b) for kind, o, b in walk_array(path, "reporting_structure") if kind == "element")
+                elements = walk_array(path, "reporting_structure")
                 while rows := list(islice(elements, 500)):
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -64,7 +64,6 @@ def large_toc_structures(paths: DataFrame, tasks: int | None = None) -> DataFram
     )
     return (
         pieces.withColumn("s", F.from_json("body", TOC_STRUCTURE))
-        .filter(F.col("body") != "null")
         .select("source_file_url", "structure_ord", "s.reporting_plans", "s.in_network_files")
     )
 

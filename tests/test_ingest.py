@@ -101,7 +101,7 @@ def test_missing_reference_modes(spark, tmp_path, reader):
     paths = [write_json(tmp_path / "bad.json", broken), write_json(tmp_path / "good.json", INLINE_DOC)]
     files = reader(spark, paths)
     assert [r.ref_id for r in missing_references(files).collect()] == ["2"]
-    with pytest.raises(PySparkException, match="missing provider reference 2"):
+    with pytest.raises(PySparkException, match="undefined provider reference 2"):
         flatten_rates(files, ABA).collect()
     kept = flatten_rates(files, ABA, on_missing="quarantine").collect()
     assert [r.source_file_url.endswith("good.json") for r in kept] == [True]

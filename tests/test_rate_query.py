@@ -46,7 +46,7 @@ def test_filters(parsed):
 
 
 def test_columns_are_checked(parsed):
-    with pytest.raises(ValueError, match=r"unsupported column\(s\): drop_table"):
+    with pytest.raises(ValueError, match=r"unsupported column\(s\) drop_table"):
         run_query(parsed, group_by="billing_code,drop_table", summary=True)
     assert run_query(parsed, group_by=" setting , billing_code,").columns == ["setting", "billing_code"]
     assert run_query(parsed).columns[0] == "payer_name" and len(run_query(parsed).columns) == 9

@@ -514,7 +514,7 @@ SQL: dict[str, str] = {
           'aba' AS profile, CASE WHEN m.ref_id IS NULL THEN scanned_items END AS scanned_items,
           CASE WHEN m.ref_id IS NULL THEN matched_items END AS matched_items,
           CASE WHEN m.ref_id IS NULL THEN rows_written END AS rows_written,
-          CASE WHEN m.ref_id IS NOT NULL THEN 'missing provider reference ' || m.ref_id END AS error
+          CASE WHEN m.ref_id IS NOT NULL THEN 'undefined provider reference ' || m.ref_id END AS error
         FROM counters c LEFT JOIN (SELECT source, min(ref_id) AS ref_id FROM missing GROUP BY source) m
           ON c.source = m.source""",
         DOCS,
