@@ -4,14 +4,18 @@ Two documents link when ``100 * shared >= percent * all`` of their distinct
 word shingles. The join is exact:
 
 1. Documents with equal shingle sets are one: their smallest id stands for all.
-2. Sizes are cut into bands; a tile takes a band and the start of the next one,
+2. A linked set shares at least ``percent`` of its own shingles, so a document
+   with more shingles that nobody else has is out. They are counted over a fixed
+   hash range of the shingles, packed per task: keys go to key ranges, where
+   lone ones send their document back.
+3. Sizes are cut into bands; a tile takes a band and the start of the next one,
    so that every pair with a large enough ratio of sizes meets in a tile. There
    a linked pair differs in at most ``d`` shingles. Hash ranges deal the shingles
    of a set to more than ``d`` cells, so linked sets agree on a whole cell. Cells
    are compared by hash, packed per task; tasks link equal cells of their own
    before the shuffle, so a very frequent cell arrives once per task. Cells with
    fewer than two shingles say little; there are spare cells to leave them out.
-3. Candidate classes (components over equal cells) come together in tiles of at
+4. Candidate classes (components over equal cells) come together in tiles of at
    most ``TILE`` documents. For each pair of a tile, the bits that one bitmap
    has and the other lacks bound the overlap from above; only pairs that pass
    are intersected as sorted arrays, and only if no chain links them yet. A
@@ -38,6 +42,9 @@ from ratescape.llm.components import components
 
 #: Documents of a tile; words of 64 bits of a bitmap; ratio of a band's largest size to its smallest.
 TILE, BITMAP_WORDS, BAND = 1024, 32, 1.5
+#: The hash range in which shingles that nobody shares are counted: 5 of 16 parts of the whole.
+NOBODY = np.iinfo(np.int64).min
+RANGE_SHIFT, RANGE_END = np.uint64(1), np.uint64(5 << 60)
 #: Shingles of a tile's block: classes of long documents get smaller blocks.
 TILE_SHINGLES = 2_000_000
 #: Candidate ids up to this number are broadcast to pick their texts; more are joined by shuffling.
@@ -169,6 +176,96 @@ def _cell_rows(n: int, percent: int, parts: int, flush: int = 2_000_000):
     return run
 
 
+def _range_rows(n: int, parts: int, flush: int = 2_000_000):
+    """Packed (part, keys, ids) of the distinct shingles of a fixed hash range; NOBODY where a task has two sets with the key."""
+
+    def emit(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
+        k, d = np.concatenate(keys), np.concatenate(ids)
+        order = np.argsort(k, kind="stable")
+        k, d = k[order], d[order]
+        first = np.append(True, k[1:] != k[:-1])
+        alone = np.append(first[1:], True)[first]
+        k, d = k[first], np.where(alone, d[first], NOBODY)
+        at = part_bounds(k << RANGE_SHIFT, parts)
+        rows = [(p, squeeze_sorted(k[at[p] : at[p + 1]]), squeeze(d[at[p] : at[p + 1]])) for p in range(parts) if at[p + 1] > at[p]]
+        kinds = (pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["part", "keys", "ids"])  # noqa: B905
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids, held, seen = [], [], 0, set()
+        for batch in batches:
+            for part in slices(batch):
+                for doc, s in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text"), n), strict=True):
+                    if doc is None or not len(s) or (key := set_key(s)) in seen:
+                        continue
+                    seen.add(key)
+                    own = s[: np.searchsorted(s, RANGE_END)]
+                    keys.append(own)
+                    ids.append(np.full(len(own), doc, np.int64))
+                    held += len(own)
+                if held >= flush:
+                    yield emit(keys, ids)
+                    keys, ids, held, seen = [], [], 0, set()
+        if held:
+            yield emit(keys, ids)
+
+    return run
+
+
+def _lone_rows(parts: int):
+    """For one part: how many of its keys each document has alone, packed by document as (part, ids, counts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids = [], []
+        for batch in batches:
+            for k, i in zip(batch.column("keys").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                keys.append(expand_sorted(k))
+                ids.append(expand(i, np.int64))
+        k, d = np.concatenate(keys), np.concatenate(ids)
+        order = np.argsort(k, kind="stable")
+        k, d = k[order], d[order]
+        new = np.append(True, k[1:] != k[:-1])
+        lone = d[new & np.append(new[1:], True)]
+        docs, counts = np.unique(lone[lone != NOBODY], return_counts=True)
+        to = (mix(docs.astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(to, kind="stable")
+        docs, counts, to = docs[order], counts[order].astype(np.int32), to[order]
+        ends = np.searchsorted(to, np.arange(parts + 1))
+        rows = [(p, squeeze(docs[a:b]), squeeze(counts[a:b])) for p, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if b > a]
+        if rows:
+            kinds = (pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["part", "ids", "counts"])  # noqa: B905
+
+    return run
+
+
+def _sum_lone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ids, counts = [], []
+    for batch in batches:
+        for i, c in zip(batch.column("ids").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            ids.append(expand(i, np.int64))
+            counts.append(expand(c, np.int32))
+    docs, which = np.unique(np.concatenate(ids), return_inverse=True)
+    total = np.bincount(which, np.concatenate(counts)).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(total)], names=["id", "lone"])
+
+
+def _candidates(docs: DataFrame, named: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
+    """Ids of documents that share enough of their shingles with anybody."""
+    ranged = docs.select("doc_id", "text").mapInArrow(_range_rows(n, parts), "part int, keys binary, ids binary")
+    lone = ranged.groupBy("part").applyInArrow(_lone_rows(parts), "part int, ids binary, counts binary")
+    lone = lone.groupBy("part").applyInArrow(_sum_lone, "id long, lone long")
+    joined = named.join(lone, named["doc_id"] == lone["id"], "left")
+    return joined.where(F.coalesce("lone", F.lit(0)) * 100 <= (100 - percent) * F.col("n_shingles")).select("doc_id").distinct()
+
+
+def _picked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) joined with a stored table on doc_id; the table is broadcast while it is small."""
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    return docs.select("doc_id", "text").join(wanted, "doc_id")
+
+
 def _link_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between documents with an equal cell, for the rows of one part."""
     keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -262,9 +359,7 @@ def _tile_links(docs: DataFrame, members: DataFrame, n: int, percent: int, tile:
     heavy = F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("n_shingles") / TILE_SHINGLES)).cast("int")
     classes = members.groupBy("class").agg(F.count(F.lit(1)).alias("sets"), heavy.alias("blocks")).where("sets > 1").drop("sets")
     wanted = stored(lookup(members, classes, ["class"], "doc_id").where("blocks IS NOT NULL").select("doc_id", "set_key", "class", "blocks"), "jaccard-members")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    packed = docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(_pack_sets(n), "doc_id long, class long, blocks int, shingles binary")
+    packed = _picked(docs, wanted).mapInArrow(_pack_sets(n), "doc_id long, class long, blocks int, shingles binary")
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block")
     dealt = packed.select("*", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     dealt = dealt.select("doc_id", "shingles", "block", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
@@ -278,10 +373,11 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, tile: int
     named = described.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     sets = stored(named.groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "jaccard-keys")
 
-    cell_rows = docs.select("doc_id", "text").mapInArrow(_cell_rows(n, percent, parts), "part int, linked boolean, keys binary, ids binary")
-    candidates = components(cell_rows.groupBy("part").applyInArrow(_link_cells, "a long, b long"), "jaccard-candidates")
+    candidates = stored(_candidates(docs, named, n, percent, parts), "jaccard-candidates")
+    cell_rows = _picked(docs, candidates).mapInArrow(_cell_rows(n, percent, parts), "part int, linked boolean, keys binary, ids binary")
+    celled = components(cell_rows.groupBy("part").applyInArrow(_link_cells, "a long, b long"), "jaccard-classes")
     # a cell names any document of a set; equal sets have equal cells, so they are in one class
-    classes = named.join(candidates, named["doc_id"] == candidates["node"]).groupBy("set_key").agg(F.min("component").alias("class"))
+    classes = named.join(celled, named["doc_id"] == celled["node"]).groupBy("set_key").agg(F.min("component").alias("class"))
     linked = components(_tile_links(docs, sets.join(classes, "set_key"), n, percent, tile), "jaccard-links")
 
     of_set = sets.join(linked, sets["doc_id"] == linked["node"], "left")
