@@ -25,7 +25,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: Texts are handled in slices of about so many bytes, which bounds the arrays of a task.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 # ---------------------------------------------------------------- storage

@@ -28,7 +28,7 @@ from ratescape.llm.common import IS_WORD, Words, mix, shingles, slices
 VOCABULARY_DIR = "/opt/tokenizers"
 VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
 #: Words split at a time, and distinct words whose tokens a task remembers.
-SPLIT_AT_ONCE, REMEMBERED = 20_000, 200_000
+SPLIT_AT_ONCE, REMEMBERED = 20_000, 80_000
 
 
 @dataclass(frozen=True)

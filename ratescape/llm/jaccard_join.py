@@ -8,21 +8,19 @@ word shingles. The join is exact:
    with more shingles that nobody else has is out. They are counted over a fixed
    hash range of the shingles, packed per task: keys go to key ranges, where
    lone ones send their document back.
-3. Sizes are cut into bands; a tile takes a band and the start of the next one,
-   so that every pair with a large enough ratio of sizes meets in a tile. There
-   a linked pair differs in at most ``d`` shingles. Hash ranges deal the shingles
-   of a set to more than ``d`` cells, so linked sets agree on a whole cell. Cells
-   are compared by hash, packed per task; tasks link equal cells of their own
-   before the shuffle, so a very frequent cell arrives once per task. Cells with
-   fewer than two shingles say little; there are spare cells to leave them out.
-4. Candidate classes (components over equal cells) come together in tiles of at
-   most ``TILE`` documents. For each pair of a tile, the bits that one bitmap
-   has and the other lacks bound the overlap from above; only pairs that pass
-   are intersected as sorted arrays, and only if no chain links them yet. A
+3. The sets of the others are stored in blocks. Each block asks how many blocks'
+   sets have its shingles, and orders every set from rare to frequent. Linked
+   sets share one of the first ``size - ceil(percent * size) + 1``; only these
+   are compared. Blocks link their own documents first, so a very frequent
+   shingle arrives once per block.
+4. Candidate classes (components over shared rare shingles) come together in
+   tiles of at most about ``TILE`` sets. For each pair of a tile, the bits that one
+   bitmap has and the other lacks bound the overlap from above; only pairs that
+   pass are intersected as sorted arrays, and only if no chain links them yet. A
    tile returns a forest of links, never its pairs.
 
-A class beyond a tile is cut into blocks; each pair of blocks of compatible
-sizes is a tile. Null texts and texts without words have no shingles and no
+A larger class is cut by size band and hash; pairs of pieces of the same or
+neighbouring bands are tiles. Null texts and texts without words have no shingles and no
 links. A null id takes part in no link: its row has a null component. Rows that
 share an id share a component when any of them links.
 """
@@ -30,7 +28,6 @@ share an id share a component when any of them links.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +37,8 @@ from pyspark.sql import functions as F
 from ratescape.llm.common import Words, expand, expand_sorted, lookup, mix, part_bounds, parts_of, shingles, slices, squeeze, squeeze_sorted, stored
 from ratescape.llm.components import components
 
-#: Documents of a tile; words of 64 bits of a bitmap; ratio of a band's largest size to its smallest.
-TILE, BITMAP_WORDS, BAND = 1024, 32, 1.5
+#: Sets of a piece of a tile; words of 64 bits of a bitmap.
+TILE, BITMAP_WORDS = 1024, 32
 #: The hash range in which shingles that nobody shares are counted: 5 of 16 parts of the whole.
 NOBODY = np.iinfo(np.int64).min
 RANGE_SHIFT, RANGE_END = np.uint64(1), np.uint64(5 << 60)
@@ -76,45 +73,6 @@ def set_key(s: np.ndarray) -> bytes | None:
     return np.array([a, b], np.uint64).tobytes()
 
 
-def most_differing(a: int, b: int, percent: int) -> int:
-    """Shingles in just one of two linked sets of these sizes, at most: U - I with 100 I >= percent U."""
-    return (a + b) * (100 - percent) // (100 + percent)
-
-
-@lru_cache(100_000)
-def bands(size: int, percent: int) -> list[tuple[int, int]]:
-    """(tile, largest size in the tile) of a set: its own band's, and those below that reach up to it."""
-    edge, tile, out = 1, 0, []
-    while edge <= size:
-        upper = max(edge + 1, int(edge * BAND))  # band: edge <= size < upper
-        reach = (upper - 1) * 100 // percent  # largest size that links with this band
-        if size <= reach:
-            out.append((tile, reach))
-        edge, tile = upper, tile + 1
-    return out
-
-
-def cells(s: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of the set's cells that it must share with any linked, different set."""
-    out = []
-    for tile, largest in bands(len(s), percent):
-        d = most_differing(largest, largest, percent)
-        if not d:
-            continue  # only equal sets link here
-        spare = 1 + d // 8
-        n = d + 1 + spare
-        cell = ((s >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-        ends = np.searchsorted(cell, np.arange(n + 1, dtype=np.uint64))
-        with np.errstate(over="ignore"):
-            running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(s), dtype=np.uint64)])
-        count = np.diff(ends)
-        sums = running[ends[1:]] - running[ends[:-1]]
-        keys = mix(mix(sums + np.uint64(tile * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) + np.arange(n, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + count.astype(np.uint64))
-        weak = count < 2
-        out.append(keys if weak.sum() > spare else keys[~weak])
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
-
-
 def _describe(n: int):
     """doc_id, n_shingles and set key of each document."""
 
@@ -141,37 +99,109 @@ def _stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return keys[first], centre, ids[other], spoke[other]
 
 
-def _cell_rows(n: int, percent: int, parts: int, flush: int = 2_000_000):
-    """Packed (part, linked, keys, ids): distinct cells of each task; with linked, links between ids instead."""
+def _packed_links(keys: np.ndarray, ids: np.ndarray, parts: int) -> pa.RecordBatch:
+    """(part, linked, keys, ids): distinct keys with their smallest id, or with linked, links between ids."""
+    k, centre, a, b = _stars(keys, ids)
+    links = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+    at = part_bounds(k, parts)
+    rows = [(p, False, squeeze_sorted(k[at[p] : at[p + 1]]), squeeze(centre[at[p] : at[p + 1]])) for p in range(parts) if at[p + 1] > at[p]]
+    if len(links):
+        rows.append((int(links[0, 0]) % parts, True, squeeze(links[:, 0]), squeeze(links[:, 1])))
+    kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["part", "linked", "keys", "ids"])
 
-    def emit(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
-        k, centre, a, b = _stars(np.concatenate(keys), np.concatenate(ids))
-        links = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        at = part_bounds(k, parts)
-        rows = [(p, False, squeeze_sorted(k[at[p] : at[p + 1]]), squeeze(centre[at[p] : at[p + 1]])) for p in range(parts) if at[p + 1] > at[p]]
-        if len(links):
-            rows.append((int(links[0, 0]) % parts, True, squeeze(links[:, 0]), squeeze(links[:, 1])))
-        kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["part", "linked", "keys", "ids"])  # noqa: B905
+
+def _link_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between documents with an equal key, for the rows of one part."""
+    keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for batch in batches:
+        for linked, k, i in zip(*(batch.column(c).to_pylist() for c in ("linked", "keys", "ids")), strict=True):
+            if linked:
+                yield pa.RecordBatch.from_arrays([pa.array(expand(k, np.int64)), pa.array(expand(i, np.int64))], names=["a", "b"])
+            else:
+                keys.append(expand_sorted(k))
+                ids.append(expand(i, np.int64))
+    *_, a, b = _stars(np.concatenate(keys), np.concatenate(ids))
+    links = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
+
+
+def _block_rows(n: int, flush: int = 500_000):
+    """Blocks (ids, sizes, shingles) of the picked documents' sets, for rows whose text still has the picked set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids, held = [], [], 0
+        ids, sets, held = [], [], 0
+
+        def block() -> pa.RecordBatch:
+            packed = [squeeze(np.array(ids, np.int64)), squeeze(np.array([len(x) for x in sets], np.int64)), b"".join(x.tobytes() for x in sets)]
+            return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in packed], names=["ids", "sizes", "shingles"])
+
         for batch in batches:
             for part in slices(batch):
-                seen: set[bytes] = set()
-                for doc, s in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text"), n), strict=True):
-                    if doc is None or not len(s) or (key := set_key(s)) in seen:
-                        continue  # equal sets are linked by their key
-                    seen.add(key)
-                    own = cells(s, percent)
-                    keys.append(own)
-                    ids.append(np.full(len(own), doc, np.int64))
-                    held += len(own)
+                rows = zip(part.column("doc_id").to_pylist(), part.column("set_key").to_pylist(), shingle_sets(part.column("text"), n), strict=True)
+                for doc, key, s in rows:
+                    if set_key(s) == key:
+                        ids.append(doc), sets.append(s)
+                        held += len(s)
                 if held >= flush:
-                    yield emit(keys, ids)
-                    keys, ids, held = [], [], 0
-        if held:
-            yield emit(keys, ids)
+                    yield block()
+                    ids, sets, held = [], [], 0
+        if ids:
+            yield block()
+
+    return run
+
+
+def _sets_of(ids: bytes, sizes: bytes, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return expand(ids, np.int64), expand(sizes, np.int64), np.frombuffer(raw, np.uint64)
+
+
+def _ask(parts: int):
+    """(part, block, keys, counts): the distinct shingles of each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+                keys, counts = np.unique(np.frombuffer(raw, np.uint64), return_counts=True)
+                at = part_bounds(keys, parts)
+                rows = [(p, block, squeeze_sorted(keys[a:b]), squeeze(counts[a:b].astype(np.uint32))) for p, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a]
+                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["part", "block", "keys", "counts"])
+
+    return run
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, block, totals): for each asking block of a part, how many sets have each of its keys."""
+    parts, blocks, keys, counts = [], [], [], []
+    for batch in batches:
+        for p, b, k, c in zip(*(batch.column(x).to_pylist() for x in ("part", "block", "keys", "counts")), strict=True):
+            parts.append(p), blocks.append(b), keys.append(expand_sorted(k)), counts.append(expand(c, np.uint32))
+    _, which = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(which, np.concatenate(counts)).astype(np.uint32)[which]
+    ends = np.cumsum([len(k) for k in keys])
+    answers = [squeeze(total[e - len(k) : e]) for e, k in zip(ends.tolist(), keys, strict=True)]
+    yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blocks, pa.int64()), pa.array(answers, pa.binary())], names=["part", "block", "totals"])
+
+
+def _rare_keys(percent: int, parts: int):
+    """For one block and its answers: the first shingles of each set, from rare to frequent, that other sets have."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        answers = right.sort_by("part").column("totals").to_pylist()
+        for row in left.to_pylist():
+            ids, sizes, flat = _sets_of(row["ids"], row["sizes"], row["shingles"])
+            keys, which = np.unique(flat, return_inverse=True)
+            totals = np.concatenate([expand(x, np.uint32) for x in answers])[which]
+            doc = np.repeat(np.arange(len(ids)), sizes)
+            order = np.lexsort((flat, totals, doc))  # sets stay in place; rare shingles come first
+            rank = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            first = rank < np.repeat(sizes - (sizes * percent + 99) // 100 + 1, sizes)
+            take = order[first & (totals[order] > 1)]
+            out.append(_packed_links(flat[take], ids[doc[take]], parts))
+        return pa.Table.from_batches(out)
 
     return run
 
@@ -250,13 +280,13 @@ def _sum_lone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(total)], names=["id", "lone"])
 
 
-def _candidates(docs: DataFrame, named: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
-    """Ids of documents that share enough of their shingles with anybody."""
+def _candidates(docs: DataFrame, sets: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
+    """The sets (doc_id, set_key) that have enough shingles in common with anybody."""
     ranged = docs.select("doc_id", "text").mapInArrow(_range_rows(n, parts), "part int, keys binary, ids binary")
     lone = ranged.groupBy("part").applyInArrow(_lone_rows(parts), "part int, ids binary, counts binary")
     lone = lone.groupBy("part").applyInArrow(_sum_lone, "id long, lone long")
-    joined = named.join(lone, named["doc_id"] == lone["id"], "left")
-    return joined.where(F.coalesce("lone", F.lit(0)) * 100 <= (100 - percent) * F.col("n_shingles")).select("doc_id").distinct()
+    joined = sets.join(lone, sets["doc_id"] == lone["id"], "left")
+    return joined.where(F.coalesce("lone", F.lit(0)) * 100 <= (100 - percent) * F.col("n_shingles")).select("doc_id", "set_key")
 
 
 def _picked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -266,21 +296,6 @@ def _picked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(wanted, "doc_id")
 
 
-def _link_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between documents with an equal cell, for the rows of one part."""
-    keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for batch in batches:
-        for linked, k, i in zip(*(batch.column(c).to_pylist() for c in ("linked", "keys", "ids")), strict=True):
-            if linked:
-                yield pa.RecordBatch.from_arrays([pa.array(expand(k, np.int64)), pa.array(expand(i, np.int64))], names=["a", "b"])
-            else:
-                keys.append(expand_sorted(k))
-                ids.append(expand(i, np.int64))
-    *_, a, b = _stars(np.concatenate(keys), np.concatenate(ids))
-    links = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
-
-
 def _bitmap(s: np.ndarray) -> np.ndarray:
     bits = np.zeros(BITMAP_WORDS * 64, bool)
     bits[(mix(s) >> np.uint64(40)) % np.uint64(len(bits))] = True
@@ -332,38 +347,48 @@ def _tiles(percent: int):
                 if doc not in seen:
                     seen.add(doc)
                     ids.append(doc), sets.append(expand_sorted(raw)), block.append(b)
-        first, second = key[1].as_py(), key[2].as_py()
-        links = link_tile(ids, sets, percent, np.array(block) if first != second else None)
+        links = link_tile(ids, sets, percent, np.array(block) if key[1].as_py() != key[2].as_py() else None)
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return tiles
 
 
-def _pack_sets(n: int):
-    """The shingle sets of the candidates, for rows whose text still has the candidate's set."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                sets = shingle_sets(part.column("text"), n)
-                same = [set_key(s) == k for s, k in zip(sets, part.column("set_key").to_pylist(), strict=True)]
-                names = ["doc_id", "class", "blocks"]
-                arrays = [*(part.column(c) for c in names), pa.array([squeeze_sorted(s) for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*names, "shingles"]).filter(pa.array(same))
-
-    return pack
-
-
-def _tile_links(docs: DataFrame, members: DataFrame, n: int, percent: int, tile: int) -> DataFrame:
-    """Verified links (a, b) within candidate classes; members: (doc_id, set_key, n_shingles, class), one row per set."""
-    heavy = F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("n_shingles") / TILE_SHINGLES)).cast("int")
-    classes = members.groupBy("class").agg(F.count(F.lit(1)).alias("sets"), heavy.alias("blocks")).where("sets > 1").drop("sets")
-    wanted = stored(lookup(members, classes, ["class"], "doc_id").where("blocks IS NOT NULL").select("doc_id", "set_key", "class", "blocks"), "jaccard-members")
-    packed = _picked(docs, wanted).mapInArrow(_pack_sets(n), "doc_id long, class long, blocks int, shingles binary")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block")
-    dealt = packed.select("*", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = dealt.select("doc_id", "shingles", "block", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    return dealt.groupBy("class", "one", "two").applyInArrow(_tiles(percent), "a long, b long")
+def _single_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of blocks, one per row."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            ids, sizes, flat = _sets_of(row["ids"], row["sizes"], row["shingles"])
+            ends = np.cumsum(sizes).tolist()
+            packed = [squeeze_sorted(flat[e - n : e]) for e, n in zip(ends, sizes.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(packed, pa.binary())], names=["doc_id", "shingles"])
+
+
+def _tile_links(blocks: DataFrame, members: DataFrame, percent: int, tile: int) -> DataFrame:
+    """Verified links (a, b) within candidate classes; members: (doc_id, n_shingles, class), one row per set."""
+    # sets of linked documents are in the same or in neighbouring bands
+    banded = members.withColumn("band", F.floor(F.log(F.col("n_shingles") + F.lit(0.0)) / F.log(F.lit(101.0 / percent))).cast("int"))
+    pieces = F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("n_shingles") / TILE_SHINGLES)).cast("int")
+    classes = banded.groupBy("class").agg(F.count(F.lit(1)).alias("sets"), pieces.alias("whole")).where("sets > 1").drop("sets")
+    per_band = banded.groupBy("class", "band").agg(pieces.alias("pieces")).groupBy("class").agg(F.map_from_entries(F.collect_list(F.struct("band", "pieces"))).alias("cut"))
+    placed = lookup(banded, classes.join(per_band, "class"), ["class"], "doc_id").where("whole IS NOT NULL")
+    small = F.col("whole") == 1
+    band = F.when(small, F.lit(0)).otherwise(F.col("band"))
+    own = F.when(small, F.lit(1)).otherwise(F.col("cut")[F.col("band")])
+    placed = placed.select("doc_id", "class", "cut", small.alias("small"), band.alias("band"), own.alias("own"))
+    placed = placed.withColumn("piece", F.pmod(F.xxhash64("doc_id"), F.col("own")).cast("int"))
+
+    def tiles(other):  # with all pieces of another band
+        n = F.coalesce(F.col("cut")[other], F.lit(0))
+        return F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), lambda k: F.struct(other.alias("band"), k.alias("piece")))
+
+    mine = F.struct("band", "piece")
+    same = F.transform(F.sequence(F.lit(0), F.col("own") - 1), lambda k: F.struct(F.col("band").alias("band"), k.alias("piece")))
+    others = F.when(F.col("small"), same).otherwise(F.concat(same, tiles(F.col("band") - 1), tiles(F.col("band") + 1)))
+    dealt = placed.withColumn("other", F.explode(others)).select("doc_id", "class", mine.alias("mine"), "other")
+    dealt = dealt.select("doc_id", "class", F.xxhash64("mine").alias("block"), F.least("mine", "other").alias("one"), F.greatest("mine", "other").alias("two"))
+    single = blocks.select("ids", "sizes", "shingles").mapInArrow(_single_sets, "doc_id long, shingles binary")
+    joined = dealt.join(single, "doc_id").select("class", "one", "two", "doc_id", "block", "shingles")
+    return joined.groupBy("class", "one", "two").applyInArrow(_tiles(percent), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> DataFrame:
@@ -373,12 +398,15 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, tile: int
     named = described.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     sets = stored(named.groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "jaccard-keys")
 
-    candidates = stored(_candidates(docs, named, n, percent, parts), "jaccard-candidates")
-    cell_rows = _picked(docs, candidates).mapInArrow(_cell_rows(n, percent, parts), "part int, linked boolean, keys binary, ids binary")
-    celled = components(cell_rows.groupBy("part").applyInArrow(_link_cells, "a long, b long"), "jaccard-classes")
-    # a cell names any document of a set; equal sets have equal cells, so they are in one class
-    classes = named.join(celled, named["doc_id"] == celled["node"]).groupBy("set_key").agg(F.min("component").alias("class"))
-    linked = components(_tile_links(docs, sets.join(classes, "set_key"), n, percent, tile), "jaccard-links")
+    candidates = stored(_candidates(docs, sets, n, percent, parts), "jaccard-candidates")
+    blocks = _picked(docs, candidates).mapInArrow(_block_rows(n), "ids binary, sizes binary, shingles binary")
+    blocks = stored(blocks.withColumn("block", F.monotonically_increasing_id()), "jaccard-blocks")
+    asked = blocks.select("block", "shingles").mapInArrow(_ask(parts), "part int, block long, keys binary, counts binary")
+    answers = asked.groupBy("part").applyInArrow(_answer, "part int, block long, totals binary")
+    rare = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_rare_keys(percent, parts), "part int, linked boolean, keys binary, ids binary")
+    classes = components(rare.groupBy("part").applyInArrow(_link_keys, "a long, b long"), "jaccard-classes")
+    members = stored(sets.join(classes, sets["doc_id"] == classes["node"]).select("doc_id", "n_shingles", F.col("component").alias("class")), "jaccard-members")
+    linked = components(_tile_links(blocks, members, percent, tile), "jaccard-links")
 
     of_set = sets.join(linked, sets["doc_id"] == linked["node"], "left")
     shared = of_set.where("copies > 1 OR component IS NOT NULL").select("set_key", F.coalesce("component", "doc_id").alias("component_id"))
