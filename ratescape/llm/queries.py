@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescape.llm import decontaminate, fair_mix, fertility, jaccard_join, line_dedup
+from ratescape.llm import decontaminate, fair_mix, fertility, jaccard_join, line_dedup, lm, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2(F.encode(text, "utf-8"), 256).alias("kept_sha256"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    histories = warc.capture_histories(_table(spark, sf_dir, "pages"))
+    return histories.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), n=3, percent=90)
 
@@ -27,6 +32,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(docs.select("doc_id", "text"), benchmark, window=10))
 
 
+def op8_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.interpolated_scores(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_measures(_table(spark, sf_dir, "documents"))
 
@@ -37,7 +46,7 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(*(F.col(f"_{c}").alias({"id": "doc_id"}.get(c, c)) for c in ("id", "source", "size", "source_size", "target", "taken")))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op4_jaccard_join, op5_decontaminate, op9_quality_fertility, op10_fair_mix)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op4_jaccard_join, op5_decontaminate, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -55,6 +64,16 @@ WITH split AS (
 SELECT doc_id, count(*) AS n_lines, count(r.key) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (r.key IS NULL), '')) AS kept_sha256
 FROM lines LEFT JOIN repeated r USING (key) GROUP BY doc_id""",
+    "op2_warc": """
+WITH records AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT payload_digest, min(page_id) AS first FROM records WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM records LEFT JOIN firsts USING (payload_digest)""",
     "op4_jaccard_join": rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents
