@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescape.llm import decontaminate, fair_mix, fertility, jaccard_join, line_dedup, lm, warc
+from ratescape.llm import decontaminate, fair_mix, fertility, jaccard_join, line_dedup, lm, private_data, secret_scan, spans, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,16 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histories.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def _span_digest(found: DataFrame, kinds: tuple[str, ...], *more: str) -> DataFrame:
+    base = F.col("_base")
+    counts = [spans.count(base, k).alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(spans.joined(base), 256).alias("base_sha256"), spans.joined(F.col("_all")).alias("spans"), *more)
+
+
+def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(secret_scan.scan(_table(spark, sf_dir, "documents")), secret_scan.KINDS[:3], "n_live", "n_examples")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), n=3, percent=90)
 
@@ -32,6 +42,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(docs.select("doc_id", "text"), benchmark, window=10))
 
 
+def op7_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(private_data.find_private(_table(spark, sf_dir, "documents")), private_data.KINDS)
+
+
 def op8_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.interpolated_scores(_table(spark, sf_dir, "documents"))
 
@@ -46,7 +60,7 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(*(F.col(f"_{c}").alias({"id": "doc_id"}.get(c, c)) for c in ("id", "source", "size", "source_size", "target", "taken")))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op4_jaccard_join, op5_decontaminate, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_secret_ownership, op4_jaccard_join, op5_decontaminate, op7_private_data, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
