@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescape.llm import decontaminate, fair_mix, fertility, jaccard_join, line_dedup, lm, private_data, secret_scan, spans, warc
+from ratescape.llm import decontaminate, fair_mix, fertility, jaccard_join, line_dedup, lm, private_data, secret_scan, spans, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(docs.select("doc_id", "text"), benchmark, window=10))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), size=100)
+
+
 def op7_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(private_data.find_private(_table(spark, sf_dir, "documents")), private_data.KINDS)
 
@@ -60,7 +64,7 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(*(F.col(f"_{c}").alias({"id": "doc_id"}.get(c, c)) for c in ("id", "source", "size", "source_size", "target", "taken")))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_secret_ownership, op4_jaccard_join, op5_decontaminate, op7_private_data, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_secret_ownership, op4_jaccard_join, op5_decontaminate, op6_suffix_dedup, op7_private_data, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
