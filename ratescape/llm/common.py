@@ -6,6 +6,9 @@ many texts at once, so no per-character Python code runs.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import inspect
 import uuid
 from collections.abc import Iterator
 
@@ -67,6 +70,37 @@ def lookup(rows: DataFrame, table: DataFrame, on: list[str], spread: str, salts:
     return dealt.join(salted, [*on, "_salt"], "left").drop("_salt")
 
 
+# ---------------------------------------------------------------- memory of Python workers
+
+
+def _give_back() -> None:
+    """Hand freed memory back to the system: Spark reuses its Python workers from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(function):
+    """The function for mapInArrow or a cogroup, giving memory back when it is done."""
+    if inspect.isgeneratorfunction(function):
+
+        @functools.wraps(function)
+        def run(*args):
+            yield from function(*args)
+            _give_back()
+    else:
+
+        @functools.wraps(function)
+        def run(*args):
+            out = function(*args)
+            _give_back()
+            return out
+
+    return run
+
+
 # ---------------------------------------------------------------- texts as bytes
 
 

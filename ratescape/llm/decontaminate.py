@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratescape.llm.common import Words, runs, shared_path, slices
+from ratescape.llm.common import runs, shared_path, slices, tidy, Words
 
 WORD_BYTES = np.ones(256, bool)
 WORD_BYTES[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = False
@@ -212,14 +212,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
     blocks = list(_blocks(benchmark, block_bytes)) if block_bytes else []
     schema = T.StructType([*docs.schema.fields, *ADDED])
     if len(blocks) <= 1:
-        return docs.mapInArrow(_scan(spark.sparkContext.broadcast(blocks[0] if blocks else []), window), schema)
+        return docs.mapInArrow(tidy(_scan(spark.sparkContext.broadcast(blocks[0] if blocks else []), window)), schema)
     numbered = docs.select(*docs.columns, F.monotonically_increasing_id().alias("_row"))
     path = shared_path(spark, "leak-docs")
     numbered.write.parquet(path)
     numbered = spark.read.schema(numbered.schema).parquet(path)
     found = None
     for block in blocks:
-        hits = numbered.select("_row", "text").mapInArrow(_scan(spark.sparkContext.broadcast(block), window), T.StructType([T.StructField("_row", T.LongType()), T.StructField("text", T.StringType()), *ADDED]))
+        hits = numbered.select("_row", "text").mapInArrow(tidy(_scan(spark.sparkContext.broadcast(block), window)), T.StructType([T.StructField("_row", T.LongType()), T.StructField("text", T.StringType()), *ADDED]))
         hits = hits.select("_row", "_n_words", "_spans", "_items")
         found = hits if found is None else found.union(hits)
     merged = found.groupBy("_row").agg(
@@ -279,4 +279,4 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_wo
     """``docs`` without the hit spans; a document with more than ``max_words`` hit words or ``max_share`` of its words hit goes."""
     found = contamination(docs, benchmark, window)
     schema = T.StructType([f for f in found.schema.fields if f.name in docs.columns])
-    return found.mapInArrow(_cut(max_words, max_share, schema), schema)
+    return found.mapInArrow(tidy(_cut(max_words, max_share, schema)), schema)

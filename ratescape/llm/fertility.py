@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ratescape.llm.common import IS_WORD, Words, mix, shingles, slices
+from ratescape.llm.common import IS_WORD, mix, shingles, slices, tidy, Words
 
 VOCABULARY_DIR = "/opt/tokenizers"
 VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
@@ -222,7 +222,7 @@ def quality_measures(
                 yield _measure(part, loaded, limits)
 
     columns = ["doc_id", "text"] + ["lang"] * ("lang" in docs.columns)
-    return docs.select(*columns).mapInArrow(measure, RESULT)
+    return docs.select(*columns).mapInArrow(tidy(measure), RESULT)
 
 
 def reject_by_fertility(docs: DataFrame, **options) -> DataFrame:
@@ -236,4 +236,4 @@ def reject_by_fertility(docs: DataFrame, **options) -> DataFrame:
             for part in slices(batch):
                 yield part.filter(_measure(part, loaded, limits).column("kept"))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep), docs.schema)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratescape.llm.common import Words, expand, expand_sorted, lookup, mix, part_bounds, parts_of, shingles, slices, squeeze, squeeze_sorted, stored
+from ratescape.llm.common import expand, expand_sorted, lookup, mix, part_bounds, parts_of, shingles, slices, squeeze, squeeze_sorted, stored, tidy, Words
 from ratescape.llm.components import components
 
 #: Sets of a piece of a tile; words of 64 bits of a bitmap.
@@ -282,7 +282,7 @@ def _sum_lone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _candidates(docs: DataFrame, sets: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
     """The sets (doc_id, set_key) that have enough shingles in common with anybody."""
-    ranged = docs.select("doc_id", "text").mapInArrow(_range_rows(n, parts), "part int, keys binary, ids binary")
+    ranged = docs.select("doc_id", "text").mapInArrow(tidy(_range_rows(n, parts)), "part int, keys binary, ids binary")
     lone = ranged.groupBy("part").applyInArrow(_lone_rows(parts), "part int, ids binary, counts binary")
     lone = lone.groupBy("part").applyInArrow(_sum_lone, "id long, lone long")
     joined = sets.join(lone, sets["doc_id"] == lone["id"], "left")
@@ -386,7 +386,7 @@ def _tile_links(blocks: DataFrame, members: DataFrame, percent: int, tile: int)
     others = F.when(F.col("small"), same).otherwise(F.concat(same, tiles(F.col("band") - 1), tiles(F.col("band") + 1)))
     dealt = placed.withColumn("other", F.explode(others)).select("doc_id", "class", mine.alias("mine"), "other")
     dealt = dealt.select("doc_id", "class", F.xxhash64("mine").alias("block"), F.least("mine", "other").alias("one"), F.greatest("mine", "other").alias("two"))
-    single = blocks.select("ids", "sizes", "shingles").mapInArrow(_single_sets, "doc_id long, shingles binary")
+    single = blocks.select("ids", "sizes", "shingles").mapInArrow(tidy(_single_sets), "doc_id long, shingles binary")
     joined = dealt.join(single, "doc_id").select("class", "one", "two", "doc_id", "block", "shingles")
     return joined.groupBy("class", "one", "two").applyInArrow(_tiles(percent), "a long, b long")
 
@@ -394,16 +394,16 @@ def _tile_links(blocks: DataFrame, members: DataFrame, percent: int, tile: int)
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text); see the module."""
     parts = parts_of(docs.sparkSession)
-    described = stored(docs.select("doc_id", "text").mapInArrow(_describe(n), "doc_id long, n_shingles long, set_key binary"), "jaccard-sets")
+    described = stored(docs.select("doc_id", "text").mapInArrow(tidy(_describe(n)), "doc_id long, n_shingles long, set_key binary"), "jaccard-sets")
     named = described.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     sets = stored(named.groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "jaccard-keys")
 
     candidates = stored(_candidates(docs, sets, n, percent, parts), "jaccard-candidates")
-    blocks = _picked(docs, candidates).mapInArrow(_block_rows(n), "ids binary, sizes binary, shingles binary")
+    blocks = _picked(docs, candidates).mapInArrow(tidy(_block_rows(n)), "ids binary, sizes binary, shingles binary")
     blocks = stored(blocks.withColumn("block", F.monotonically_increasing_id()), "jaccard-blocks")
-    asked = blocks.select("block", "shingles").mapInArrow(_ask(parts), "part int, block long, keys binary, counts binary")
+    asked = blocks.select("block", "shingles").mapInArrow(tidy(_ask(parts)), "part int, block long, keys binary, counts binary")
     answers = asked.groupBy("part").applyInArrow(_answer, "part int, block long, totals binary")
-    rare = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_rare_keys(percent, parts), "part int, linked boolean, keys binary, ids binary")
+    rare = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(tidy(_rare_keys(percent, parts)), "part int, linked boolean, keys binary, ids binary")
     classes = components(rare.groupBy("part").applyInArrow(_link_keys, "a long, b long"), "jaccard-classes")
     members = stored(sets.join(classes, sets["doc_id"] == classes["node"]).select("doc_id", "n_shingles", F.col("component").alias("class")), "jaccard-members")
     linked = components(_tile_links(blocks, members, percent, tile), "jaccard-links")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratescape.llm.common import SPACES, expand, shared_path, squeeze, stored
+from ratescape.llm.common import SPACES, expand, shared_path, squeeze, stored, tidy
 
 #: Bits of a filter: 2**25 is 4 MiB. Segments are the unit in which filters are merged.
 FILTER_BITS = 25
@@ -101,9 +101,9 @@ def _merge(bits: int):
 def twice_seen(docs: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     """The merged second filter, one byte per eight bits: 2**bits / 8 bytes whatever the input."""
     spark = docs.sparkSession
-    tasks = docs.select("text").mapInArrow(_build(bits), "segment int, once binary, twice binary")
+    tasks = docs.select("text").mapInArrow(tidy(_build(bits)), "segment int, once binary, twice binary")
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    merged = tasks.repartition(min(SEGMENTS, shuffle), "segment").mapInArrow(_merge(bits), "segment int, twice binary")
+    merged = tasks.repartition(min(SEGMENTS, shuffle), "segment").mapInArrow(tidy(_merge(bits)), "segment int, twice binary")
     out = np.zeros((SEGMENTS, (1 << bits) // SEGMENTS // 8), np.uint8)
     for row in merged.collect():  # SEGMENTS rows of a fixed size
         out[row.segment] = expand(bytes(row.twice), np.uint8)
@@ -152,7 +152,7 @@ def repeated_keys(docs: DataFrame, min_docs: int, sent) -> DataFrame:
     ``sent`` is the broadcast second filter. Only suspected keys are shuffled,
     one row per document and key, and counts combine before the shuffle.
     """
-    found = docs.select(F.lit(0).cast("long").alias("_row"), "doc_id", "text").mapInArrow(_list_suspects(sent, False), PLACES)
+    found = docs.select(F.lit(0).cast("long").alias("_row"), "doc_id", "text").mapInArrow(tidy(_list_suspects(sent, False)), PLACES)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line")).alias("first")
     counted = found.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), first).where(F.col("n_docs") >= min_docs)
     return counted.select("key", "n_docs", "first.doc_id", "first.line")
@@ -180,20 +180,20 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, keep: str = "none", bits: in
     if keys.count() <= broadcast_keys:
         places = {_hash(bytes(r.key)): (r.doc_id, r.line) for r in keys.drop("n_docs").toLocalIterator()}
         known = spark.sparkContext.broadcast(places if keep == "first" else dict.fromkeys(places))
-        return docs.mapInArrow(_apply(_by_key(known)), schema)
+        return docs.mapInArrow(tidy(_apply(_by_key(known))), schema)
 
     # Number the rows in a stored table, list the lines with a repeated key, and join their places back.
     numbered = docs.select(*docs.columns, F.monotonically_increasing_id().alias("_row"))
     path = shared_path(spark, "line-docs")
     numbered.write.parquet(path)
     numbered = spark.read.schema(numbered.schema).parquet(path)
-    lines = numbered.select("_row", "doc_id", "text").mapInArrow(_list_suspects(sent, True), PLACES)
+    lines = numbered.select("_row", "doc_id", "text").mapInArrow(tidy(_list_suspects(sent, True)), PLACES)
     salted = keys.select("key", F.col("doc_id").alias("first_id"), F.col("line").alias("first_line"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
     hits = lines.withColumn("salt", F.pmod("_row", F.lit(16)).cast("int")).join(salted, ["key", "salt"])
     if keep == "first":
         hits = hits.where(~(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("line") == F.col("first_line"))))
     by_row = hits.groupBy("_row").agg(F.collect_list("line").alias("_places"))
-    return numbered.join(by_row, "_row", "left").mapInArrow(_apply(_by_place), schema)
+    return numbered.join(by_row, "_row", "left").mapInArrow(tidy(_apply(_by_place)), schema)
 
 
 def _by_key(known):

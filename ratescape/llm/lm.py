@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratescape.llm.common import Words, expand, expand_sorted, mix, part_bounds, parts_of, slices, squeeze, squeeze_sorted, stored
+from ratescape.llm.common import expand, expand_sorted, mix, part_bounds, parts_of, slices, squeeze, squeeze_sorted, stored, tidy, Words
 
 BLOCK_TOKENS = 1_000_000
 END = np.uint64(0x5EED0FE4D0000001)
@@ -203,13 +203,13 @@ def interpolated_scores(docs: DataFrame, folds: int = 7, held_fold: int = 2) ->
     parts = parts_of(docs.sparkSession)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held_fold, F.lit(False))
     rows = docs.select("doc_id", "text", held.alias("held"))
-    blocks = stored(rows.mapInArrow(_encode, BLOCK).withColumn("block", F.monotonically_increasing_id()), "lm-blocks")
-    asked = blocks.mapInArrow(_ask(parts), "kind int, part int, block long, keys binary, counts binary")
+    blocks = stored(rows.mapInArrow(tidy(_encode), BLOCK).withColumn("block", F.monotonically_increasing_id()), "lm-blocks")
+    asked = blocks.mapInArrow(tidy(_ask(parts)), "kind int, part int, block long, keys binary, counts binary")
     answers = stored(asked.groupBy("kind", "part").applyInArrow(_answer, ANSWER), "lm-counts")
     n, v = (int(x or 0) for x in answers.where("kind = 1").agg(F.sum("total"), F.sum("types")).first())
 
     def with_counts(function, schema: str) -> DataFrame:
-        return blocks.groupBy("block").cogroup(answers.select("kind", "part", "block", "totals").groupBy("block")).applyInArrow(function, schema)
+        return blocks.groupBy("block").cogroup(answers.select("kind", "part", "block", "totals").groupBy("block")).applyInArrow(tidy(function), schema)
 
     # at most BUCKETS * (HALF_OCTAVES + 1) ** 2 rows, whatever the input
     grid = with_counts(_deleted(n), "cell long, tokens long").groupBy("cell").agg(F.sum("tokens").alias("tokens")).collect()

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratescape.llm.common import SLICE_BYTES, Spans, expand, expand_sorted, mix, part_bounds, parts_of, runs, slices, squeeze, squeeze_sorted, stored, text_bytes
+from ratescape.llm.common import SLICE_BYTES, expand, expand_sorted, mix, part_bounds, parts_of, runs, slices, squeeze, squeeze_sorted, stored, text_bytes, tidy, Spans
 
 GRAM = 24
 #: Contexts of an anchor from which on its windows are dealt by offset; offsets of a class; keys sampled for splitters.
@@ -282,10 +282,10 @@ def remove_repeats(docs: DataFrame, size: int = 100, with_text: bool = False, ma
         raise ValueError(f"size is from {2 * GRAM} to 4095")
     spark = docs.sparkSession
     parts = parts_of(spark)
-    blocks = stored(docs.select("doc_id", "text").mapInArrow(_store_blocks, BLOCK).withColumn("block", F.monotonically_increasing_id()), "suffix-blocks")
-    asked = blocks.mapInArrow(_ask(size, parts), "part int, block long, grams binary, contexts binary, docs binary")
+    blocks = stored(docs.select("doc_id", "text").mapInArrow(tidy(_store_blocks), BLOCK).withColumn("block", F.monotonically_increasing_id()), "suffix-blocks")
+    asked = blocks.mapInArrow(tidy(_ask(size, parts)), "part int, block long, grams binary, contexts binary, docs binary")
     codes = stored(asked.groupBy("part").applyInArrow(_answer(many), "part int, block long, codes binary"), "suffix-codes")
-    contexts = blocks.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(_contexts(size), CONTEXT)
+    contexts = blocks.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(tidy(_contexts(size)), CONTEXT)
     contexts = stored(contexts, "suffix-contexts")
 
     step = F.lit(contexts.count() // SAMPLE + 1)
@@ -297,7 +297,7 @@ def remove_repeats(docs: DataFrame, size: int = 100, with_text: bool = False, ma
     none = F.lit(None)
     answers = codes.select("block", F.lit(0).alias("kind"), "part", "codes", *(none.cast("int").alias(c) for c in ("record", "low", "high")))
     repeats = compared.select("block", F.lit(1).alias("kind"), none.cast("int").alias("part"), none.cast("binary").alias("codes"), "record", "low", "high")
-    result = blocks.groupBy("block").cogroup(answers.unionByName(repeats).groupBy("block")).applyInArrow(_remove(size, with_text), RESULT)
+    result = blocks.groupBy("block").cogroup(answers.unionByName(repeats).groupBy("block")).applyInArrow(tidy(_remove(size, with_text)), RESULT)
     return result if with_text else result.drop("kept")
 
 
@@ -310,4 +310,4 @@ def _ranged(contexts: DataFrame, splitters: list[tuple[bytes, int]]) -> DataFram
             bucket = pa.array([bisect_right(splitters, key) for key in keys], pa.int32())
             yield pa.RecordBatch.from_arrays([bucket, *batch.columns], names=["bucket", *batch.schema.names])
 
-    return contexts.mapInArrow(place, f"bucket int, {CONTEXT}")
+    return contexts.mapInArrow(tidy(place), f"bucket int, {CONTEXT}")

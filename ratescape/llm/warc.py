@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescape.llm.common import lookup, shared_path, stored
+from ratescape.llm.common import lookup, shared_path, stored, tidy
 
 MIN_REVISIT = 100
 #: Records of an archive file at most, captures of a chunk of a run, keys sampled for splitters.
@@ -176,13 +176,13 @@ def merged_index(spark: SparkSession, path: str, ranges: int | None = None) -> D
     """All captures of the archives below ``path``; by (range, place) they are in global order."""
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     archives = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
-    runs = stored(archives.mapInArrow(_read_runs, f"archive string, captures array<{CAPTURE}>"), "warc-runs")
+    runs = stored(archives.mapInArrow(tidy(_read_runs), f"archive string, captures array<{CAPTURE}>"), "warc-runs")
     chunks = runs.count()
     step = F.lit(chunks // SAMPLE + 1)
     first = runs.select(F.col("captures")[0].alias("c")).where(F.pmod(F.xxhash64("c.url_key", "c.page_id"), step) == 0)
     sampled = sorted(_key(r.c.asDict()) for r in first.collect())  # about SAMPLE keys
     splitters = [sampled[i * len(sampled) // ranges] for i in range(1, ranges)] if sampled else []
-    pieces = runs.mapInArrow(_cut(splitters), f"range int, archive string, captures array<{CAPTURE}>")
+    pieces = runs.mapInArrow(tidy(_cut(splitters)), f"range int, archive string, captures array<{CAPTURE}>")
     return pieces.groupBy("range").applyInArrow(_merge, MERGED)
 
 
