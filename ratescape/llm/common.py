@@ -7,7 +7,6 @@ many texts at once, so no per-character Python code runs.
 from __future__ import annotations
 
 import ctypes
-import functools
 import inspect
 import uuid
 from collections.abc import Iterator
@@ -86,15 +85,13 @@ def tidy(function):
     """The function for mapInArrow or a cogroup, giving memory back when it is done."""
     if inspect.isgeneratorfunction(function):
 
-        @functools.wraps(function)
-        def run(*args):
-            yield from function(*args)
+        def run(batches):
+            yield from function(batches)
             _give_back()
     else:
 
-        @functools.wraps(function)
-        def run(*args):
-            out = function(*args)
+        def run(left, right):
+            out = function(left, right)
             _give_back()
             return out
 
