@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import itertools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,26 +11,21 @@ from ratescape.functions.profiles import CodeProfile
 from ratescape.sources.json_walk import walk_codes
 from ratescape.sources.rate_files import walk_tasks
 
-# Fixed value: items looked at per file.
-PROBE_ITEMS = 2_000
-
 
 def probe_files(
     docs: DataFrame,
     profile: CodeProfile,
-    limit_items: int = PROBE_ITEMS,
+    limit_items: int | None = None,
     stop_on_match: bool = True,
 ) -> DataFrame:
     """One row per document of ``read_docs(..., PROBE_DOC)``.
 
-    Looks at the first ``limit_items`` items only, and at none past the first
+    Looks at the first ``limit_items`` items only, if given, and at none past the first
     match unless ``stop_on_match`` is off. Works inside each row: no shuffle.
     """
-    head = F.slice(
-        F.transform("in_network", lambda item: F.coalesce(item["billing_code"], F.lit(""))),
-        1,
-        max(1, limit_items),
-    )
+    head = F.transform("in_network", lambda item: F.coalesce(item["billing_code"], F.lit("")))
+    if limit_items is not None:
+        head = F.slice(head, 1, max(1, limit_items))
     rows = docs.withColumn("head", F.coalesce(head, F.array().cast("array<string>")))
     hits = F.filter("head", lambda code: profile.contains(code))
     rows = rows.withColumn("hits", hits)
@@ -54,72 +49,73 @@ def probe_files(
     )
 
 
-PROBE_SCHEMA = (
-    "source string, status string, items_scanned long, has_match boolean, "
-    "matched_codes array<string>, error string"
-)
-
-
 def probe_paths(
     paths: DataFrame,
     profile: CodeProfile,
-    limit_items: int = PROBE_ITEMS,
+    limit_items: int | None = None,
     stop_on_match: bool = True,
     tasks: int | None = None,
 ) -> DataFrame:
     """``probe_files`` for files of any size; ``paths`` has one ``path`` per row.
 
-    A file is read only up to the last item looked at, and one that cannot be
-    read becomes an ``error`` row.
+    Python only lists the codes of a file with their positions, up to
+    ``limit_items``; matching and summing up is Spark's. A file that cannot be
+    read becomes an ``error`` row, unless its first match lies before the fault
+    and the first match is all that is asked for.
     """
-    pattern = profile.pattern
 
-    def probe(batches):
+    def listed(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            rows = [_probe_path(p, pattern, limit_items, stop_on_match) for p in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_pylist(rows, schema=_arrow_schema())
+        def rows(path, positions, codes, error=None):
+            n = len(positions)
+            return pa.RecordBatch.from_pydict(
+                {"source": [path] * n, "position": positions, "code": codes, "error": [error] * n},
+                schema=pa.schema([("source", pa.string()), ("position", pa.int64()), ("code", pa.string()), ("error", pa.string())]),
+            )
 
-    return (
-        paths.select("path").repartition(tasks or walk_tasks(paths)).mapInArrow(probe, PROBE_SCHEMA)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                codes: list[str] = []
+                done, error = 0, None
+                try:
+                    for code in itertools.islice(walk_codes(path), limit_items and max(1, limit_items)):
+                        codes.append(code)
+                        if len(codes) == 10_000:
+                            yield rows(path, list(range(done + 1, done + 10_001)), codes)
+                            done, codes = done + 10_000, []
+                except (OSError, ValueError) as fault:
+                    error = str(fault)
+                yield rows(path, list(range(done + 1, done + len(codes) + 1)), codes)
+                yield rows(path, [0], [None], error)  # a file without items has this row alone
+
+    hit = profile.contains(F.col("code"))
+    files = (
+        paths.select("path")
+        .repartition(tasks or walk_tasks(paths))
+        .mapInArrow(listed, "source string, position long, code string, error string")
+        .groupBy("source")
+        .agg(
+            F.max("position").alias("items"),
+            F.min(F.when(hit, F.struct("position", "code"))).alias("first"),
+            F.array_sort(F.collect_set(F.when(hit, F.col("code")))).alias("codes"),
+            F.max("error").alias("error"),
+        )
     )
-
-
-def _arrow_schema():
-    import pyarrow as pa
-
-    return pa.schema(
-        [
-            ("source", pa.string()),
-            ("status", pa.string()),
-            ("items_scanned", pa.int64()),
-            ("has_match", pa.bool_()),
-            ("matched_codes", pa.list_(pa.string())),
-            ("error", pa.string()),
-        ]
+    found = F.col("first").isNotNull()
+    fine = F.col("error").isNull() | (found if stop_on_match else F.lit(False))
+    codes = F.array("first.code") if stop_on_match else F.col("codes")
+    scanned = F.when(found, F.col("first.position")).otherwise(F.col("items")) if stop_on_match else F.col("items")
+    return files.select(
+        "source",
+        F.when(fine, "ok").otherwise("error").alias("status"),
+        scanned.alias("items_scanned"),
+        (fine & found).alias("has_match"),
+        F.when(fine & found, codes).otherwise(F.array().cast("array<string>")).alias("matched_codes"),
+        F.when(~fine, F.col("error")).alias("error"),
     )
 
 
-def _probe_path(path: str, pattern: str, limit_items: int, stop_on_match: bool) -> dict:
-    wanted, found, scanned = re.compile(pattern), set(), 0
-    row = {"source": path, "status": "ok", "error": None}
-    try:
-        for code in walk_codes(path):
-            scanned += 1
-            if wanted.fullmatch(code):
-                found.add(code)
-                if stop_on_match:
-                    break
-            if scanned >= limit_items:
-                break
-    except (OSError, ValueError) as error:
-        found = set()
-        row.update(status="error", error=str(error))
-    row.update(items_scanned=scanned, has_match=bool(found), matched_codes=sorted(found))
-    return row
-
-
 def probe_summary(results: DataFrame) -> DataFrame:
     """Files, hits, errors and misses of a probe."""
     return results.agg(

@@ -25,10 +25,6 @@ from ratescape.functions.columns import (
 from ratescape.functions.joins import null_safe_join
 from ratescape.functions.ranks import quantile_statistics, value_counts
 
-# Result caps of the provider tables.
-TOP_PROVIDERS = 500
-MAX_PROVIDERS = 10_000
-
 # Price types that count as a rate.
 DISTRIBUTION_TYPES = ("fee schedule", "per diem", "negotiated")
 PLAN_TYPES = ("fee schedule", "per diem")
@@ -121,8 +117,13 @@ def with_names(per_provider: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
+def _capped(rows: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows of ordered rows; all of them without a limit."""
+    return rows if limit is None else rows.limit(limit)
+
+
 def npi_summary(
-    rates: DataFrame, registry: DataFrame, cpt: str | None = None, limit: int = TOP_PROVIDERS
+    rates: DataFrame, registry: DataFrame, cpt: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Providers with the most distinct fee-schedule rates."""
     selected = professional_rates(rates, SUMMARY_TYPES, cpt).filter(F.size("provider_npi_list") > 0)
@@ -130,7 +131,7 @@ def npi_summary(
     distinct = by_provider(selected, *grain).distinct()
     counts = value_counts(distinct, ["npi"], "negotiated_rate")
     stats = quantile_statistics(counts, ["npi"], "negotiated_rate", MEDIAN)
-    return (
+    table = (
         with_names(stats, registry)
         .select(
             "npi",
@@ -142,13 +143,13 @@ def npi_summary(
             round_cents(F.col("median_value")).alias("median_rate"),
         )
         .orderBy(F.desc("rate_rows"), "npi", "provider_name")
-        .limit(limit)
     )
+    return _capped(table, limit)
 
 
-def _by_median(rows: DataFrame, *ties: str) -> DataFrame:
+def _by_median(rows: DataFrame, limit: int | None, *ties: str) -> DataFrame:
     order = [F.col("median_rate").desc_nulls_last(), F.col("provider_name").asc_nulls_last()]
-    return rows.orderBy(*order, *[F.col(c).asc_nulls_last() for c in ties]).limit(MAX_PROVIDERS)
+    return _capped(rows.orderBy(*order, *[F.col(c).asc_nulls_last() for c in ties]), limit)
 
 
 def provider_rates_median(
@@ -158,6 +159,7 @@ def provider_rates_median(
     modifier: str | None = None,
     payer: str | None = None,
     provider_filter: str | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Median, lowest and highest rate per provider, modifiers and payer."""
     keys = ["npi", "modifiers", "payer_name"]
@@ -186,7 +188,7 @@ def provider_rates_median(
         F.col("min_value").alias("min_rate"),
         F.col("max_value").alias("max_rate"),
     )
-    return _by_median(table, "npi", "modifiers", "payer_name")
+    return _by_median(table, limit, "npi", "modifiers", "payer_name")
 
 
 def _plan_rows(rates: DataFrame, cpt: str, modifier: str | None) -> DataFrame:
@@ -203,7 +205,7 @@ def _plan_rows(rates: DataFrame, cpt: str, modifier: str | None) -> DataFrame:
 
 
 def plan_rates_median(
-    rates: DataFrame, registry: DataFrame, cpt: str, modifier: str | None = None
+    rates: DataFrame, registry: DataFrame, cpt: str, modifier: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Median rate and number of named plans per provider and modifiers."""
     keys = ["npi", "modifiers"]
@@ -220,7 +222,7 @@ def plan_rates_median(
         F.col("max_value").alias("max_rate"),
         "plan_count",
     )
-    return _by_median(table, "npi", "modifiers")
+    return _by_median(table, limit, "npi", "modifiers")
 
 
 def plan_rates(
@@ -229,6 +231,7 @@ def plan_rates(
     cpt: str,
     modifier: str | None = None,
     plan_labels: Mapping[str, str] = ref.PLAN_LABELS,
+    limit: int | None = None,
 ) -> DataFrame:
     """Highest rate per provider and modifiers, one column per labelled plan."""
     highest = [
@@ -237,19 +240,17 @@ def plan_rates(
     ]
     pivot = _plan_rows(rates, cpt, modifier).groupBy("npi", "modifiers").agg(*highest)
     labels = [F.col(f"`{label}`") for label in plan_labels.values()]
-    # The cap applies to all providers in order; empty rows are dropped after it.
-    return (
-        with_names(pivot, registry)
+    # Providers without a rate of a labelled plan go before any cap.
+    table = (
+        with_names(pivot.filter(F.coalesce(*labels).isNotNull()), registry)
         .select("npi", "provider_name", "modifiers", *labels)
         .orderBy(
             F.col("provider_name").asc_nulls_last(),
             F.col("modifiers").asc_nulls_last(),
             "npi",
         )
-        .limit(MAX_PROVIDERS)
-        .withColumn("modifiers", modifiers_text(F.col("modifiers")))
-        .filter(F.coalesce(*labels).isNotNull())
     )
+    return _capped(table, limit).withColumn("modifiers", modifiers_text(F.col("modifiers")))
 
 
 def payer_overlap(rates: DataFrame) -> DataFrame:

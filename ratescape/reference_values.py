@@ -48,21 +48,6 @@ CREDENTIAL_MODIFIERS = ("HM", "HN", "HO")
 # management only, preoperative management only).
 STATUS_MODIFIERS = ("53", "55", "56")
 
-# Payers whose extracts are complete.
-COMPLETE_PAYERS = (
-    "Blue Shield of California",
-    "Anthem Blue Cross California",
-    "Blue Cross and Blue Shield of Texas",
-    "Blue Cross and Blue Shield of Illinois",
-    "United HealthCare Services, Inc.",
-    "Blue Cross and Blue Shield of Massachusetts Inc",
-    "Regence BlueShield of Washington",
-    "Cigna Health Life Insurance Company",
-    "Centene Management Company LLC",
-    "Aetna Life Insurance Company",
-    "Blue Cross Blue Shield of Arizona",
-)
-
 # Taxonomy prefix and label; the first matching prefix wins.
 TAXONOMY_LABELS = (
     ("103K", "BCBA"),

@@ -13,8 +13,32 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 BLOCK_BYTES = 4 << 20
-_KEY = re.compile(rb'"((?:[^"\\]|\\.)*)"\s*:\s*\Z')
-_KEY_BYTES = 512
+
+
+def _key_before(buffer: bytes, low: int, at: int) -> str | None:
+    """The key whose value begins at ``at``, found backwards over any number of blanks; None without one."""
+    at = _last_not_blank(buffer, low, at)
+    if at < low or buffer[at] != ord(":"):
+        return None
+    end = _last_not_blank(buffer, low, at)
+    if end < low or buffer[end] != ord('"'):
+        return None
+    begin = buffer.rfind(b'"', low, end)
+    while begin >= low and (begin - len(buffer[low:begin].rstrip(b"\\")) - low) % 2:  # an escaped quote
+        begin = buffer.rfind(b'"', low, begin)
+    return json.loads(buffer[begin : end + 1]) if begin >= low else None
+
+
+def _last_not_blank(buffer: bytes, low: int, end: int) -> int:
+    """Place of the last byte before ``end`` that is no white space, looked for in growing pieces."""
+    step = 64
+    while end > low:
+        begin = max(low, end - step)
+        kept = len(buffer[begin:end].rstrip(b" \t\r\n"))
+        if kept:
+            return begin + kept - 1
+        end, step = begin, step * 2
+    return low - 1
 
 
 def open_stream(path: str):
@@ -137,8 +161,7 @@ def walk(path: str, arrays: dict[str, dict | None], deepest: int) -> Iterator[Ev
                     stack.append(_Object(1, arrays, -1, begin=at))
                 elif isinstance(top, _Object):
                     if is_open and depth == top.depth + 1 and buffer[here] == ord("["):
-                        key = _KEY.search(buffer, max(top.begin - offset, here - _KEY_BYTES), here)
-                        name = key and json.loads(b'"' + key[1] + b'"')
+                        name = _key_before(buffer, max(0, top.begin - offset), here)
                         if name in top.arrays:
                             top.text.append(buffer[top.begin - offset : here + 1])
                             yield "open", name, -1, top, None

@@ -54,3 +54,11 @@ def test_codes_are_read_lazily(tmp_path):
     text = json.dumps(INLINE_DOC)[:-40] + "broken"
     path = write_json(tmp_path / "a.json", text)
     assert next(json_walk.walk_codes(path)) == "97153"
+
+
+def test_key_far_before_its_array():
+    from ratescape.sources.json_walk import _key_before
+
+    text = b'{"a\\"b"' + b" " * 900 + b":" + b"\n" * 700 + b"[1]"
+    assert _key_before(text, 0, text.index(b"[")) == 'a"b'
+    assert _key_before(b"[[", 0, 1) is None and _key_before(b'{"\\\\":[', 0, 6) == "\\"

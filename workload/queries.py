@@ -513,8 +513,12 @@ def _with_registry(transform) -> Query:
     return lambda spark, sf_dir: transform(fx.rates(spark, sf_dir), fx.npi_names(spark, sf_dir))
 
 
+# Caps of the provider tables.
+TOP_PROVIDERS, MAX_PROVIDERS = 500, 10_000
+
+
 def _plan_rates(rates, registry):
-    table = prov.plan_rates(rates, registry, CPT)
+    table = prov.plan_rates(rates, registry, CPT, limit=MAX_PROVIDERS)
     names = [c for c in table.columns if c not in ("npi", "provider_name", "modifiers")]
     renamed = [F.col(f"`{n}`").alias(f"plan_{i}") for i, n in enumerate(names)]
     return table.select("npi", "provider_name", "modifiers", *renamed)
@@ -624,17 +628,18 @@ QUERIES: dict[str, Query] = {
         lambda r: run_preset(r, "aba_97153_benchmark_rows", stable=True)
     ),
     # providers and distribution
-    "npi_summary": _with_registry(lambda r, n: prov.npi_summary(r, n)),
-    "npi_summary_code": _with_registry(lambda r, n: prov.npi_summary(r, n, CPT)),
+    "npi_summary": _with_registry(lambda r, n: prov.npi_summary(r, n, limit=TOP_PROVIDERS)),
+    "npi_summary_all": _with_registry(lambda r, n: prov.npi_summary(r, n)),
+    "npi_summary_code": _with_registry(lambda r, n: prov.npi_summary(r, n, CPT, TOP_PROVIDERS)),
     "npi_median": _with_registry(lambda r, n: dist.npi_median(r, n, CPT)),
-    "provider_rates_median": _with_registry(lambda r, n: prov.provider_rates_median(r, n, CPT)),
+    "provider_rates_median": _with_registry(lambda r, n: prov.provider_rates_median(r, n, CPT, limit=MAX_PROVIDERS)),
     "provider_filter_bcba": _with_registry(
-        lambda r, n: prov.provider_rates_median(r, n, CPT, provider_filter="bcba")
+        lambda r, n: prov.provider_rates_median(r, n, CPT, provider_filter="bcba", limit=MAX_PROVIDERS)
     ),
     "provider_filter_excl_phys": _with_registry(
-        lambda r, n: prov.provider_rates_median(r, n, CPT, "HM", provider_filter="excl_phys")
+        lambda r, n: prov.provider_rates_median(r, n, CPT, "HM", provider_filter="excl_phys", limit=MAX_PROVIDERS)
     ),
-    "plan_rates_median": _with_registry(lambda r, n: prov.plan_rates_median(r, n, CPT)),
+    "plan_rates_median": _with_registry(lambda r, n: prov.plan_rates_median(r, n, CPT, limit=MAX_PROVIDERS)),
     "plan_rates": _with_registry(_plan_rates),
     "rate_distribution": _with_registry(
         lambda r, n: dist.trimmed_counts(

@@ -656,6 +656,7 @@ SQL: dict[str, str] = {
     ),
     # providers and distribution
     "npi_summary": _npi_summary(),
+    "npi_summary_all": _npi_summary().replace(" LIMIT 500", ""),
     "npi_summary_code": _npi_summary("AND billing_code = '97153'"),
     "npi_median": _with("SELECT npi, median_rate FROM medians", RATES, NAMES, _medians()),
     "provider_rates_median": _provider_median(),
