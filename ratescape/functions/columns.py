@@ -154,15 +154,31 @@ def source_host(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)", 1)
 
 
+def without_dot_segments(path: Column) -> Column:
+    """A path that starts with '/', its ``.`` and ``..`` steps taken; a query or fragment stays as it is."""
+    steps = F.split(F.regexp_extract(path, r"^[^?#]*", 0), "/")
+    last = F.element_at(steps, -1)
+    steps = F.when(last.isin(".", ".."), F.concat(steps, F.array(F.lit("")))).otherwise(steps)
+    taken = F.aggregate(
+        steps,
+        F.array().cast("array<string>"),
+        lambda done, step: F.when(step == ".", done)
+        .when(step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.concat(done, F.array(step))),
+    )
+    return F.concat(F.array_join(taken, "/"), F.regexp_extract(path, r"[?#].*$", 0))
+
+
 def absolute_url(base: str, path: Column) -> Column:
     """Resolve a file path against the folder URL ``base`` (ends with '/')."""
     origin = "/".join(base.split("/", 3)[:3])
+    folder = base[len(origin) :]
     scheme = base.split(":", 1)[0]
     return (
         F.when(path.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), path)
         .when(path.startswith("//"), F.concat(F.lit(f"{scheme}:"), path))
-        .when(path.startswith("/"), F.concat(F.lit(origin), path))
-        .otherwise(F.concat(F.lit(base), F.regexp_replace(path, r"^(\./)+", "")))
+        .when(path.startswith("/"), F.concat(F.lit(origin), without_dot_segments(path)))
+        .otherwise(F.concat(F.lit(origin), without_dot_segments(F.concat(F.lit(folder), path))))
     )
 
 

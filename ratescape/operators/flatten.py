@@ -71,6 +71,13 @@ def missing_references(files: RateFiles) -> DataFrame:
     return used.distinct().join(files.references, ["source_file_url", "ref_id"], "left_anti")
 
 
+def file_failures(files: RateFiles) -> DataFrame:
+    """(source_file_url, error_type, error) of files that cannot be read or use an undefined reference."""
+    undefined = missing_references(files).groupBy("source_file_url").agg(F.min("ref_id").alias("ref_id"))
+    message = F.concat(F.lit("undefined provider reference "), "ref_id").alias("error")
+    return files.errors.unionByName(undefined.select("source_file_url", F.lit("ValueError").alias("error_type"), message))
+
+
 def flatten_rates(
     files: RateFiles,
     profile: CodeProfile,

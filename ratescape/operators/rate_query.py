@@ -55,9 +55,15 @@ def column_list(text: str | Sequence[str] | None) -> list[str]:
 
 
 def clamp_limit(limit: int) -> int:
+    """The row limit of a page that a user may ask for; callers that want it pass its result."""
     return max(1, min(limit, MAX_LIMIT))
 
 
+def first_rows(rows: DataFrame, limit: int | None) -> DataFrame:
+    """All rows, or the first ``limit`` of them, one at least."""
+    return rows if limit is None else rows.limit(max(1, limit))
+
+
 def rate_predicate(
     *,
     service_line: str | None = None,
@@ -121,14 +127,14 @@ def run_query(
     *,
     group_by: str | Sequence[str] | None = None,
     summary: bool = False,
-    limit: int = 100,
+    limit: int | None = None,
     stable: bool = False,
     **filters,
 ) -> DataFrame:
     """Rows or a grouped summary of the rates that pass ``filters``.
 
-    Filters are those of :func:`rate_predicate`. Row listings stop reading as
-    soon as ``limit`` rows are found; ``stable=True`` instead returns the first
+    Filters are those of :func:`rate_predicate`. Everything is returned unless
+    ``limit`` is given (one row at least). Row listings then stop reading as soon as ``limit`` rows are found; ``stable=True`` instead returns the first
     rows in the order of the listed columns, which has to read every match.
     """
     columns = column_list(group_by)
@@ -136,11 +142,11 @@ def run_query(
     if summary:
         ordered = [F.col(c).asc_nulls_last() for c in columns]
         result = summarize(selected, columns)
-        return (result.orderBy(*ordered) if ordered else result).limit(clamp_limit(limit))
+        return first_rows(result.orderBy(*ordered) if ordered else result, limit)
     rows = selected.select(*(columns or ROW_COLUMNS))
     if stable:
         rows = rows.orderBy(*[F.col(c).asc_nulls_last() for c in rows.columns])
-    return rows.limit(clamp_limit(limit))
+    return first_rows(rows, limit)
 
 
 def sort_rows(rows: DataFrame, column: str, descending: bool = False) -> DataFrame:
@@ -152,13 +158,13 @@ def sort_rows(rows: DataFrame, column: str, descending: bool = False) -> DataFra
 def raw_and_benchmark(
     rates: DataFrame,
     group_by: str | Sequence[str] = "billing_code,service_category",
-    limit: int = 100,
+    limit: int | None = None,
     **filters,
 ) -> DataFrame:
     """Groups and rows with and without the benchmark filter, one row per view.
 
-    One aggregation carries both counts. Each view looks at its first ``limit``
-    groups, as its summary would list them.
+    One aggregation carries both counts. With a ``limit``, each view looks at its
+    first groups only, as its summary would list them.
     """
     keys = list(dict.fromkeys(column_list(group_by)))
     groups = (
@@ -171,9 +177,7 @@ def raw_and_benchmark(
     )
     order = [F.col(c).asc_nulls_last() for c in keys]
     views = [
-        groups.filter(F.col(view) > 0)
-        .orderBy(*order)
-        .limit(clamp_limit(limit))
+        first_rows(groups.filter(F.col(view) > 0).orderBy(*order), limit)
         .agg(
             F.count(F.lit(1)).alias("group_count"),
             F.coalesce(F.sum(view), F.lit(0)).alias("row_total"),

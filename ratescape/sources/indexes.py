@@ -260,8 +260,8 @@ def vendor_file_plans(entries: DataFrame, base_url: str) -> DataFrame:
     ).select("source_file_url", "file_ord", "plan_ord", "location", "plan.*")
 
 
-def vendor_header(entries: DataFrame) -> DataFrame:
-    """Index header per metadata document, taken from its first entry."""
+def vendor_header(entries: DataFrame, base_url: str) -> DataFrame:
+    """Index header per metadata document, taken from its first entry; files count by location."""
     return entries.groupBy("source_file_url").agg(
         F.min_by("reportingEntityName", "file_ord").alias("reporting_entity_name"),
         F.lit(None).cast("string").alias("reporting_entity_type"),
@@ -269,6 +269,6 @@ def vendor_header(entries: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("version"),
         F.count(F.lit(1)).alias("reporting_structure_count"),
         F.count_distinct(
-            F.when(F.col("fileSchema") == ref.VENDOR_RATE_SCHEMA, F.col("filePath"))
+            F.when(F.col("fileSchema") == ref.VENDOR_RATE_SCHEMA, absolute_url(base_url, F.col("filePath")))
         ).alias("in_network_file_count"),
     )

@@ -62,7 +62,11 @@ def read_docs(spark: SparkSession, paths: str | list[str], schema, source: Colum
 
 
 def split_docs(docs: DataFrame, profile: CodeProfile) -> RateFiles:
-    """Tables of whole-document rows."""
+    """Tables of whole-document rows; a document that breaks the schema anywhere is in ``errors`` only."""
+    # Spark parses only the columns a query needs; a fault is seen only in columns that are.
+    parsed_whole = F.coalesce(F.size("in_network"), F.lit(0)) + F.coalesce(F.size("provider_references"), F.lit(0)) >= -2
+    broken = docs.filter(F.col("_corrupt_record").isNotNull() & parsed_whole)
+    docs = docs.filter(F.col("_corrupt_record").isNull() & parsed_whole)
     items = docs.select(
         "source_file_url",
         *HEADER_FIELDS,
@@ -81,7 +85,6 @@ def split_docs(docs: DataFrame, profile: CodeProfile) -> RateFiles:
     references = docs.select(
         "source_file_url", F.posexplode("provider_references").alias("ord", "reference")
     ).select("source_file_url", "ord", "reference.*")
-    broken = F.col("_corrupt_record").isNotNull()
     return RateFiles(
         headers=docs.select("source_file_url", *HEADER_FIELDS),
         items=items.select(
@@ -89,7 +92,7 @@ def split_docs(docs: DataFrame, profile: CodeProfile) -> RateFiles:
         ),
         entries=entries.select(*ENTRY_COLUMNS),
         references=last_reference(references),
-        errors=docs.filter(broken).select(
+        errors=broken.select(
             "source_file_url",
             F.lit("ValueError").alias("error_type"),
             F.concat(

@@ -57,6 +57,8 @@ def test_columns_are_checked(parsed):
 def test_limits(parsed):
     assert [clamp_limit(n) for n in (-5, 0, 7, 99_999)] == [1, 1, 7, 10_000]
     assert run_query(parsed, limit=0).count() == 1
+    many = parsed.crossJoin(parsed.sparkSession.range(10_001).select())
+    assert run_query(many).count() == run_query(many, limit=10**9).count() > 10_000
 
 
 def test_status_modifiers(spark):

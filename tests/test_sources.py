@@ -115,7 +115,7 @@ def test_vendor_metadata(spark, tmp_path):
         ("https://h.test/y.json", "y", 0),
     ]
     assert indexes.vendor_file_plans(entries, base).count() == 5
-    head = indexes.vendor_header(entries).first()
+    head = indexes.vendor_header(entries, base).first()
     assert (head.reporting_entity_name, head.reporting_structure_count, head.in_network_file_count) == ("V", 4, 2)
 
 
@@ -225,6 +225,14 @@ Blue Cross Blue Shield of Texas,97151,20,HO,,7
 """
 
 
+def test_dot_segments_follow_the_url_rules(spark):
+    from urllib.parse import urljoin
+
+    paths = ["../x", "../../../x", "./a/./b", "a/../b", "/a/../b", "a/..", ".", "../x?s=a/../b", "x#../y"]
+    base = "https://h.test/p/q/"
+    assert values(spark, paths, lambda c: absolute_url(base, c)) == [urljoin(base, p) for p in paths]
+
+
 def test_contracts(spark, tmp_path):
     path = tmp_path / "rates.csv"
     path.write_text("﻿" + SCHEDULE, encoding="utf-8")

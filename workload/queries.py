@@ -316,7 +316,7 @@ def vendor_file_plans(spark, sf_dir):
 
 
 def vendor_header(spark, sf_dir):
-    return indexes.vendor_header(_vendor(spark, sf_dir)).withColumnRenamed("source_file_url", "source")
+    return indexes.vendor_header(_vendor(spark, sf_dir), BASE_URL).withColumnRenamed("source_file_url", "source")
 
 
 def batch_plan(spark, sf_dir):
@@ -585,7 +585,7 @@ QUERIES: dict[str, Query] = {
     "npi_exploded": _rates(npi_exploded),
     "modifier_convention": modifier_convention,
     # rate queries
-    "query_rows": _rates(lambda r: rq.run_query(r, limit=20_000, stable=True)),
+    "query_rows": _rates(lambda r: rq.run_query(r, limit=rq.clamp_limit(20_000), stable=True)),
     "query_rows_grouped_cols": _rates(
         lambda r: rq.run_query(r, group_by=" billing_code, setting ,aba_provider_role", limit=500, stable=True)
     ),
@@ -611,7 +611,7 @@ QUERIES: dict[str, Query] = {
     "summary_global": _rates(lambda r: rq.run_query(r, summary=True)),
     "summary_by_code": _rates(
         lambda r: rq.run_query(
-            r, group_by="billing_code,service_category,billing_class", summary=True, limit=10_000
+            r, group_by="billing_code,service_category,billing_class", summary=True
         )
     ),
     "sorted_rows": _rates(sorted_rows),

@@ -592,18 +592,17 @@ SQL: dict[str, str] = {
     "query_rate_bounds": _rates(
         f"""SELECT billing_code, {SUMMARY} FROM rates WHERE negotiated_rate >= 40
           AND negotiated_rate <= 400.25 AND {NO_STATUS} GROUP BY billing_code
-        ORDER BY billing_code NULLS LAST LIMIT 100"""
+        ORDER BY billing_code NULLS LAST"""
     ),
     "query_benchmark": _rates(
         f"""SELECT service_line, payer_name, {SUMMARY} FROM rates WHERE is_benchmark_eligible
-          AND {NO_STATUS} GROUP BY ALL ORDER BY service_line NULLS LAST, payer_name NULLS LAST LIMIT 100"""
+          AND {NO_STATUS} GROUP BY ALL ORDER BY service_line NULLS LAST, payer_name NULLS LAST"""
     ),
     "summary_global": _rates(f"SELECT {SUMMARY} FROM rates WHERE {NO_STATUS}"),
     "summary_by_code": _rates(
         f"""SELECT billing_code, service_category, billing_class, {SUMMARY} FROM rates WHERE {NO_STATUS}
         GROUP BY billing_code, service_category, billing_class
-        ORDER BY billing_code NULLS LAST, service_category NULLS LAST, billing_class NULLS LAST
-        LIMIT 10000"""
+        ORDER BY billing_code NULLS LAST, service_category NULLS LAST, billing_class NULLS LAST"""
     ),
     "sorted_rows": _rates(
         f"SELECT billing_code, billing_class, {SUMMARY} FROM rates GROUP BY billing_code, billing_class"
@@ -611,11 +610,10 @@ SQL: dict[str, str] = {
     "raw_vs_benchmark": _with(
         """SELECT 'raw' AS "view", CAST(count(*) AS BIGINT) AS group_count,
           CAST(COALESCE(sum(raw), 0) AS BIGINT) AS row_total
-        FROM (SELECT * FROM g ORDER BY billing_code NULLS LAST, service_category NULLS LAST LIMIT 100)
+        FROM (SELECT * FROM g)
         UNION ALL
         SELECT 'benchmark', CAST(count(*) AS BIGINT), CAST(COALESCE(sum(benchmark), 0) AS BIGINT)
-        FROM (SELECT * FROM g WHERE benchmark > 0
-          ORDER BY billing_code NULLS LAST, service_category NULLS LAST LIMIT 100)""",
+        FROM (SELECT * FROM g WHERE benchmark > 0)""",
         RATES,
         f"""g AS (SELECT billing_code, service_category, count(*) AS raw,
           count(*) FILTER (WHERE is_benchmark_eligible) AS benchmark FROM rates
