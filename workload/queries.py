@@ -204,7 +204,7 @@ def probe_large(spark, sf_dir):
     return _listed(_stable_source(rows, "source"), "matched_codes")
 
 
-def stream_ingest(spark, sf_dir):
+def _streamed(spark, sf_dir):
     out = scratch_path(spark, "stream-rates")
     query = ingest_new_files(
         spark,
@@ -215,7 +215,16 @@ def stream_ingest(spark, sf_dir):
         index_payer="payer-index",
     )
     query.awaitTermination()
-    return _flat(_stable_source(read_rates(spark, f"{out}/batch_id=*")))
+    return out
+
+
+def stream_ingest(spark, sf_dir):
+    return _flat(_stable_source(read_rates(spark, f"{_streamed(spark, sf_dir)}/batch_id=*")))
+
+
+def stream_events(spark, sf_dir):
+    events = spark.read.parquet(f"{_streamed(spark, sf_dir)}-events/batch_id=*")
+    return _stable_source(events).withColumnRenamed("source_file_url", "source")
 
 
 def written_rates(spark, sf_dir):
@@ -552,6 +561,7 @@ QUERIES: dict[str, Query] = {
     "probe_files_large": probe_large,
     "probe_summary": lambda s, d: probe_summary(_probe(s, d)),
     "stream_ingest": stream_ingest,
+    "stream_events": stream_events,
     "write_rates": written_rates,
     "scan_many": scan_many,
     # indexes and batch

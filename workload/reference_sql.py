@@ -409,6 +409,11 @@ SQL: dict[str, str] = {
     "flatten_rates_radiology": _with(_flat("'payer-index'", "service_line = 'radiology'"), DOCS),
     "flatten_rates_large": FLAT_ABA,
     "stream_ingest": FLAT_ABA,
+    "stream_events": _with(
+        """SELECT source, 'ValueError' AS error_type, 'undefined provider reference ' || min(ref_id) AS error
+        FROM missing GROUP BY source""",
+        DOCS,
+    ),
     "resolve_refs": _with(
         """SELECT source, billing_code, CAST(count(*) FILTER (WHERE has_inline) AS BIGINT) AS inline_origins,
           CAST(count(*) FILTER (WHERE has_ref AND NOT ref_is_missing) AS BIGINT) AS resolved,
