@@ -22,8 +22,8 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that ten or more documents have go everywhere."""
-    shorter = line_dedup.dedup_lines(docs, min_docs=10)
+    """Lines that ten or more documents have stay in their first place only, so one of many copies is whole."""
+    shorter = line_dedup.dedup_lines(docs, min_docs=10, keep="first")
     return _recounted(shorter.drop("_n_lines", "_n_dropped"))
 
 

@@ -417,9 +417,15 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, tile: int
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of linked documents: the one with the smallest id.
 
-    Rows without an id stay; of rows with the same id and text, one stays.
+    Rows without an id stay; of rows with the same id and text, one stays, any
+    of them where their other columns differ.
     """
     found = jaccard_components(docs, n, percent)
     dropped = found.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     left = docs.join(dropped, docs["doc_id"] == dropped["_gone"], "left_anti")
-    return left
+    again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
+    again = stored(again, "jaccard-again")
+    if again.isEmpty():
+        return left
+    once = left.join(again, F.col("doc_id") == again["_again"], "left_anti")
+    return once.union(left.join(again, F.col("doc_id") == again["_again"], "left_semi").dropDuplicates(["doc_id", "text"]))

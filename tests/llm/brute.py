@@ -16,14 +16,22 @@ def sha(raw):
     return hashlib.sha256(raw if isinstance(raw, bytes) else raw.encode()).hexdigest()
 
 
-def line_dedup(docs, min_docs):
-    keys = Counter()
+def line_dedup(docs, min_docs, keep="none"):
+    keys, places = Counter(), {}
     for _, text in docs:
         keys.update({k for k in (lower(x.strip(SPACE)) for x in (text or "").split("\n")) if k})
+    for doc, text in docs:
+        for i, x in enumerate((text or "").split("\n")):
+            k, place = lower(x.strip(SPACE)), (doc is None, doc, i)
+            places[k] = min(places.get(k, place), place)
     out = []
     for doc, text in docs:
         lines = (text or "").split("\n")
-        kept = [x for x in lines if not (k := lower(x.strip(SPACE))) or keys[k] < min_docs]
+        kept = [
+            x
+            for i, x in enumerate(lines)
+            if not (k := lower(x.strip(SPACE))) or keys[k] < min_docs or (keep == "first" and places[k] == (doc is None, doc, i))
+        ]
         out.append((doc, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
     return out
 

@@ -28,7 +28,7 @@ def test_pipeline_by_plain_python(spark):
             failed = {r[0] for r in brute.quality(before.items()) if r[6]}
             assert set(after) == set(before) - failed
         elif name == "line_dedup":
-            want = {d: kept for d, _, _, kept in brute.line_dedup(list(before.items()), 10)}
+            want = {d: kept for d, _, _, kept in brute.line_dedup(list(before.items()), 10, "first")}
             assert {d: brute.sha(r.text) for d, r in after.items()} == want
         elif name == "jaccard_join":
             assert set(after) == {d for d, _, c in brute.jaccard(list(before.items()), 5, 80) if c == d}
