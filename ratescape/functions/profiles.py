@@ -7,9 +7,8 @@ classify, so the code filter runs directly after the first explode.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,14 +38,21 @@ class BenchmarkPolicy:
 
 @dataclass(frozen=True)
 class CodeProfile:
-    """``pattern`` must match a whole code; ``attributes`` maps code -> values."""
+    """``pattern`` must match a whole code, or ``codes`` have it; ``attributes`` maps code -> values."""
 
     name: str
     pattern: str
     policy: BenchmarkPolicy
     attributes: dict[str, dict[str, str]] = field(default_factory=dict)
+    codes: frozenset[str] = frozenset()
+
+    @property
+    def wanted(self) -> str | frozenset[str]:
+        return self.codes or self.pattern
 
     def contains(self, code: Column) -> Column:
+        if self.codes:
+            return F.coalesce(code.isin(*sorted(self.codes)), F.lit(False))
         return F.coalesce(code.rlike(rf"\A(?:{self.pattern})\z"), F.lit(False))
 
     def classify(self, code: Column) -> dict[str, Column]:
@@ -115,19 +121,26 @@ def get_profile(name: str) -> CodeProfile:
     return PROFILES[name]
 
 
-MAX_CUSTOM_CODES = 10_000
-
-
 def code_set_profile(codes: Sequence[str], policy: BenchmarkPolicy | None = None) -> CodeProfile:
     """A profile of a user's own code list; it has no classification.
 
-    For lists beyond ``MAX_CUSTOM_CODES`` use :func:`in_code_table`.
+    The list is part of the plan; for codes in a table use :func:`in_code_table`.
+    """
+    unique = frozenset(code.strip() for code in codes if code.strip())
+    if not unique:
+        raise ValueError("a code list has at least one code")
+    return CodeProfile("custom_code_set", "", policy or BenchmarkPolicy(), codes=unique)
+
+
+def narrow_profile(profile: CodeProfile, **values: str) -> CodeProfile:
+    """The profile's codes with the given classification values, such as ``service_category`` or ``modality``.
+
+    Other codes are left out when a file is parsed.
     """
-    unique = sorted({code.strip() for code in codes if code.strip()})
-    if not unique or len(unique) > MAX_CUSTOM_CODES:
-        raise ValueError(f"a code list has 1 to {MAX_CUSTOM_CODES} codes, got {len(unique)}")
-    pattern = "|".join(re.escape(code) for code in unique)
-    return CodeProfile("custom_code_set", pattern, policy or BenchmarkPolicy())
+    kept = {c: a for c, a in profile.attributes.items() if all(a.get(n) == v for n, v in values.items())}
+    if not kept:
+        raise ValueError(f"no code of {profile.name} has {values}")
+    return replace(profile, attributes=kept, codes=frozenset(kept))
 
 
 def in_code_table(rows: DataFrame, codes: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from ratescape.functions.columns import (
     plan_name,
     provider_name,
     round_cents,
+    source_host,
     taxonomy_label,
     without_status_modifiers,
 )
@@ -254,10 +255,10 @@ def plan_rates(
 
 
 def payer_overlap(rates: DataFrame) -> DataFrame:
-    """How many distinct rates each set of payers shares, by source host.
+    """How many distinct rates each set of payers shares, by the hosts their files come from.
 
     A rate is a (code, modifiers, class, type, amount, tax id) combination; its
-    payers form a set bounded by the number of payers.
+    payers and hosts form sets bounded by the number of payers and hosts.
     """
     grain = [
         "billing_code",
@@ -267,7 +268,11 @@ def payer_overlap(rates: DataFrame) -> DataFrame:
         "negotiated_rate",
         "provider_tin_value",
     ]
-    shared = rates.groupBy(*grain).agg(F.array_sort(F.collect_set("payer_name")).alias("payers"))
-    return shared.groupBy(F.array_join("payers", " | ").alias("payers")).agg(
+    shared = rates.groupBy(*grain).agg(
+        F.array_sort(F.collect_set("payer_name")).alias("payers"),
+        F.array_sort(F.collect_set(source_host(F.col("source_file_url")))).alias("hosts"),
+    )
+    joined = [F.array_join(name, " | ").alias(name) for name in ("payers", "hosts")]
+    return shared.groupBy(*joined).agg(
         F.max(F.size("payers")).alias("payer_count"), F.count(F.lit(1)).alias("shared_rates")
     )

@@ -205,23 +205,24 @@ Piece = tuple[str, int, int, str | None, str]
 RATE_ARRAYS = {"in_network": {"negotiated_rates": None}, "provider_references": None}
 
 
-def walk_rate_file(path: str, pattern: str) -> Iterator[Piece]:
+def walk_rate_file(path: str, codes: str | frozenset[str]) -> Iterator[Piece]:
     """(kind, item_ord, ord, code, body) of every piece of a rate file.
 
-    Scalars of the document and of each item are sent when it closes. Rates of
-    an item whose code came first and does not match ``pattern`` are left out.
+    Scalars of the document and of each item are sent when it closes. Texts of
+    rates and references are cut out, not parsed. Rates of
+    an item whose code came first and is not in ``codes``, a set or a pattern, are left out.
     """
-    wanted = re.compile(pattern)
+    wanted = re.compile(codes).fullmatch if isinstance(codes, str) else codes.__contains__
     for event, name, ord_, owner, payload in walk(path, RATE_ARRAYS, 5):
         if event == "open" and name == "negotiated_rates":
             code = owner.scalars(b"]}").get("billing_code")
             if code is not None:
                 owner.code = str(code)
-                owner.skip = wanted.fullmatch(owner.code) is None
+                owner.skip = not wanted(owner.code)
         elif event == "leaf" and name == "negotiated_rates":
-            yield "rate", owner.ord, ord_, owner.code, _checked(payload)
+            yield "rate", owner.ord, ord_, owner.code, payload.decode("utf-8")
         elif event == "leaf":
-            yield "reference", -1, ord_, None, _checked(payload)
+            yield "reference", -1, ord_, None, payload.decode("utf-8")
         elif event == "object":
             yield "item", ord_, -1, None, json.dumps(payload)
         elif event == "document":

@@ -121,6 +121,25 @@ def read_rate_docs(
 # --- large files and batches ----------------------------------------------
 
 PIECE_SCHEMA = "source_file_url string, kind string, item_ord long, ord long, code string, body string"
+#: Schema of each kind of piece; the landed table has one column per kind.
+PIECES = {"header": HEADER, "item": ITEM_HEAD, "rate": NEGOTIATED_RATE, "reference": PROVIDER_REFERENCE}
+
+
+def _checked(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+
+
+LANDED_PIECES = T.StructType(
+    [
+        T.StructField("source_file_url", T.StringType()),
+        T.StructField("item_ord", T.LongType()),
+        T.StructField("ord", T.LongType()),
+        T.StructField("code", T.StringType()),
+        T.StructField("error", T.StringType()),
+        *[T.StructField(kind, _checked(schema)) for kind, schema in PIECES.items()],
+        T.StructField("kind", T.StringType()),
+    ]
+)
 FILES_PER_TASK = 16
 
 
@@ -140,13 +159,17 @@ def land_rate_files(
     task, since a gzip stream cannot be split; the written pieces can, so one
     huge file feeds all later tasks. With a profile, rates of codes known to
     be outside it are dropped at once; without one, other profiles can use the
-    same landing.
+    same landing. Each kept piece is parsed here, once, into typed columns.
     """
-    pattern = profile.pattern if profile else ".*"
+    wanted = profile.wanted if profile else ".*"
+    kind = F.col("kind")
     (
         paths.select("path")
         .repartition(tasks or walk_tasks(paths))
-        .mapInArrow(lambda batches: _pieces(batches, pattern), PIECE_SCHEMA)
+        .mapInArrow(lambda batches: _pieces(batches, wanted), PIECE_SCHEMA)
+        .withColumn("error", F.when(kind == "error", F.col("body")))
+        .withColumns({k: F.when(kind == k, F.from_json("body", _checked(schema))) for k, schema in PIECES.items()})
+        .select(*LANDED_PIECES.fieldNames())
         .write.mode("overwrite")
         .partitionBy("kind")
         .option("compression", "zstd")
@@ -155,26 +178,39 @@ def land_rate_files(
 
 
 def landed_rate_files(spark: SparkSession, landing: str, profile: CodeProfile) -> RateFiles:
-    """Tables of the pieces written by ``land_rate_files``."""
-    pieces = spark.read.schema(PIECE_SCHEMA).parquet(landing)
-
-    def parsed(kind: str, schema: T.StructType) -> DataFrame:
-        rows = pieces.filter(F.col("kind") == kind)
-        return rows.withColumn("v", F.from_json("body", schema)).drop("kind", "code", "body")
+    """Tables of the pieces written by ``land_rate_files``.
 
-    headers = parsed("header", HEADER).select("source_file_url", "v.*")
-    items = parsed("item", ITEM_HEAD).select("source_file_url", "item_ord", "v.*")
+    A file with a rate or reference that breaks the schema is in ``errors`` and
+    has no header and no entries. Rates left out at landing are not checked.
+    """
+    pieces = spark.read.schema(LANDED_PIECES).parquet(landing)
+
+    def of(kind: str) -> DataFrame:
+        return pieces.filter(F.col("kind") == kind)
+
+    def fields(kind: str) -> list[Column]:
+        return [F.col(f"{kind}.{name}") for name in PIECES[kind].fieldNames()]
+
+    unread = of("error").select("source_file_url", F.col("code").alias("error_type"), "error")
+    broken = [
+        of(kind)
+        .filter(F.col(f"{kind}._corrupt_record").isNotNull())
+        .select("source_file_url", F.lit("ValueError").alias("error_type"), F.lit(f"a {kind} breaks the schema").alias("error"))
+        for kind in ("rate", "reference")
+    ]
+    first = F.min(F.struct("error_type", "error")).alias("first")
+    errors = unread.union(broken[0]).union(broken[1]).groupBy("source_file_url").agg(first).select("source_file_url", "first.*")
+
+    headers = of("header").select("source_file_url", *fields("header"))
+    headers = headers.join(errors.select("source_file_url"), "source_file_url", "left_anti")
+    items = of("item").select("source_file_url", "item_ord", *fields("item"))
     rates = (
-        pieces.filter(F.col("kind") == "rate")
+        of("rate")
         .filter(F.col("code").isNull() | profile.contains(F.col("code")))
-        .withColumn("v", F.from_json("body", NEGOTIATED_RATE))
-        .select("source_file_url", "item_ord", F.col("ord").alias("rate_ord"), "v.*")
+        .select("source_file_url", "item_ord", F.col("ord").alias("rate_ord"), *fields("rate"))
     )
     matched = items.filter(profile.contains(F.col("billing_code")))
-    references = parsed("reference", PROVIDER_REFERENCE).select("source_file_url", "ord", "v.*")
-    errors = pieces.filter(F.col("kind") == "error").select(
-        "source_file_url", F.col("code").alias("error_type"), F.col("body").alias("error")
-    )
+    references = of("reference").select("source_file_url", "ord", *fields("reference"))
     return RateFiles(
         headers=headers,
         items=items.select("source_file_url", "item_ord", "billing_code"),
@@ -186,7 +222,7 @@ def landed_rate_files(spark: SparkSession, landing: str, profile: CodeProfile) -
     )
 
 
-def _pieces(batches: Iterator, pattern: str) -> Iterator:
+def _pieces(batches: Iterator, wanted: str | frozenset[str]) -> Iterator:
     """Arrow batches of file pieces, a bounded number of bytes each."""
     import pyarrow as pa
 
@@ -201,7 +237,7 @@ def _pieces(batches: Iterator, pattern: str) -> Iterator:
 
     def walk(path: str) -> Iterator[tuple]:
         try:
-            for piece in walk_rate_file(path, pattern):
+            for piece in walk_rate_file(path, wanted):
                 yield path, *piece
         except (OSError, ValueError) as error:
             yield path, "error", -1, -1, type(error).__name__, str(error)

@@ -130,6 +130,18 @@ def test_unreadable_file_is_an_error_row(spark, tmp_path, reader):
     assert flatten_rates(files, ABA).count() == 1
 
 
+@READERS
+@pytest.mark.parametrize("field", ["provider_groups", "negotiated_prices"])
+def test_an_element_that_breaks_the_schema_fails_its_file(spark, tmp_path, reader, field):
+    sound = {"provider_groups": [group("1", ["1"])], "negotiated_prices": [price(1)]}
+    bad = write_json(tmp_path / "bad.json", rate_doc(item("97153", sound, {**sound, field: "oops"})))
+    good = write_json(tmp_path / "good.json", rate_doc(item("97153", sound)))
+    files = reader(spark, [bad, good])
+    assert [r.source_file_url.endswith("bad.json") for r in files.errors.collect()] == [True]
+    assert [r.source_file_url.endswith("good.json") for r in files.entries.collect()] == [True]
+    assert files.headers.count() == 1
+
+
 def test_keys_in_any_order(spark, tmp_path):
     doc = json.loads(json.dumps(REFERENCE_DOC))
     moved = {"in_network": [dict(reversed(list(i.items()))) for i in doc["in_network"]], "extra": {"a": [1, {"b": None}]}}

@@ -9,6 +9,7 @@ from ratescape.functions.profiles import (
     get_profile,
     in_code_table,
     list_profiles,
+    narrow_profile,
     profile_codes,
 )
 
@@ -75,3 +76,11 @@ def test_custom_code_sets(spark):
     assert in_code_table(rows, table).count() == 1
     with pytest.raises(ValueError):
         code_set_profile([])
+
+
+def test_narrowed_profile(spark):
+    profile = narrow_profile(ABA, service_category="Direct Treatment", aba_delivery_mode="group")
+    rows = codes(spark, "97153", "97154", "99213", None)
+    assert [r.billing_code for r in rows.filter(profile.contains(F.col("billing_code"))).collect()] == ["97154"]
+    with pytest.raises(ValueError):
+        narrow_profile(ABA, modality="mri")

@@ -237,7 +237,7 @@ def test_contracts(spark, tmp_path):
     path = tmp_path / "rates.csv"
     path.write_text("﻿" + SCHEDULE, encoding="utf-8")
     lines = read_contracts(spark, str(path))
-    contracts = contract_rates(lines, F.col("line").cast("long"))
+    contracts = contract_rates(lines)
     rows = sorted((r.cpt, r.modifier, r.rate) for r in contracts.collect())
     assert rows == [("97151", "HO", 20.0), ("97153", "", 13.5), ("97153", "HM", 10.5), ("97153", "HO", 12.5)]
     united, texas = "United HealthCare Services, Inc.", "Blue Cross and Blue Shield of Texas"
@@ -260,5 +260,5 @@ def test_contracts(spark, tmp_path):
 def test_contract_columns_may_be_absent(spark, tmp_path):
     path = tmp_path / "rates.csv"
     path.write_text("CPTCode,CustomerName,ContractRatePerUnit\n97153,UMR,3\n")
-    rows = contract_rates(read_contracts(spark, str(path)), F.lit(0)).collect()
+    rows = contract_rates(read_contracts(spark, str(path))).collect()
     assert [(r.modifier, r.rate) for r in rows] == [("", 3.0)]

@@ -425,7 +425,7 @@ def _write_csv(rows: DataFrame, path: str) -> None:
 
 
 def registry_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Registry CSV with three taxonomy slots, one line per supplier."""
+    """Registry CSV with all taxonomy slots, one line per supplier."""
 
     def write(path: str) -> None:
         key = F.col("s_suppkey")
@@ -445,6 +445,10 @@ def registry_csv(spark: SparkSession, sf_dir: str) -> str:
             F.lit("N").alias("Healthcare Provider Primary Taxonomy Switch_1"),
             F.when(key % 4 == 0, "Y").otherwise("N").alias("Healthcare Provider Primary Taxonomy Switch_2"),
             F.when(key % 8 == 0, "Y").otherwise("").alias("Healthcare Provider Primary Taxonomy Switch_3"),
+            *[F.lit("").alias(ref.TAXONOMY_CODE_COLUMN.format(i)) for i in range(4, ref.TAXONOMY_SLOTS)],
+            *[F.lit("N").alias(ref.TAXONOMY_SWITCH_COLUMN.format(i)) for i in range(4, ref.TAXONOMY_SLOTS)],
+            code("390200000X", F.lit(False)).alias(ref.TAXONOMY_CODE_COLUMN.format(ref.TAXONOMY_SLOTS)),
+            F.when(key % 19 == 0, "Y").otherwise("N").alias(ref.TAXONOMY_SWITCH_COLUMN.format(ref.TAXONOMY_SLOTS)),
             F.lit("not read").alias("Provider Other Column"),
         )
         _write_csv(lines, path)
@@ -453,7 +457,7 @@ def registry_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def contract_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Contract schedule, one line per customer; ``line`` is its order."""
+    """Contract schedule, one line per customer, ordered over its files."""
 
     def write(path: str) -> None:
         key, nation = F.col("c_custkey"), F.col("c_nationkey")
@@ -467,7 +471,7 @@ def contract_csv(spark: SparkSession, sf_dir: str) -> str:
         customer = F.get(F.array(*[F.lit(n) for n in names]), (nation % 5).cast("int"))
         firsts, seconds = ("HM", " hn ", "GT", "", "GT"), ("", "HO", "HO", "", "")
         pick = lambda values: F.get(F.array(*[F.lit(v) for v in values]), (key % 5).cast("int"))
-        lines = table(spark, sf_dir, "customer").select(
+        lines = table(spark, sf_dir, "customer").orderBy("c_custkey").select(
             customer.alias("CustomerName"),
             F.when(key % 9 == 0, "99213").otherwise(_text(97151 + key % 6)).alias("CPTCode"),
             F.when(key % 8 == 7, "n/a")
@@ -475,7 +479,6 @@ def contract_csv(spark: SparkSession, sf_dir: str) -> str:
             .alias("ContractRatePerUnit"),
             pick(firsts).alias("Modifier1500_1"),
             pick(seconds).alias("Modifier1500_2"),
-            _text(key).alias("line"),
         )
         _write_csv(lines, path)
 

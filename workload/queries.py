@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratescape.functions import columns as col
-from ratescape.functions.profiles import ABA, RADIOLOGY, classify_codes, in_code_table, profile_codes
+from ratescape.functions.profiles import ABA, RADIOLOGY, classify_codes, in_code_table, narrow_profile, profile_codes
 from ratescape.operators import contracts as own
 from ratescape.operators import distribution as dist
 from ratescape.operators import providers as prov
@@ -25,8 +25,8 @@ from ratescape.operators.flatten import (
 from ratescape.operators.probe import probe_files, probe_paths, probe_summary
 from ratescape.plans.batch import batch_counters, plan_batch, read_manifest, run_batch, write_events
 from ratescape.plans.presets import run_preset
-from ratescape.schemas import PROBE_DOC, RATE_DOC
-from ratescape.session import scratch_path
+from ratescape.schemas import PROBE_DOC, RATE_COLUMNS, RATE_DOC
+from ratescape.session import materialize, scratch_path
 from ratescape.sources import indexes
 from ratescape.sources.contracts import contract_rates, read_contracts
 from ratescape.sources.rate_files import (
@@ -63,41 +63,9 @@ def _files(spark: SparkSession, sf_dir: str, profile=ABA):
     return read_rate_docs(spark, fx.rate_docs(spark, sf_dir), profile, fx.doc_source())
 
 
-FLAT_COLUMNS = (
-    "index_payer",
-    "payer_name",
-    "reporting_entity_type",
-    "source_file_url",
-    "last_updated_on",
-    "schema_version",
-    "billing_code",
-    "billing_code_type",
-    "billing_code_type_version",
-    "name",
-    "description",
-    "service_line",
-    "service_category",
-    "negotiation_arrangement",
-    "billing_class",
-    "setting",
-    "negotiated_type",
-    "negotiated_rate",
-    "percentage",
-    "expiration_date",
-    "service_codes",
-    "billing_code_modifiers",
-    "is_global",
-    "is_benchmark_eligible",
-    "provider_npi_list",
-    "provider_tin_type",
-    "provider_tin_value",
-    "additional_information",
-)
-
-
 def _flat(rows: DataFrame) -> DataFrame:
     return _listed(
-        rows.select(*FLAT_COLUMNS), "service_codes", "billing_code_modifiers", "provider_npi_list"
+        rows.select(*RATE_COLUMNS), "service_codes", "billing_code_modifiers", "provider_npi_list"
     )
 
 
@@ -144,6 +112,12 @@ def flatten_radiology(spark, sf_dir):
     return _flat(flatten_rates(files, RADIOLOGY, index_payer="payer-index", on_missing="skip"))
 
 
+def flatten_category(spark, sf_dir):
+    """Only codes of one category are parsed further."""
+    profile = narrow_profile(ABA, service_category="Direct Treatment")
+    return _flat(flatten_rates(_files(spark, sf_dir, profile), profile, index_payer="payer-index", on_missing="skip"))
+
+
 def _doc_paths(spark: SparkSession, folder: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
@@ -448,7 +422,7 @@ def taxonomy_labels(spark, sf_dir):
 
 
 def npi_registry_query(spark, sf_dir):
-    return npi_registry(read_registry_csv(spark, fx.registry_csv(spark, sf_dir)), slots=3)
+    return npi_registry(read_registry_csv(spark, fx.registry_csv(spark, sf_dir)))
 
 
 def npi_exploded(rates):
@@ -486,7 +460,7 @@ def modifier_convention(spark, sf_dir):
 
 def _contracts(spark, sf_dir):
     lines = read_contracts(spark, fx.contract_csv(spark, sf_dir))
-    return contract_rates(lines, F.col("line").cast("long"))
+    return contract_rates(lines)
 
 
 def contract_lookup(spark, sf_dir):
@@ -495,8 +469,9 @@ def contract_lookup(spark, sf_dir):
         .select(
             "payer_name",
             "billing_code",
-            F.coalesce(F.get("billing_code_modifiers", F.lit(0)), F.lit("")).alias("modifier"),
+            F.explode_outer("billing_code_modifiers").alias("modifier"),
         )
+        .fillna("", "modifier")
         .distinct()
     )
     return own.contract_lookup(requests, _contracts(spark, sf_dir))
@@ -509,7 +484,9 @@ def payer_contracts(spark, sf_dir):
 def contract_bin(spark, sf_dir):
     rates = fx.rates(spark, sf_dir)
     bins = dist.rate_distribution(rates, None, CPT, "HM", TEXAS)[1]
-    mine = own.payer_contracts(_contracts(spark, sf_dir)).filter(
+    # A scalar subquery takes no line order: it starts from the stored schedule.
+    schedule = materialize(_contracts(spark, sf_dir), "contracts")
+    mine = own.payer_contracts(schedule).filter(
         (F.col("payer_name") == TEXAS) & (F.col("cpt") == CPT) & (F.col("modifier") == "HM")
     )
     return dist.mark_contract_bin(bins, mine.withColumnRenamed("rate", "contract_rate"))
@@ -552,6 +529,7 @@ QUERIES: dict[str, Query] = {
     "profile_filter": profile_filter,
     "flatten_rates": flatten_aba,
     "flatten_rates_radiology": flatten_radiology,
+    "flatten_rates_category": flatten_category,
     "flatten_rates_large": flatten_large,
     "resolve_refs": resolve_refs,
     "missing_refs": missing_refs,

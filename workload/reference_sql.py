@@ -69,6 +69,7 @@ priced AS (
 rates AS (
   SELECT priced.*, classes.* EXCLUDE (code),
     CASE WHEN code IS NOT NULL THEN 'aba' WHEN {IS_RADIOLOGY} THEN 'radiology' END AS service_line,
+    CASE WHEN code IS NOT NULL THEN '15 minutes' END AS unit_basis,
     NOT list_has_any(billing_code_modifiers, ['TC', '26']) AS is_global,
     CASE WHEN code IS NOT NULL THEN negotiated_rate IS NOT NULL AND billing_class = 'professional'
         AND negotiated_rate <= 1000
@@ -101,6 +102,14 @@ ROWS_ORDER = """payer_name NULLS LAST, billing_code NULLS LAST, service_category
   is_benchmark_eligible NULLS LAST, provider_tin_value NULLS LAST"""
 
 
+def _details(table: str) -> str:
+    """Classification and component columns of a rate."""
+    return f"""service_subcategory, unit_basis, CAST(NULL AS VARCHAR) AS modality,
+      CAST(NULL AS VARCHAR) AS body_region, CAST(NULL AS VARCHAR) AS with_contrast, aba_delivery_mode,
+      aba_provider_role, list_contains({table}.billing_code_modifiers, 'TC') AS is_technical_component,
+      list_contains({table}.billing_code_modifiers, '26') AS is_professional_component"""
+
+
 def _with(body: str, *tables: str) -> str:
     return f"WITH {', '.join(tables)} {body}"
 
@@ -144,7 +153,8 @@ def _flat(index_payer: str, where: str) -> str:
       negotiated_type, negotiated_rate, percentage, '2026-12-31' AS expiration_date, service_codes,
       array_to_string(billing_code_modifiers, ',') AS billing_code_modifiers, is_global,
       is_benchmark_eligible, npis AS provider_npi_list, tin_type AS provider_tin_type,
-      tin_value AS provider_tin_value, CAST(NULL AS VARCHAR) AS additional_information
+      tin_value AS provider_tin_value, CAST(NULL AS VARCHAR) AS additional_information,
+      {_details("flat")}
     FROM flat WHERE {where}"""
 
 
@@ -372,6 +382,7 @@ SELECT CAST(1000000000 + s_suppkey AS VARCHAR) AS npi,
   CASE WHEN s_suppkey % 11 = 0 THEN NULL
     WHEN s_suppkey % 4 = 0 AND s_suppkey % 5 <> 0 THEN '103K00000X'
     WHEN s_suppkey % 8 = 0 THEN '207Q00000X'
+    WHEN s_suppkey % 19 = 0 THEN '390200000X'
     WHEN s_suppkey % 3 <> 0 THEN '101Y00000X'
     WHEN s_suppkey % 5 <> 0 THEN '103K00000X' ELSE '207Q00000X' END AS primary_taxonomy
 FROM supplier WHERE s_suppkey % 13 <> 0"""
@@ -407,6 +418,7 @@ SQL: dict[str, str] = {
     ),
     "flatten_rates": FLAT_ABA,
     "flatten_rates_radiology": _with(_flat("'payer-index'", "service_line = 'radiology'"), DOCS),
+    "flatten_rates_category": _with(_flat("'payer-index'", "service_category = 'Direct Treatment'"), DOCS),
     "flatten_rates_large": FLAT_ABA,
     "stream_ingest": FLAT_ABA,
     "stream_events": _with(
@@ -434,7 +446,7 @@ SQL: dict[str, str] = {
         DOCS,
     ),
     "write_rates": _rates(
-        """SELECT 'index-' || r_regionkey AS index_payer, payer_name,
+        f"""SELECT 'index-' || r_regionkey AS index_payer, payer_name,
           'Health Insurance Issuer' AS reporting_entity_type, source_file_url,
           '2026-05-01' AS last_updated_on, '2.0.0' AS schema_version, billing_code,
           'CPT' AS billing_code_type, '2026' AS billing_code_type_version, p_name AS name,
@@ -443,7 +455,8 @@ SQL: dict[str, str] = {
           percentage, '2026-12-31' AS expiration_date, service_codes,
           array_to_string(billing_code_modifiers, ',') AS billing_code_modifiers, is_global,
           is_benchmark_eligible, array_to_string(provider_npi_list, ',') AS provider_npi_list,
-          'ein' AS provider_tin_type, provider_tin_value, CAST(NULL AS VARCHAR) AS additional_information
+          'ein' AS provider_tin_type, provider_tin_value, CAST(NULL AS VARCHAR) AS additional_information,
+          {_details("rates")}
         FROM rates"""
     ),
     "scan_many": _rates(
@@ -721,8 +734,8 @@ SQL: dict[str, str] = {
     ),
     "contract_lookup": _with(
         """SELECT q.payer_name, q.billing_code, q.modifier, COALESCE(e.rate, b.rate) AS contract_rate
-        FROM (SELECT DISTINCT payer_name, billing_code, COALESCE(billing_code_modifiers[1], '') AS modifier
-          FROM rates) q
+        FROM (SELECT DISTINCT payer_name, billing_code, unnest(CASE WHEN len(billing_code_modifiers) = 0
+            THEN [''] ELSE billing_code_modifiers END) AS modifier FROM rates) q
         LEFT JOIN payers p ON q.payer_name = p.payer_name
         LEFT JOIN contracts e ON e.customer_name = p.customer_name AND e.cpt = q.billing_code
           AND e.modifier = q.modifier
@@ -750,11 +763,12 @@ SQL: dict[str, str] = {
         RATES,
     ),
     "payer_overlap": _rates(
-        """SELECT payers, CAST(max(payer_count) AS INTEGER) AS payer_count,
+        """SELECT payers, hosts, CAST(max(payer_count) AS INTEGER) AS payer_count,
           CAST(count(*) AS BIGINT) AS shared_rates
         FROM (SELECT string_agg(DISTINCT payer_name, ' | ' ORDER BY payer_name) AS payers,
+            string_agg(DISTINCT split_part(source_file_url, '/', 3), ' | ') AS hosts,
             count(DISTINCT payer_name) AS payer_count FROM rates
           GROUP BY billing_code, billing_code_modifiers, billing_class, negotiated_type, negotiated_rate,
-            provider_tin_value) GROUP BY payers"""
+            provider_tin_value) GROUP BY payers, hosts"""
     ),
 }
