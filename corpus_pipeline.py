@@ -22,8 +22,12 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that ten or more documents have stay in their first place only, so one of many copies is whole."""
-    shorter = line_dedup.dedup_lines(docs, min_docs=10, keep="first")
+    """Lines that ten or more documents have stay in their first place only; documents left without a word go.
+
+    A document that would lose half of its words or more stays whole: the next
+    stage sees by its whole text whether it is a copy.
+    """
+    shorter = line_dedup.dedup_lines(docs, min_docs=10, keep="first", whole_from=0.5)
     return _recounted(shorter.drop("_n_lines", "_n_dropped"))
 
 

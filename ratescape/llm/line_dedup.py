@@ -163,13 +163,22 @@ def _drop(text: str | None, dropped) -> tuple[int, list[bytes]]:
     return len(lines), [x for i, x in enumerate(lines) if not dropped(i, x)]
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 2, keep: str = "none", bits: int = FILTER_BITS, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, min_docs: int = 2, keep: str = "none", bits: int = FILTER_BITS, broadcast_keys: int = BROADCAST_KEYS, whole_from: float | None = None
+) -> DataFrame:
     """``docs`` with shortened ``text`` and the added columns _n_lines and _n_dropped.
 
     ``keep="none"`` drops a repeated line everywhere; ``keep="first"`` keeps it
     in its first place by (doc_id, line number), with null ids last; rows that
     share an id share that place. A text without any dropped line stays as it is.
+
+    ``whole_from`` goes with ``keep="first"``. A document that loses lines and is
+    left without a word goes: each of its lines stays in its first place. One that
+    keeps words but would lose this share of them or more stays whole, with
+    _n_dropped 0, so that a later step can tell whether it is a near copy.
     """
+    if whole_from is not None and (keep != "first" or not 0 < whole_from <= 1):
+        raise ValueError(f"whole_from needs keep first and a share above 0, up to 1; not {keep}, {whole_from}")
     if keep not in ("none", "first") or min_docs < 2:
         raise ValueError(f"keep is none or first, min_docs 2 at least; not {keep}, {min_docs}")
     spark = docs.sparkSession
@@ -180,7 +189,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, keep: str = "none", bits: in
     if keys.count() <= broadcast_keys:
         places = {_hash(bytes(r.key)): (r.doc_id, r.line) for r in keys.drop("n_docs").toLocalIterator()}
         known = spark.sparkContext.broadcast(places if keep == "first" else dict.fromkeys(places))
-        return docs.mapInArrow(tidy(_apply(_by_key(known))), schema)
+        return docs.mapInArrow(tidy(_apply(_by_key(known), whole_from)), schema)
 
     # Number the rows in a stored table, list the lines with a repeated key, and join their places back.
     numbered = docs.select(*docs.columns, F.monotonically_increasing_id().alias("_row"))
@@ -193,7 +202,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, keep: str = "none", bits: in
     if keep == "first":
         hits = hits.where(~(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("line") == F.col("first_line"))))
     by_row = hits.groupBy("_row").agg(F.collect_list("line").alias("_places"))
-    return numbered.join(by_row, "_row", "left").mapInArrow(tidy(_apply(_by_place)), schema)
+    return numbered.join(by_row, "_row", "left").mapInArrow(tidy(_apply(_by_place, whole_from)), schema)
 
 
 def _by_key(known):
@@ -220,18 +229,25 @@ def _by_place(batch: pa.RecordBatch):
     return ((lambda i, line, own=set(x or ()): i in own) for x in batch.column("_places").to_pylist())
 
 
-def _apply(tests):
+def _apply(tests, whole_from: float | None):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, n_lines, n_dropped = [], [], []
+            texts, n_lines, n_dropped, stays = [], [], [], []
             for text, gone in zip(batch.column("text").to_pylist(), tests(batch), strict=True):
                 n, left = _drop(text, gone)
+                words = 1
+                if whole_from is not None and len(left) < n:
+                    words, all_words = sum(len(x.split()) for x in left), sum(len(x.split()) for x in _lines(text))
+                    if words and all_words - words >= whole_from * all_words:
+                        left = _lines(text)
+                stays.append(words > 0)
                 texts.append(text if len(left) == n else b"\n".join(left).decode("utf-8", "surrogatepass"))
                 n_lines.append(n)
                 n_dropped.append(n - len(left))
             arrays = {n: batch.column(n) for n in batch.schema.names if n not in ("_row", "_places")}
             arrays["text"] = pa.array(texts, batch.schema.field("text").type)
             arrays |= {"_n_lines": pa.array(n_lines, pa.int64()), "_n_dropped": pa.array(n_dropped, pa.int64())}
-            yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
+            out = pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
+            yield out if all(stays) else out.filter(pa.array(stays, pa.bool_()))
 
     return apply
