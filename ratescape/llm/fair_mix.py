@@ -2,15 +2,20 @@
 
 Each source is a queue of its documents in shuffled order, ``epochs`` times
 over. A document's virtual finish time is the running size of its queue divided
-by the source's weight. All queues together are range-sorted by that time and
-cut where the total reaches the budget. A queue that runs out leaves its share
-to the others by weight, so the cut yields the water-filling targets: no source
-above ``epochs`` times its size.
+by the source's weight. A queue that runs out leaves its share to the others by
+weight, which yields the water-filling targets: no source above ``epochs`` times
+its size.
+
+The cut is not found by a running total over all rows sorted by finish time.
+``targets`` computes its virtual time in closed form from one row per source, and
+each queue is cut at its own target. So one document may be taken in part in
+every source, not one in all, in return for no global sort and targets met to the word.
+``fair_queue`` orders its rows by finish time; ``mix_totals`` only sums them, and
+Spark leaves that sort out.
 
 The running sum never needs a source in one task: shuffled order is a 64-bit
 hash, its leading bits cut a source into buckets, bucket totals are summed up in
-order, and only a bucket's own rows are ordered in a window. The document across
-the cut is taken in part, so targets are met to the word.
+order, and only a bucket's own rows are ordered in a window.
 
 Only DataFrame functions; texts are read once for their sizes. Null text has
 size 0 and takes nothing; a null source is a source, the last. Each row is a
@@ -87,7 +92,7 @@ def _queue_starts(rows: DataFrame, bucket_rows: int) -> DataFrame:
 
 
 def fair_queue(rows: DataFrame, weights: DataFrame, budget: float = BUDGET, epochs: int = EPOCHS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """The mix as rows of (document, epoch), range-sorted by virtual finish time and cut at the budget.
+    """The mix as rows of (document, epoch), each source cut at its target, ordered by virtual finish time.
 
     ``rows`` is from ``sized``; ``weights`` has one row per source. Adds _epoch,
     _finish (virtual) and _take, the words of this copy that the mix takes.
