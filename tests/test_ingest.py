@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import INLINE_DOC, REFERENCE_DOC, group, item, price, rate_doc, write_json
+from rate_docs import INLINE_DOC, REFERENCE_DOC, group, item, price, rate_doc, write_json
 from pyspark.errors import PySparkException
 
 from ratescape.functions.profiles import ABA
@@ -32,13 +32,13 @@ def test_inline_groups(spark, tmp_path, reader):
     assert [f.dataType for f in rates.schema] == [f.dataType for f in RATE_TABLE]
     (row,) = rates.collect()
     assert row.index_payer == "idx"
-    assert row.payer_name == "Example Payer"
-    assert row.schema_version == "2.0.0"
-    assert row.service_category == "Direct Treatment"
-    assert row.negotiated_rate == 42.5
+    assert row.payer_name == "Prairie Mutual"
+    assert row.schema_version == "1.3.1"
+    assert row.service_category == "Supervision/Protocol Modification"
+    assert row.negotiated_rate == 61.25
     assert row.percentage is None
-    assert row.provider_npi_list == ["1111111111", "2222222222"]
-    assert row.service_codes == ["11"]
+    assert row.provider_npi_list == ["1043211118", "1870000025"]
+    assert row.service_codes == ["02", "11"]
     assert row.is_global and row.is_benchmark_eligible
     counters = parse_counters(files, rates, ABA).first()
     assert (counters.scanned_items, counters.matched_items, counters.rows_written) == (2, 1, 1)
@@ -47,8 +47,8 @@ def test_inline_groups(spark, tmp_path, reader):
 @READERS
 def test_references(spark, tmp_path, reader):
     (row,) = flatten_rates(reader(spark, [write_json(tmp_path / "a.json", REFERENCE_DOC)]), ABA).collect()
-    assert row.provider_npi_list == ["3333333333"]
-    assert row.provider_tin_value == "987654321"
+    assert row.provider_npi_list == ["1629374650"]
+    assert row.provider_tin_value == "470812345"
     assert row.billing_code_modifiers == []
     assert row.setting is None
 
@@ -151,4 +151,4 @@ def test_keys_in_any_order(spark, tmp_path):
     read = flatten_rates(by_docs(spark, [path]), ABA).collect()
     strip = lambda rows: [{**r.asDict(), "source_file_url": None} for r in rows]
     assert strip(walked) == strip(read)
-    assert walked[0].payer_name == "Example Payer"
+    assert walked[0].payer_name == "Harbor Cooperative"

@@ -2,7 +2,7 @@ import json
 import random
 
 import pytest
-from conftest import INLINE_DOC, REFERENCE_DOC, write_json
+from rate_docs import INLINE_DOC, REFERENCE_DOC, write_json
 
 from ratescape.sources import json_walk
 
@@ -22,7 +22,7 @@ def test_rates_of_other_codes_are_left_out(tmp_path):
     path = write_json(tmp_path / "a.json.gz", INLINE_DOC)
     kinds = [p[0] for p in json_walk.walk_rate_file(path, "9999.")]
     assert kinds == ["item", "item", "header"]
-    kinds = [p[0] for p in json_walk.walk_rate_file(path, "97153")]
+    kinds = [p[0] for p in json_walk.walk_rate_file(path, "97155")]
     assert kinds == ["rate", "item", "item", "header"]
 
 
@@ -53,7 +53,7 @@ def test_broken_documents_raise(tmp_path, text):
 def test_codes_are_read_lazily(tmp_path):
     text = json.dumps(INLINE_DOC)[:-40] + "broken"
     path = write_json(tmp_path / "a.json", text)
-    assert next(json_walk.walk_codes(path)) == "97153"
+    assert next(json_walk.walk_codes(path)) == "97155"
 
 
 def test_key_far_before_its_array():

@@ -1,5 +1,5 @@
 import pytest
-from conftest import INLINE_DOC, REFERENCE_DOC, write_json
+from rate_docs import INLINE_DOC, REFERENCE_DOC, write_json
 from pyspark.sql import functions as F
 
 from ratescape.functions import columns as col
@@ -30,15 +30,15 @@ def parsed(spark, tmp_path_factory):
 def test_grouped_summary(parsed):
     rows = run_query(parsed, service_line="aba", group_by="billing_code", summary=True).collect()
     assert [(r.billing_code, r.row_count, r.median_rate) for r in rows] == [
-        ("97151", 1, 100.0),
-        ("97153", 1, 42.5),
+        ("97152", 1, 88.0),
+        ("97155", 1, 61.25),
     ]
 
 
 def test_filters(parsed):
-    assert [r.billing_code for r in run_query(parsed, cpt="97153").collect()] == ["97153"]
-    assert run_query(parsed, min_rate=40, max_rate=50).count() == 1
-    assert run_query(parsed, min_rate=42.5, max_rate=42.5).count() == 1
+    assert [r.billing_code for r in run_query(parsed, cpt="97155").collect()] == ["97155"]
+    assert run_query(parsed, min_rate=60, max_rate=70).count() == 1
+    assert run_query(parsed, min_rate=61.25, max_rate=61.25).count() == 1
     assert run_query(parsed, benchmark_eligible=True).count() == 2
     assert run_query(parsed, payer="Nobody").count() == 0
     empty = run_query(parsed, payer="Nobody", summary=True).collect()

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import INLINE_DOC, item, rate_doc, write_json
+from rate_docs import INLINE_DOC, item, rate_doc, write_json
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
