@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescape.llm import decontaminate, fair_mix, fertility, jaccard_join, line_dedup, lm, private_data, secret_scan, spans, suffix_dedup, warc
+from ratescape.llm import decontaminate, fair_mix, fertility, jaccard_join, line_dedup, lm, merkle, private_data, secret_scan, spans, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,10 +64,20 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(*(F.col(f"_{c}").alias({"id": "doc_id"}.get(c, c)) for c in ("id", "source", "size", "source_size", "target", "taken")))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_secret_ownership, op4_jaccard_join, op5_decontaminate, op6_suffix_dedup, op7_private_data, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix)}
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    lowered = {c: F.translate(c, _UPPER, _LOWER) if c == "text" else F.col(c) for c in merkle.FIELDS}
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.digest(lowered))
+    rows = merkle.manifest(merkle.leaves(docs, carry={"tampered": tampered}))
+    rows = rows.withColumn("shown", F.coalesce("tampered", "_digest")).withColumn("folded_root", merkle.folded("shown"))
+    digests = [F.col("_digest").alias("leaf"), "subroot", "root", F.sha2(merkle.siblings(), 256).alias("proof_sha256"), "folded_root"]
+    return rows.select(F.col("_order").alias("doc_id"), *digests, (F.col("folded_root") == F.col("root")).alias("verified"))
+
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_secret_ownership, op4_jaccard_join, op5_decontaminate, op6_suffix_dedup, op7_private_data, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix, op12_merkle_manifest)}
+
 SQL = {
     "op1_line_dedup": rf"""
 WITH split AS (
