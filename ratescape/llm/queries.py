@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescape.llm import decontaminate, fair_mix, fertility, jaccard_join, line_dedup, lm, merkle, private_data, secret_scan, spans, suffix_dedup, warc
+from ratescape.llm import align, decontaminate, fair_mix, fertility, jaccard_join, line_dedup, lm, merkle, private_data, secret_scan, spans, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,9 +74,17 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("_order").alias("doc_id"), *digests, (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align.align(_table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    docs = found.documents.select("block", "at", F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"))
+    sums = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_best", "count_sum")]
+    return docs.join(found.scores, ["block", "at"], "left").select("doc_id", "n_a", "n_b", "n_groups", "n_links", *sums, "groups_sha256")
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_secret_ownership, op4_jaccard_join, op5_decontaminate, op6_suffix_dedup, op7_private_data, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix, op12_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_secret_ownership, op4_jaccard_join, op5_decontaminate, op6_suffix_dedup, op7_private_data, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix, op12_merkle_manifest, op13_cross_alignment)}
 
 SQL = {
     "op1_line_dedup": rf"""
