@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescape.llm import align, decontaminate, fair_mix, fertility, jaccard_join, line_dedup, lm, merkle, private_data, secret_scan, spans, suffix_dedup, warc
+from ratescape.llm import align, decontaminate, fair_mix, fertility, jaccard_join, line_dedup, lm, merkle, private_data, rp_forest, secret_scan, spans, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(*(F.col(f"_{c}").alias({"id": "doc_id"}.get(c, c)) for c in ("id", "source", "size", "source_size", "target", "taken")))
 
 
+def op11_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.nearest(_table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     lowered = {c: F.translate(c, _UPPER, _LOWER) if c == "text" else F.col(c) for c in merkle.FIELDS}
@@ -84,7 +88,7 @@ def op13_cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_secret_ownership, op4_jaccard_join, op5_decontaminate, op6_suffix_dedup, op7_private_data, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix, op12_merkle_manifest, op13_cross_alignment)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_secret_ownership, op4_jaccard_join, op5_decontaminate, op6_suffix_dedup, op7_private_data, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix, op11_rp_forest, op12_merkle_manifest, op13_cross_alignment)}
 
 SQL = {
     "op1_line_dedup": rf"""
