@@ -6,11 +6,10 @@ its token alone (bytes of one character in several tokens, byte fallback), the c
 is found from the decoded bytes. Places where tokens of both end cut a text into groups,
 and every token pair of a group is a link.
 
-Texts are cut before tokenizing at a blank between two visible characters. No
-token of either vocabulary spans such a place (``Tokenizers.cuts`` verifies that for
-the piece vocabulary; the byte-level one splits words there by its pattern), so the
-parts are tokenized apart, each distinct one once per task, and the whole text's
-tokens and groups are theirs in a row.
+Long texts are cut into chunks before tokenizing, at a blank between two visible
+characters. No token of either vocabulary spans such a place (``Tokenizers``
+verifies that for the piece vocabulary; the byte-level one splits words there by its
+pattern), so the whole text's tokens and groups are the chunks' in a row.
 
 The number of documents that hold a pair linked is counted over all documents,
 and each document is then scored with the counts of its pairs. Documents travel as
@@ -25,9 +24,11 @@ groups. Other columns than id and text are not read. No rows give no rows.
 
 from __future__ import annotations
 
+import os
 import re
-from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
+from operator import attrgetter
 from pathlib import Path
 from typing import NamedTuple
 
@@ -43,8 +44,10 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pairs of one part of the pair table and packed bytes of blocks that meet it in one cell.
 PART_PAIRS, CELL_BYTES = 1 << 20, 16 << 20
-#: A task forgets its parts of texts beyond so many bytes of them.
-CACHE_BYTES = 16 << 20
+#: Characters of a chunk, about.
+CHUNK = 1 << 16
+#: A group with more links than this is counted by distinct ids.
+WIDE = 4096
 #: A task adds up its pair counts beyond so many of them.
 COUNT_ROWS = 1 << 21
 
@@ -63,31 +66,55 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class Part(NamedTuple):
-    """The alignment of a text or a part of one."""
+def chunks(text: str, size: int) -> list[str]:
+    """The text in chunks of about ``size`` characters, without the blanks between them."""
+    out, start = [], 0
+    while len(text) - start > size and (cut := CUT.search(text, start + size)):
+        out.append(text[start : cut.start()])
+        start = cut.end()
+    return [*out, text[start:]]
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    groups: str
-    pairs: dict[tuple[int, int], int]  # (A id, B id): links
-    ok: bool
 
+def refine(start: np.ndarray, end: np.ndarray, lengths: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Byte ends of the tokens of a row of texts, from coarse spans and decoded lengths.
 
-NOTHING = Part(0, 0, 0, 0, "", {}, False)
+    ``after`` is the start of the next token's span, or the end of the text. A span
+    that neither is empty nor shares bytes with its neighbours is a cut; from the last
+    cut on, the decoded lengths are added up.
+    """
+    total = np.cumsum(lengths)
+    before = np.concatenate(([0], end[:-1]))
+    clean = (start >= before) & (start < end) & (after >= end)
+    anchor = np.maximum.accumulate(np.where(clean, np.arange(len(total)), -1))
+    held = anchor >= 0
+    return np.where(held, end[anchor] + total - total[anchor], total)
+
+
+def joined_at(sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The places starts[i], starts[i] + 1, ... of all i, sizes[i] of each, in a row."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
+class Tokens(NamedTuple):
+    """Tokens of a row of texts: id, text and byte end, counted through all texts."""
 
+    ids: np.ndarray
+    text: np.ndarray
+    end: np.ndarray
 
-def refine(spans: list[tuple[int, int]], lengths: list[int], size: int) -> list[int] | None:
-    """Byte ends of tokens from their coarse spans and decoded lengths; None if the two do not agree."""
-    ends, at, n = [], 0, len(spans)
-    for i, (start, end) in enumerate(spans):
-        clean = start == at < end and (spans[i + 1][0] if i + 1 < n else size) == end
-        if clean and end - start != lengths[i]:
-            return None
-        at = end if clean else at + lengths[i]
-        ends.append(at)
-    return ends if at == size else None
+
+class _Vocabulary:
+    """Decoded bytes of all tokens, as one array."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self._at = np.cumsum(self.size) - self.size
+        self._bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.names = np.array([str(i) for i in range(len(tokens))], object)
+
+    def decoded(self, ids: np.ndarray) -> np.ndarray:
+        return self._bytes[joined_at(self.size[ids], self._at[ids])]
 
 
 class Tokenizers:
@@ -101,60 +128,61 @@ class Tokenizers:
         self._a.encode_special_tokens = True
         self._b = SentencePieceProcessor(model_proto=piece_file)
         table = byte_of_char()
-        self._a_bytes = {i: bytes(table[c] for c in t) for t, i in self._a.get_vocab(with_added_tokens=False).items()}
+        entries = {i: bytes(table[c] for c in t) for t, i in self._a.get_vocab(with_added_tokens=False).items()}
+        self.a = _Vocabulary([entries.get(i, b"") for i in range(max(entries) + 2)])
         pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
-        self._b_bytes = [bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
+        self.b = _Vocabulary([bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)])
         self.cuts = not any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", p) for p in pieces)
 
-    def parts(self, text: str) -> list[str]:
-        """The text in parts that are tokenized apart; each is preceded by a space."""
-        return CUT.split(text) if self.cuts else [text]
+    def chunks(self, text: str, size: int) -> list[str]:
+        return chunks(text, size) if self.cuts else [text]
 
-    def align(self, texts: list[str]) -> list[Part]:
-        """Alignments of texts, each preceded by a space."""
+    def encode(self, texts: list[str]) -> tuple[Tokens, Tokens, np.ndarray]:
+        """Tokens of texts, each preceded by a space, and the byte end of each text; a text whose tokens' bytes differ from it has none."""
+        raw = [(" " + t).encode() for t in texts]
+        ends = np.cumsum([len(r) for r in raw])
+        flat = np.frombuffer(b"".join(raw), np.uint8)
         ours = self._a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        theirs = self._b.encode(texts, return_type="proto", num_threads=1)
-        return [self._one(t, a, b) for t, a, b in zip(texts, ours, theirs, strict=True)]
-
-    def _one(self, text: str, ours, theirs) -> Part:
-        raw = (" " + text).encode()
-        a, pieces = ours.ids, theirs.pieces
-        b = [p.id for p in pieces]
-        a_bytes = [self._a_bytes.get(i, b"") for i in a]
-        b_bytes = [self._b_bytes[i] for i in b]
-        if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
-            return NOTHING
-        spans = ours.offsets
-        if len(raw) > len(text) + 1:
-            at = np.concatenate(([0], np.cumsum([len(c.encode()) for c in " " + text]))).tolist()
-            spans = [(at[s], at[e]) for s, e in spans]
-        a_ends = refine(spans, list(map(len, a_bytes)), len(raw))
+        a_text = np.repeat(np.arange(len(texts)), [len(e) for e in ours])
+        a_ids = np.fromiter(chain.from_iterable(e.ids for e in ours), np.int64, len(a_text))
+        spans = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in ours)), np.int64, 2 * len(a_text)).reshape(-1, 2)
+        # characters to bytes, through all texts
+        place = np.append(np.flatnonzero((flat & 0xC0) != 0x80), len(flat))
+        first = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))[:-1]
+        a_spans = place[spans + first[a_text][:, None]]
+
+        theirs = [t.pieces for t in self._b.encode(texts, return_type="proto", num_threads=1)]
+        b_text = np.repeat(np.arange(len(texts)), [len(p) for p in theirs])
+        flat_b = chain.from_iterable(map(attrgetter("id", "begin", "end"), chain.from_iterable(theirs)))
+        pieces = np.fromiter(flat_b, np.int64, 3 * len(b_text)).reshape(-1, 3)
+        b_ids, b_spans = pieces[:, 0], pieces[:, 1:]
         # the proto's spans are of the text; the space before it belongs to the first piece
-        spans = [(p.begin + 1 if i else 0, p.end + 1) for i, p in enumerate(pieces)]
-        b_ends = refine(spans, list(map(len, b_bytes)), len(raw))
-        if a_ends is None or b_ends is None:
-            return NOTHING
-        cuts = sorted(set(a_ends) & set(b_ends))
-        pairs: Counter = Counter()
-        names, i, j, links = [], 0, 0, 0
-        for cut in cuts:
-            i2, j2 = i, j
-            while i2 < len(a) and a_ends[i2] <= cut:
-                i2 += 1
-            while j2 < len(b) and b_ends[j2] <= cut:
-                j2 += 1
-            mine, other = a[i:i2], b[j:j2]
-            names.append(",".join(map(str, mine)) + "|" + ",".join(map(str, other)))
-            links += len(mine) * len(other)
-            if len(mine) == len(other) == 1:
-                pairs[mine[0], other[0]] += 1
-            else:
-                left, right = Counter(mine), Counter(other)
-                for x, m in left.items():
-                    for y, n in right.items():
-                        pairs[x, y] += m * n
-            i, j = i2, j2
-        return Part(len(a), len(b), len(cuts), links, ";".join(names), pairs, True)
+        start = ends - np.array([len(r) for r in raw])
+        leading = np.diff(b_text, prepend=-1) > 0
+        b_spans = b_spans + (start[b_text] + 1)[:, None]
+        b_spans[leading, 0] -= 1
+
+        good = np.ones(len(texts), bool)
+        for ids, text, vocabulary in ((a_ids, a_text, self.a), (b_ids, b_text, self.b)):
+            sizes = np.bincount(text, vocabulary.size[ids], len(texts)).astype(np.int64)
+            same = sizes == np.diff(ends, prepend=0)
+            here = same[text]
+            differ = vocabulary.decoded(ids[here]) != flat[np.repeat(same, np.diff(ends, prepend=0))]
+            of = np.repeat(text[here], vocabulary.size[ids[here]])
+            same[of[differ]] = False
+            good &= same
+        out = []
+        for ids, text, spans, vocabulary in ((a_ids, a_text, a_spans, self.a), (b_ids, b_text, b_spans, self.b)):
+            kept = good[text]
+            ids, text, spans = ids[kept], text[kept], spans[kept]
+            low = start[text]
+            # left out texts leave gaps: count bytes from the text's own start
+            last = np.append(text[1:] != text[:-1], True) if len(text) else np.zeros(0, bool)
+            after = np.where(last, ends[text], np.append(spans[1:, 0], 0))
+            lengths = vocabulary.size[ids]
+            skipped = low - (np.cumsum(lengths) - lengths)[np.searchsorted(text, text)]
+            out.append(Tokens(ids, text, refine(spans[:, 0] - skipped, spans[:, 1] - skipped, lengths, after - skipped) + skipped))
+        return out[0], out[1], ends
 
 
 # ---------------------------------------------------------------- documents of a task
@@ -168,86 +196,80 @@ _ROWS = pa.schema(
 _SQL_ROWS = "block bigint, at int, id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, pairs binary, docs_of binary, doc binary, links binary"
 
 
-class _Known:
-    """Alignments of the distinct parts that a task has seen lately."""
-
-    def __init__(self, tokenizers: Tokenizers):
-        self._tokenizers = tokenizers
-        self._reset()
-
-    def _reset(self) -> None:
-        self.at: dict[str, int] = {}
-        self.groups: list[str] = []
-        self.ok: list[bool] = []
-        self.sums = np.zeros((0, 4), np.int64)
-        self.pair_at, self.pairs, self.links = np.zeros(1, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self._bytes = 0
-
-    def look(self, texts: list[list[str]]) -> list[list[int]]:
-        if self._bytes > CACHE_BYTES:
-            self._reset()
-        new = list({p: None for parts in texts for p in parts if p not in self.at})
-        if new:
-            made = self._tokenizers.align(new)
-            self.at.update(zip(new, range(len(self.groups), len(self.groups) + len(new)), strict=True))
-            self.groups += [m.groups for m in made]
-            self.ok += [m.ok for m in made]
-            self.sums = np.concatenate([self.sums, np.array([m[:4] for m in made], np.int64)])
-            sizes = np.array([len(m.pairs) for m in made], np.int64)
-            self.pair_at = np.concatenate([self.pair_at, self.pair_at[-1] + np.cumsum(sizes)])
-            keys = np.array([x << 32 | y for m in made for x, y in m.pairs], np.uint64)
-            self.pairs = np.concatenate([self.pairs, keys])
-            self.links = np.concatenate([self.links, np.array([n for m in made for n in m.pairs.values()], np.int64)])
-            self._bytes += sum(map(len, new)) + 24 * len(keys) + 100 * len(new)
-        return [[self.at[p] for p in parts] for parts in texts]
-
-
-def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places starts[i], starts[i] + 1, ... of all i, sizes[i] of each, in a row."""
-    before = np.cumsum(sizes) - sizes
-    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
-
-
-def _block(known: _Known, tokenizers: Tokenizers, batch: pa.RecordBatch, block: int) -> pa.RecordBatch:
+def _names(tokenizers: Tokenizers, a: Tokens, b: Tokens, a_group: np.ndarray, b_group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens as written in groups, each with its separator, and their texts: A ids, ``|``, B ids, ``;``."""
+    a_last = np.append(a_group[1:] != a_group[:-1], True)
+    b_last = np.append(b_group[1:] != b_group[:-1], True)
+    end_of_text = np.append(b.text[1:] != b.text[:-1], True)
+    left = tokenizers.a.names[a.ids] + np.where(a_last, "|", ",").astype(object)
+    right = tokenizers.b.names[b.ids] + np.where(b_last, np.where(end_of_text, "", ";"), ",").astype(object)
+    order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+    return np.concatenate([left, right])[order], np.concatenate([a.text, b.text])[order]
+
+
+def _linked(a: Tokens, b: Tokens, a_group: np.ndarray, b_group: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, text, links) of all groups; a pair may come in several rows."""
+    a_size, b_size = np.bincount(a_group, minlength=groups), np.bincount(b_group, minlength=groups)
+    b_first = np.cumsum(b_size) - b_size
+    wide = a_size * b_size > WIDE
+    near = ~wide[a_group]
+    times = b_size[a_group[near]]
+    left = np.repeat(a.ids[near], times)
+    right = b.ids[joined_at(times, b_first[a_group[near]])]
+    pairs, text, links = [left << 32 | right], [np.repeat(a.text[near], times)], [np.ones(len(left), np.int64)]
+    for g in np.flatnonzero(wide).tolist():
+        mine, m = np.unique(a.ids[a_group == g], return_counts=True)
+        other, n = np.unique(b.ids[b_group == g], return_counts=True)
+        pairs.append((mine[:, None] << 32 | other).ravel())
+        links.append(np.outer(m, n).ravel())
+        text.append(np.full(len(mine) * len(other), a.text[np.searchsorted(a_group, g)]))
+    return np.concatenate(pairs), np.concatenate(text), np.concatenate(links)
+
+
+def _block(tokenizers: Tokenizers, batch: pa.RecordBatch, block: int) -> pa.RecordBatch:
     texts = batch.column("text").to_pylist()
-    parts = known.look([tokenizers.parts(t) if t else [] for t in texts])
-    for i, seen in enumerate(parts):
-        if not all(known.ok[p] for p in seen):
-            parts[i] = []
     n = len(texts)
-    counts = np.array([len(p) for p in parts], np.int64)
-    seen = np.array([p for row in parts for p in row], np.int64)
-    doc = np.repeat(np.arange(n), counts)
-    sums = np.zeros((n, 4), np.int64)
-    np.add.at(sums, doc, known.sums[seen])
-    groups = [";".join([known.groups[p] for p in row]) for row in parts]
+    cut = [tokenizers.chunks(t, CHUNK) if t else [] for t in texts]
+    doc_of = np.repeat(np.arange(n), [len(c) for c in cut])
+    a, b, ends = tokenizers.encode([c for row in cut for c in row])
+    # a document has tokens if all its chunks have
+    having = np.zeros(len(ends), bool)
+    having[a.text] = True
+    whole = np.bincount(doc_of, ~having, n) == 0
+    a, b = (Tokens(t.ids[k], doc_of[t.text[k]], t.end[k]) for t in (a, b) for k in [whole[doc_of[t.text]]])
+    ends_here = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, bool)
+    ends_here[a.end] = True
+    cuts = b.end[ends_here[b.end]]
+    a_group, b_group = np.searchsorted(cuts, a.end), np.searchsorted(cuts, b.end)
+    names, of = _names(tokenizers, a, b, a_group, b_group)
+    at = np.searchsorted(of, np.arange(n + 1)).tolist()
+    names = names.tolist()
+    groups = ["".join(names[at[i] : at[i + 1]]) for i in range(n)]
+    pair, text, links = _linked(a, b, a_group, b_group, len(cuts))
+    last_of_group = np.append(a_group[1:] != a_group[:-1], True) if len(a_group) else np.zeros(0, bool)
+    sums = [np.bincount(a.text, minlength=n), np.bincount(b.text, minlength=n), np.bincount(a.text[last_of_group], minlength=n)]
+    linked = np.zeros(n, np.int64)
+    np.add.at(linked, text, links)
     # every (pair, document) of the block once, with its links
-    distinct, inverse = np.unique(seen, return_inverse=True)
-    sizes = known.pair_at[distinct + 1] - known.pair_at[distinct]
-    keys, rank = np.unique(known.pairs[spread(known.pair_at[distinct], sizes)], return_inverse=True)
-    first = np.cumsum(sizes) - sizes
-    each = sizes[inverse]
-    place = rank[spread(first[inverse], each)]
-    links = known.links[spread(known.pair_at[seen], each)]
-    both, where = np.unique(place * n + np.repeat(doc, each), return_inverse=True)
+    keys, rank = np.unique(pair, return_inverse=True)
+    both, where = np.unique(rank * n + text, return_inverse=True)
     total = np.zeros(len(both), np.int64)
     np.add.at(total, where, links)
-    pair, of = both // max(n, 1), both % max(n, 1)
-    packed = [squeeze_sorted(keys), squeeze(np.bincount(pair, minlength=len(keys)).astype(np.int64)), squeeze(of.astype(np.int32)), squeeze(total)]
-    blank = [None] * n
+    place, doc = both // max(n, 1), both % max(n, 1)
+    packed = [squeeze_sorted(keys.astype(np.uint64)), squeeze(np.bincount(place, minlength=len(keys)).astype(np.int64)), squeeze(doc.astype(np.int32)), squeeze(total)]
     columns = [[block] * (n + 1), [*range(n), -1], [*batch.column("id").to_pylist(), None]]
-    columns += [[*sums[:, k].tolist(), None] for k in range(4)] + [[*groups, None]] + [[*blank, x] for x in packed]
+    columns += [[*x.tolist(), None] for x in (*sums, linked)] + [[*groups, None]] + [[*[None] * n, x] for x in packed]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROWS, strict=True)], schema=_ROWS)
 
 
 def _aligned(files):
     def run(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks share the cores already
         tokenizers = Tokenizers(*files.value)
-        known = _Known(tokenizers)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for piece in slices(batch):
-                yield _block(known, tokenizers, piece, block)
+                yield _block(tokenizers, piece, block)
                 block += 1
 
     return tidy(run)

@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 from hashlib import sha256
 
+import numpy as np
 import pytest
 
 from ratescape.llm import align, queries
@@ -86,15 +87,16 @@ def test_query_by_plain_python(spark, tokenizers):
     assert sorted(map(tuple, queries.op13_cross_alignment(spark, SF).collect())) == sorted(expected(tokenizers, docs))
 
 
-def test_parts_give_the_groups_of_the_whole_text(spark, tokenizers):
-    """Every document of the next table, without Spark."""
+@pytest.mark.parametrize("size", [1, 300])
+def test_chunks_give_the_tokens_of_the_whole_text(spark, tokenizers, size):
+    """Documents of the next table, without Spark."""
     ours = align.Tokenizers(open(align.BYTE_BPE, "rb").read(), open(align.PIECE_BPE, "rb").read())
     assert ours.cuts
-    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300).collect():
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(200).collect():
         whole = groups_of(*tokenizers, r.text) or []
-        made = ours.align(ours.parts(r.text)) if r.text else []
-        text = ";".join(",".join(map(str, xs)) + "|" + ",".join(map(str, ys)) for xs, ys in whole)
-        assert ";".join(m.groups for m in made) == text
+        a, b, _ = ours.encode(ours.chunks(r.text, size)) if r.text else ours.encode([])
+        assert a.ids.tolist() == [x for xs, _ in whole for x in xs]
+        assert b.ids.tolist() == [y for _, ys in whole for y in ys]
 
 
 EDGES = [
@@ -118,6 +120,8 @@ EDGES = [
 def test_edge_cases(spark, tmp_path, tokenizers, monkeypatch, limits):
     monkeypatch.setattr(align, "PART_PAIRS", limits[0])
     monkeypatch.setattr(align, "CELL_BYTES", limits[1])
+    monkeypatch.setattr(align, "CHUNK", limits[0] // 16)
+    monkeypatch.setattr(align, "WIDE", limits[0] // 20)
     rows = [(d, t, 5, "x", b"q") for d, t in EDGES]
     schema = "doc_id long, text string, block int, at string, pairs binary"
     assert by_query(spark, tmp_path, rows, schema) == sorted(expected(tokenizers, EDGES), key=str)
@@ -128,6 +132,10 @@ def test_no_rows(spark, tmp_path):
 
 
 def test_refine_uses_spans_and_falls_back_on_decoded_bytes():
-    assert align.refine([(0, 1), (1, 4)], [1, 3], 4) == [1, 4]
-    assert align.refine([(0, 4), (1, 4), (1, 4)], [2, 1, 1], 4) == [2, 3, 4]
-    assert align.refine([(0, 2), (2, 4)], [1, 3], 4) is None
+    def ends(spans, lengths, size):
+        start, end = np.array(spans).T
+        return align.refine(start, end, np.array(lengths), np.append(start[1:], size)).tolist()
+
+    assert ends([(0, 1), (1, 4)], [1, 3], 4) == [1, 4]
+    assert ends([(0, 4), (1, 4), (1, 4)], [2, 1, 1], 4) == [2, 3, 4]
+    assert ends([(0, 1), (1, 1), (1, 1), (1, 4)], [1, 1, 1, 1], 4) == [1, 2, 3, 4]
