@@ -6,10 +6,11 @@ its token alone (bytes of one character in several tokens, byte fallback), the c
 is found from the decoded bytes. Places where tokens of both end cut a text into groups,
 and every token pair of a group is a link.
 
-Long texts are cut into chunks before tokenizing, at a blank between two visible
-characters. No token of either vocabulary spans such a place (``Tokenizers``
-verifies that for the piece vocabulary; the byte-level one splits words there by its
-pattern), so the whole text's tokens and groups are the chunks' in a row.
+Texts are cut before tokenizing at the blanks between two visible characters. No
+token of either vocabulary spans such a place (``Tokenizers`` verifies that for the
+piece vocabulary and, in every row of parts, for both; the byte-level one splits words there by its
+pattern), so a text's tokens and groups are those of its parts in a row. The distinct parts of a
+slice of documents are put in rows, as texts of their own, and tokenized once.
 
 The number of documents that hold a pair linked is counted over all documents,
 and each document is then scored with the counts of its pairs. Documents travel as
@@ -44,8 +45,8 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pairs of one part of the pair table and packed bytes of blocks that meet it in one cell.
 PART_PAIRS, CELL_BYTES = 1 << 20, 16 << 20
-#: Characters of a chunk, about.
-CHUNK = 1 << 16
+#: Bytes of text of a slice of documents, and characters of a row of parts, about.
+SLICE, ROW = 4 << 20, 1 << 16
 #: A group with more links than this is counted by distinct ids.
 WIDE = 4096
 #: A task adds up its pair counts beyond so many of them.
@@ -53,6 +54,7 @@ COUNT_ROWS = 1 << 21
 
 _VISIBLE = "!-~¡-¬®-ɏͰ-ϿЀ-ԯ一-鿿"
 CUT = re.compile(f" (?<=[{_VISIBLE}] )(?=[{_VISIBLE}])")
+SOLID = re.compile(f"[{_VISIBLE}](?s:.*[{_VISIBLE}])?")
 SPACE_MARK = "▁"
 
 
@@ -66,15 +68,6 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def chunks(text: str, size: int) -> list[str]:
-    """The text in chunks of about ``size`` characters, without the blanks between them."""
-    out, start = [], 0
-    while len(text) - start > size and (cut := CUT.search(text, start + size)):
-        out.append(text[start : cut.start()])
-        start = cut.end()
-    return [*out, text[start:]]
-
-
 def refine(start: np.ndarray, end: np.ndarray, lengths: np.ndarray, after: np.ndarray) -> np.ndarray:
     """Byte ends of the tokens of a row of texts, from coarse spans and decoded lengths.
 
@@ -134,11 +127,67 @@ class Tokenizers:
         self.b = _Vocabulary([bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)])
         self.cuts = not any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", p) for p in pieces)
 
-    def chunks(self, text: str, size: int) -> list[str]:
-        return chunks(text, size) if self.cuts else [text]
-
-    def encode(self, texts: list[str]) -> tuple[Tokens, Tokens, np.ndarray]:
-        """Tokens of texts, each preceded by a space, and the byte end of each text; a text whose tokens' bytes differ from it has none."""
+    def parts(self, text: str) -> list[str]:
+        """The text in parts that can be tokenized apart, without the blanks between them."""
+        return CUT.split(text) if self.cuts else [text]
+
+    def encode_parts(self, parts: list[str], size: int) -> tuple[Tokens, Tokens, np.ndarray, np.ndarray]:
+        """Tokens of parts, the byte end of each and whether its tokens' bytes are its own; ``text`` is the part's place.
+
+        Parts that begin and end with a visible character go in rows of about ``size`` characters.
+        """
+        rows: list[list[int]] = []
+        alone, held = [], 0
+        for i, part in enumerate(parts):
+            if not (self.cuts and SOLID.fullmatch(part)):
+                alone.append([i])
+                continue
+            if not rows or held > size:
+                rows.append([])
+                held = 0
+            rows[-1].append(i)
+            held += len(part) + 1
+        found = [self._rows(parts, rows), self._rows(parts, alone)]
+        again = [[i] for i in np.flatnonzero(~found[0][3]).tolist()]
+        if again:  # a part that cannot be tokenized spoils its row
+            found.append(self._rows(parts, again))
+        sizes = np.array([len(p.encode()) + 1 for p in parts], np.int64)
+        ends = np.cumsum(sizes)
+        good = np.zeros(len(parts), bool)
+        sides = []
+        for side in (0, 1):
+            tokens = [f[side] for f in found]
+            of = np.concatenate([t.text for t in tokens])
+            order = np.argsort(of, kind="stable")
+            end = np.concatenate([t.end for t in tokens])
+            sides.append(Tokens(np.concatenate([t.ids for t in tokens])[order], of[order], (end + (ends - sizes)[of])[order]))
+        good[np.concatenate([sides[0].text, sides[1].text])] = True
+        return sides[0], sides[1], ends, good
+
+    def _rows(self, parts: list[str], rows: list[list[int]]) -> tuple[Tokens, Tokens, None, np.ndarray]:
+        """Tokens of rows of parts by part, with ends from the part's start; the mask is False for parts of rows that failed."""
+        a, b, _, good = self.encode([" ".join([parts[i] for i in row]) for row in rows])
+        if not rows:
+            return a, b, None, np.ones(len(parts), bool)
+        order = np.array([i for row in rows for i in row], np.int64)
+        ends = np.cumsum([len(parts[i].encode()) + 1 for i in order.tolist()])
+        starts = np.concatenate(([0], ends))[:-1].astype(np.int64)
+        mask = np.ones(len(parts), bool)
+        row_of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        mask[order[~good[row_of]]] = False
+        out = []
+        for t in (a, b):
+            at = np.searchsorted(ends, t.end)
+            if not np.isin(ends[good[row_of]], t.end).all():
+                raise ValueError("a token spans two parts")
+            out.append(Tokens(t.ids, order[at], t.end - starts[at]))
+        return out[0], out[1], None, mask
+
+    def encode(self, texts: list[str]) -> tuple[Tokens, Tokens, np.ndarray, np.ndarray]:
+        """Tokens of texts, each preceded by a space, and the byte end of each text; a text whose tokens' bytes differ from it is not good and has none."""
+        if not texts:
+            none = Tokens(*[np.zeros(0, np.int64)] * 3)
+            return none, none, np.zeros(0, np.int64), np.zeros(0, bool)
         raw = [(" " + t).encode() for t in texts]
         ends = np.cumsum([len(r) for r in raw])
         flat = np.frombuffer(b"".join(raw), np.uint8)
@@ -182,7 +231,7 @@ class Tokenizers:
             lengths = vocabulary.size[ids]
             skipped = low - (np.cumsum(lengths) - lengths)[np.searchsorted(text, text)]
             out.append(Tokens(ids, text, refine(spans[:, 0] - skipped, spans[:, 1] - skipped, lengths, after - skipped) + skipped))
-        return out[0], out[1], ends
+        return out[0], out[1], ends, good
 
 
 # ---------------------------------------------------------------- documents of a task
@@ -229,36 +278,44 @@ def _linked(a: Tokens, b: Tokens, a_group: np.ndarray, b_group: np.ndarray, grou
 def _block(tokenizers: Tokenizers, batch: pa.RecordBatch, block: int) -> pa.RecordBatch:
     texts = batch.column("text").to_pylist()
     n = len(texts)
-    cut = [tokenizers.chunks(t, CHUNK) if t else [] for t in texts]
-    doc_of = np.repeat(np.arange(n), [len(c) for c in cut])
-    a, b, ends = tokenizers.encode([c for row in cut for c in row])
-    # a document has tokens if all its chunks have
-    having = np.zeros(len(ends), bool)
-    having[a.text] = True
-    whole = np.bincount(doc_of, ~having, n) == 0
-    a, b = (Tokens(t.ids[k], doc_of[t.text[k]], t.end[k]) for t in (a, b) for k in [whole[doc_of[t.text]]])
-    ends_here = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, bool)
+    index: dict[str, int] = {}
+    rows = [[index.setdefault(p, len(index)) for p in tokenizers.parts(t)] if t else [] for t in texts]
+    a, b, ends, good = tokenizers.encode_parts(list(index), ROW)
+    # groups, links and pairs of each distinct part
+    size = len(index)
+    ends_here = np.zeros(int(ends[-1]) + 1 if size else 1, bool)
     ends_here[a.end] = True
     cuts = b.end[ends_here[b.end]]
     a_group, b_group = np.searchsorted(cuts, a.end), np.searchsorted(cuts, b.end)
     names, of = _names(tokenizers, a, b, a_group, b_group)
-    at = np.searchsorted(of, np.arange(n + 1)).tolist()
+    at = np.searchsorted(of, np.arange(size + 1)).tolist()
     names = names.tolist()
-    groups = ["".join(names[at[i] : at[i + 1]]) for i in range(n)]
-    pair, text, links = _linked(a, b, a_group, b_group, len(cuts))
+    names = ["".join(names[at[i] : at[i + 1]]) for i in range(size)]
     last_of_group = np.append(a_group[1:] != a_group[:-1], True) if len(a_group) else np.zeros(0, bool)
-    sums = [np.bincount(a.text, minlength=n), np.bincount(b.text, minlength=n), np.bincount(a.text[last_of_group], minlength=n)]
-    linked = np.zeros(n, np.int64)
-    np.add.at(linked, text, links)
-    # every (pair, document) of the block once, with its links
+    pair, part, links = _linked(a, b, a_group, b_group, len(cuts))
+    sums = [np.bincount(x, minlength=size) for x in (a.text, b.text, a.text[last_of_group])]
+    sums.append(np.bincount(part, links, size).astype(np.int64))
     keys, rank = np.unique(pair, return_inverse=True)
-    both, where = np.unique(rank * n + text, return_inverse=True)
-    total = np.zeros(len(both), np.int64)
-    np.add.at(total, where, links)
+    order = np.argsort(part, kind="stable")
+    rank, links = rank[order], links[order]
+    pair_size = np.bincount(part, minlength=size)
+    pair_at = np.cumsum(pair_size) - pair_size
+    # documents: all parts, or nothing
+    rows = [row if all([good[p] for p in row]) else [] for row in rows]
+    groups = [";".join([names[p] for p in row]) for row in rows]
+    seen = np.array([p for row in rows for p in row], np.int64)
+    doc = np.repeat(np.arange(n), np.array([len(row) for row in rows], np.int64))
+    totals = [np.bincount(doc, x[seen], n).astype(np.int64) for x in sums]
+    # every (pair, document) of the block once, with its links
+    each = pair_size[seen]
+    place = joined_at(each, pair_at[seen])
+    both, where = np.unique(rank[place] * n + np.repeat(doc, each), return_inverse=True)
+    total = np.bincount(where, links[place], len(both)).astype(np.int64)
     place, doc = both // max(n, 1), both % max(n, 1)
-    packed = [squeeze_sorted(keys.astype(np.uint64)), squeeze(np.bincount(place, minlength=len(keys)).astype(np.int64)), squeeze(doc.astype(np.int32)), squeeze(total)]
+    docs_of = np.bincount(place, minlength=len(keys)).astype(np.int64)
+    packed = [squeeze_sorted(keys[docs_of > 0].astype(np.uint64)), squeeze(docs_of[docs_of > 0]), squeeze(doc.astype(np.int32)), squeeze(total)]
     columns = [[block] * (n + 1), [*range(n), -1], [*batch.column("id").to_pylist(), None]]
-    columns += [[*x.tolist(), None] for x in (*sums, linked)] + [[*groups, None]] + [[*[None] * n, x] for x in packed]
+    columns += [[*x.tolist(), None] for x in totals] + [[*groups, None]] + [[*[None] * n, x] for x in packed]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROWS, strict=True)], schema=_ROWS)
 
 
@@ -268,7 +325,7 @@ def _aligned(files):
         tokenizers = Tokenizers(*files.value)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=SLICE):
                 yield _block(tokenizers, piece, block)
                 block += 1
 

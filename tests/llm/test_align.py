@@ -87,14 +87,15 @@ def test_query_by_plain_python(spark, tokenizers):
     assert sorted(map(tuple, queries.op13_cross_alignment(spark, SF).collect())) == sorted(expected(tokenizers, docs))
 
 
-@pytest.mark.parametrize("size", [1, 300])
-def test_chunks_give_the_tokens_of_the_whole_text(spark, tokenizers, size):
+@pytest.mark.parametrize("size", [1, 300, 1 << 16])
+def test_rows_of_parts_give_the_tokens_of_the_whole_text(spark, tokenizers, size):
     """Documents of the next table, without Spark."""
     ours = align.Tokenizers(open(align.BYTE_BPE, "rb").read(), open(align.PIECE_BPE, "rb").read())
     assert ours.cuts
-    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(200).collect():
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(150).collect():
         whole = groups_of(*tokenizers, r.text) or []
-        a, b, _ = ours.encode(ours.chunks(r.text, size)) if r.text else ours.encode([])
+        a, b, _, good = ours.encode_parts(ours.parts(r.text) if r.text else [], size)
+        assert good.all()
         assert a.ids.tolist() == [x for xs, _ in whole for x in xs]
         assert b.ids.tolist() == [y for _, ys in whole for y in ys]
 
@@ -120,7 +121,8 @@ EDGES = [
 def test_edge_cases(spark, tmp_path, tokenizers, monkeypatch, limits):
     monkeypatch.setattr(align, "PART_PAIRS", limits[0])
     monkeypatch.setattr(align, "CELL_BYTES", limits[1])
-    monkeypatch.setattr(align, "CHUNK", limits[0] // 16)
+    monkeypatch.setattr(align, "ROW", limits[0] // 16)
+    monkeypatch.setattr(align, "SLICE", limits[0])
     monkeypatch.setattr(align, "WIDE", limits[0] // 20)
     rows = [(d, t, 5, "x", b"q") for d, t in EDGES]
     schema = "doc_id long, text string, block int, at string, pairs binary"
