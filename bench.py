@@ -18,11 +18,10 @@ from ratescape.operators import distribution as dist
 from ratescape.operators import providers as prov
 from ratescape.operators import rate_query as rq
 from ratescape.operators.flatten import flatten_rates
-from ratescape.operators.probe import probe_files
+from ratescape.operators.probe import probe_paths
 from ratescape.plans.presets import run_preset
-from ratescape.schemas import PROBE_DOC
 from ratescape.session import scratch_path
-from ratescape.sources.rate_files import land_rate_files, landed_rate_files, read_docs, read_rate_docs
+from ratescape.sources.rate_files import land_rate_files, landed_rate_files, read_rate_files
 from ratescape.sources.rate_tables import read_rates, write_rates
 from ratescape.sources.registry import read_registry, write_registry
 from workload import fixtures as fx
@@ -83,12 +82,10 @@ def main() -> None:
 
     ingest = {
         "flatten_rates": lambda: flatten_rates(
-            read_rate_docs(spark, docs_path, ABA, fx.doc_source()), ABA, on_missing="skip"
+            read_rate_files(spark, docs_path, ABA, fx.doc_source()), ABA, on_missing="skip"
         ),
         "flatten_rates_large": lambda: flatten_large(spark),
-        "probe_files": lambda: probe_files(
-            read_docs(spark, docs_path, PROBE_DOC, fx.doc_source()), ABA
-        ),
+        "probe_files": lambda: probe_paths(_doc_paths(spark, docs_path), ABA),
         "toc_files": lambda: QUERIES["toc_files"](spark, SF_DIR),
         "index_dedupe": lambda: QUERIES["index_dedupe"](spark, SF_DIR),
         "vendor_index": lambda: QUERIES["vendor_index"](spark, SF_DIR),

@@ -9,44 +9,7 @@ from pyspark.sql import functions as F
 
 from ratescape.functions.profiles import CodeProfile
 from ratescape.sources.json_walk import walk_codes
-from ratescape.sources.rate_files import walk_tasks
-
-
-def probe_files(
-    docs: DataFrame,
-    profile: CodeProfile,
-    limit_items: int | None = None,
-    stop_on_match: bool = True,
-) -> DataFrame:
-    """One row per document of ``read_docs(..., PROBE_DOC)``.
-
-    Looks at the first ``limit_items`` items only, if given, and at none past the first
-    match unless ``stop_on_match`` is off. Works inside each row: no shuffle.
-    """
-    head = F.transform("in_network", lambda item: F.coalesce(item["billing_code"], F.lit("")))
-    if limit_items is not None:
-        head = F.slice(head, 1, max(1, limit_items))
-    rows = docs.withColumn("head", F.coalesce(head, F.array().cast("array<string>")))
-    hits = F.filter("head", lambda code: profile.contains(code))
-    rows = rows.withColumn("hits", hits)
-    found = F.size("hits") > 0
-    if stop_on_match:
-        codes = F.slice("hits", 1, 1)
-        scanned = F.when(found, F.array_position("head", F.get("hits", F.lit(0)))).otherwise(
-            F.size("head")
-        )
-    else:
-        codes = F.array_sort(F.array_distinct("hits"))
-        scanned = F.size("head")
-    broken = F.col("_corrupt_record").isNotNull()
-    return rows.select(
-        F.col("source_file_url").alias("source"),
-        F.when(broken, "error").otherwise("ok").alias("status"),
-        F.when(broken, 0).otherwise(scanned).cast("long").alias("items_scanned"),
-        (~broken & found).alias("has_match"),
-        F.when(broken, F.array().cast("array<string>")).otherwise(codes).alias("matched_codes"),
-        F.when(broken, F.lit("document is not valid JSON")).alias("error"),
-    )
+from ratescape.sources.elements import read_tasks
 
 
 def probe_paths(
@@ -56,7 +19,10 @@ def probe_paths(
     stop_on_match: bool = True,
     tasks: int | None = None,
 ) -> DataFrame:
-    """``probe_files`` for files of any size; ``paths`` has one ``path`` per row.
+    """One row per file of ``paths`` (one ``path`` per row), of any size.
+
+    Looks at the first ``limit_items`` items only, if given, and at none past the
+    first match unless ``stop_on_match`` is off.
 
     Python only lists the codes of a file with their positions, up to
     ``limit_items``; matching and summing up is Spark's. A file that cannot be
@@ -92,7 +58,7 @@ def probe_paths(
     hit = profile.contains(F.col("code"))
     files = (
         paths.select("path")
-        .repartition(tasks or walk_tasks(paths))
+        .repartition(tasks or read_tasks(paths))
         .mapInArrow(listed, "source string, position long, code string, error string")
         .groupBy("source")
         .agg(

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from itertools import islice
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratescape import reference_values as ref
 from ratescape.functions.columns import absolute_url
-from ratescape.schemas import HEADER_FIELDS, NATIVE_INDEX, PLAN, TOC, TOC_STRUCTURE, VENDOR_METADATA
-from ratescape.sources.json_walk import walk_array
-from ratescape.sources.rate_files import read_docs, walk_tasks
+from ratescape.schemas import HEADER_FIELDS, PLAN
+from ratescape.sources.elements import Documents, read_documents
 
 PLAN_FIELDS = PLAN.fieldNames()
 _PLANS = f"array<{PLAN.simpleString()}>"
@@ -21,51 +18,14 @@ INDEX_COLUMNS = ("location", "description", "content_length_bytes", "reporting_p
 # --- table of contents ----------------------------------------------------
 
 
-def read_toc(spark: SparkSession, paths: str | list[str], source: Column | None = None) -> DataFrame:
-    """One row per table-of-contents document."""
-    return read_docs(spark, paths, TOC, source)
-
-
-def toc_structures(toc: DataFrame) -> DataFrame:
-    """One row per reporting structure, in document order; null entries go."""
-    return (
-        toc.select("source_file_url", F.posexplode("reporting_structure").alias("structure_ord", "s"))
-        .filter(F.col("s").isNotNull())
-        .select("source_file_url", "structure_ord", "s.reporting_plans", "s.in_network_files")
-    )
+def read_toc(spark: SparkSession, paths: str | list[str] | DataFrame, source: Column | None = None) -> Documents:
+    """Tables of contents of any size: headers, reporting structures and errors of documents that give neither."""
+    return read_documents(spark, paths, "toc", source)
 
 
-def large_toc_structures(paths: DataFrame, tasks: int | None = None) -> DataFrame:
-    """``toc_structures`` for documents of any size; ``paths`` has one ``path`` per row.
-
-    Each document is walked by one task and leaves one row per structure.
-    """
-
-    def walk(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            for path in batch.column(0).to_pylist():
-                elements = walk_array(path, "reporting_structure")
-                while rows := list(islice(elements, 500)):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([path] * len(rows), pa.string()),
-                            pa.array([o for o, _ in rows], pa.int32()),
-                            pa.array([b for _, b in rows], pa.string()),
-                        ],
-                        ["source_file_url", "structure_ord", "body"],
-                    )
-
-    pieces = (
-        paths.select("path")
-        .repartition(tasks or walk_tasks(paths))
-        .mapInArrow(walk, "source_file_url string, structure_ord int, body string")
-    )
-    return (
-        pieces.withColumn("s", F.from_json("body", TOC_STRUCTURE))
-        .select("source_file_url", "structure_ord", "s.reporting_plans", "s.in_network_files")
-    )
+def toc_structures(toc: Documents) -> DataFrame:
+    """One row per reporting structure, with its place in the document; null entries go."""
+    return toc.elements.withColumnRenamed("ord", "structure_ord")
 
 
 def toc_files(structures: DataFrame) -> DataFrame:
@@ -147,17 +107,13 @@ def dedupe_files(files: DataFrame, order: list[str]) -> DataFrame:
 TOC_ORDER = ["source_file_url", "structure_ord", "file_ord"]
 
 
-def index_headers(toc: DataFrame, files: DataFrame) -> DataFrame:
+def index_headers(toc: Documents, files: DataFrame) -> DataFrame:
     """Header, structure count and listed files of every document."""
     counts = files.groupBy("source_file_url").agg(
         F.count_distinct("location").alias("in_network_file_count")
     )
     return (
-        toc.select(
-            "source_file_url",
-            *HEADER_FIELDS,
-            F.coalesce(F.size("reporting_structure"), F.lit(0)).alias("reporting_structure_count"),
-        )
+        toc.headers.select("source_file_url", *HEADER_FIELDS, F.col("element_count").alias("reporting_structure_count"))
         .join(counts, "source_file_url", "left")
         .withColumn("in_network_file_count", F.coalesce("in_network_file_count", F.lit(0)))
     )
@@ -171,36 +127,29 @@ def write_index(files: DataFrame, path: str, mode: str = "overwrite") -> None:
 # --- native index ---------------------------------------------------------
 
 
-def read_native_index(
-    spark: SparkSession, paths: str | list[str], source: Column | None = None
-) -> DataFrame:
+def read_native_index(spark: SparkSession, paths: str | list[str] | DataFrame, source: Column | None = None) -> DataFrame:
     """Files of ``{"in_network_files": [...]}`` documents, in listing order.
 
     An entry needs a location; an empty one is kept.
     """
-    docs = read_docs(spark, paths, NATIVE_INDEX, source)
-    return index_entries(docs)
+    return index_entries(read_documents(spark, paths, "index", source))
 
 
-def index_entries(docs: DataFrame) -> DataFrame:
-    return (
-        docs.select("source_file_url", F.posexplode("in_network_files").alias("file_ord", "f"))
-        .filter(F.col("f.location").isNotNull())
-        .select("source_file_url", "file_ord", "f.location", "f.description", "f.content_length_bytes")
-    )
+def index_entries(index: Documents) -> DataFrame:
+    entries = index.elements.filter(F.col("location").isNotNull())
+    return entries.select("source_file_url", F.col("ord").alias("file_ord"), "location", "description", "content_length_bytes")
 
 
 # --- hosted-vendor metadata -----------------------------------------------
 
 
-def read_vendor_metadata(
-    spark: SparkSession, paths: str | list[str], source: Column | None = None
-) -> DataFrame:
-    """One row per file entry of vendor metadata, in listing order."""
-    docs = read_docs(spark, paths, VENDOR_METADATA, source)
-    return docs.select("source_file_url", F.posexplode("files").alias("file_ord", "f")).select(
-        "source_file_url", "file_ord", "f.*"
-    )
+def read_vendor_metadata(spark: SparkSession, paths: str | list[str] | DataFrame, source: Column | None = None) -> DataFrame:
+    """One row per file entry of vendor metadata, in listing order; null entries go."""
+    return vendor_entries(read_documents(spark, paths, "vendor", source))
+
+
+def vendor_entries(metadata: Documents) -> DataFrame:
+    return metadata.elements.withColumnRenamed("ord", "file_ord")
 
 
 def vendor_files(entries: DataFrame, base_url: str) -> DataFrame:

@@ -126,9 +126,18 @@ class _Array:
     depth: int
     name: str
     elements: dict[str, dict | None] | None
+    after: int
     count: int = 0
     leaf: int | None = None
 
+    def pass_over(self, gap: bytes, opens: bool) -> None:
+        """Count the elements that are no objects, in the text since the last one that is."""
+        gap = gap.strip()
+        if gap != (b"," if opens and self.count else b""):
+            seen = self.count > 0
+            read = json.loads((b"[0" if seen else b"[") + gap + (b"0]" if opens else b"]"))
+            self.count += len(read) - seen - opens
+
 
 # (event, array name, element number, owner, payload)
 Event = tuple[str, str, int, _Object | None, object]
@@ -138,7 +147,7 @@ def walk(path: str, arrays: dict[str, dict | None], deepest: int) -> Iterator[Ev
     """Events of a document, in order.
 
     ``arrays`` names the arrays to cut up; a nested mapping names arrays inside
-    their elements. ``open`` tells that an array of ``owner`` begins, ``leaf``
+    their elements. ``open`` tells that an array of ``owner`` begins and ``close`` how many elements it had, ``leaf``
     has an element's bytes, ``object`` the scalars of an element that itself
     has named arrays, and ``document`` the scalars of the whole, at its end.
     """
@@ -165,37 +174,41 @@ def walk(path: str, arrays: dict[str, dict | None], deepest: int) -> Iterator[Ev
                         if name in top.arrays:
                             top.text.append(buffer[top.begin - offset : here + 1])
                             yield "open", name, -1, top, None
-                            stack.append(_Array(depth, name, top.arrays[name]))
+                            stack.append(_Array(depth, name, top.arrays[name], at + 1))
                     elif not is_open and depth == top.depth - 1:
                         top.text.append(buffer[top.begin - offset : here + 1])
                         stack.pop()
                         if stack:
+                            stack[-1].after = at + 1
                             yield "object", stack[-1].name, top.ord, top, top.scalars()
                         else:
                             done = True
                             yield "document", "", -1, top, top.scalars()
                 elif is_open:
                     if depth == top.depth + 1 and buffer[here] == ord("{"):
+                        top.pass_over(buffer[top.after - offset : here], True)
                         if top.elements is None:
                             top.leaf = at
                         else:
                             stack.append(_Object(depth, top.elements, top.count, begin=at))
                             top.count += 1
                 elif depth == top.depth - 1:
+                    top.pass_over(buffer[top.after - offset : here], False)
                     stack.pop()
                     stack[-1].begin = at
+                    yield "close", top.name, top.count, stack[-1], None
                 elif depth == top.depth and top.leaf is not None:
                     owner = stack[-2]
                     if not owner.skip:
                         yield "leaf", top.name, top.count, owner, buffer[top.leaf - offset : here + 1]
-                    top.count, top.leaf = top.count + 1, None
+                    top.count, top.leaf, top.after = top.count + 1, None, at + 1
             # Keep only what an unfinished piece still needs.
             top = stack[-1] if stack else None
             needed = offset + len(buffer)
             if isinstance(top, _Object):
                 needed = top.begin
-            elif top is not None and top.leaf is not None:
-                needed = top.leaf
+            elif top is not None:
+                needed = top.after if top.leaf is None else top.leaf
             buffer, offset = buffer[needed - offset :], needed
         if not done:
             raise ValueError("the document ends too early")
@@ -229,13 +242,6 @@ def walk_rate_file(path: str, codes: str | frozenset[str]) -> Iterator[Piece]:
             yield "header", -1, -1, None, json.dumps(payload)
 
 
-def _checked(body: bytes) -> str:
-    """Text of an element; one that is not JSON fails its file."""
-    text = body.decode("utf-8")
-    json.loads(text)
-    return text
-
-
 def walk_codes(path: str) -> Iterator[str]:
     """Billing code of one item after the other, '' where it has none.
 
@@ -244,10 +250,3 @@ def walk_codes(path: str) -> Iterator[str]:
     for event, _, _, _, payload in walk(path, {"in_network": {}}, 3):
         if event == "object":
             yield str(payload.get("billing_code") or "")
-
-
-def walk_array(path: str, name: str) -> Iterator[tuple[int, str]]:
-    """(ord, body) of the objects in one top-level array."""
-    for event, _, ord_, _, payload in walk(path, {name: None}, 3):
-        if event == "leaf":
-            yield ord_, _checked(payload)

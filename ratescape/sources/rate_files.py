@@ -1,31 +1,21 @@
 """In-network rate files: nested JSON to rate entries and provider references.
 
-Two readers yield the same tables. ``read_rate_docs`` lets Spark's JSON reader
-turn one file into one row and suits files up to a few hundred megabytes.
-``land_rate_files`` is for larger ones and for batches: each file is walked
-once and leaves as many small rows, so no task ever holds a whole document and
-a file that cannot be read becomes an error row.
+Every file is read once, front to back, by the ``json_elements`` source and lands as
+a typed table of its elements: no task holds a whole document, and a file that
+cannot be read becomes an error row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ratescape.functions.profiles import CodeProfile
-from ratescape.schemas import (
-    HEADER,
-    HEADER_FIELDS,
-    ITEM_FIELDS,
-    ITEM_HEAD,
-    NEGOTIATED_RATE,
-    PROVIDER_REFERENCE,
-    RATE_DOC,
-)
+from ratescape.schemas import HEADER_FIELDS, ITEM_FIELDS
+from ratescape.session import scratch_path
+from ratescape.sources.elements import file_paths, kind_of, land_elements, landed_elements, landing_errors
 
 RATE_FIELDS = ("provider_groups", "provider_references", "negotiated_prices")
 ENTRY_COLUMNS = ("source_file_url", *HEADER_FIELDS, "item_ord", *ITEM_FIELDS, "rate_ord", *RATE_FIELDS)
@@ -50,59 +40,6 @@ class RateFiles:
     errors: DataFrame
 
 
-def read_docs(spark: SparkSession, paths: str | list[str], schema, source: Column | None = None) -> DataFrame:
-    """One row per JSON document, gzip or plain, with its ``source_file_url``.
-
-    Documents that do not parse keep their text in ``_corrupt_record``.
-    """
-    name = F.col("_metadata.file_path") if source is None else source
-    kept = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    docs = spark.read.schema(kept).option("multiLine", True).json(paths)
-    return docs.withColumn("source_file_url", name)
-
-
-def split_docs(docs: DataFrame, profile: CodeProfile) -> RateFiles:
-    """Tables of whole-document rows; a document that breaks the schema anywhere is in ``errors`` only."""
-    # Spark parses only the columns a query needs; a fault is seen only in columns that are.
-    parsed_whole = F.coalesce(F.size("in_network"), F.lit(0)) + F.coalesce(F.size("provider_references"), F.lit(0)) >= -2
-    broken = docs.filter(F.col("_corrupt_record").isNotNull() & parsed_whole)
-    docs = docs.filter(F.col("_corrupt_record").isNull() & parsed_whole)
-    items = docs.select(
-        "source_file_url",
-        *HEADER_FIELDS,
-        F.posexplode("in_network").alias("item_ord", "item"),
-    )
-    # The code filter sits between the two explodes, on purpose.
-    matched = items.filter(profile.contains(F.col("item.billing_code")))
-    rates = matched.select(
-        "source_file_url",
-        *HEADER_FIELDS,
-        "item_ord",
-        *[F.col(f"item.{name}").alias(name) for name in ITEM_FIELDS],
-        F.posexplode("item.negotiated_rates").alias("rate_ord", "rate"),
-    )
-    entries = rates.withColumns({name: F.col(f"rate.{name}") for name in RATE_FIELDS})
-    references = docs.select(
-        "source_file_url", F.posexplode("provider_references").alias("ord", "reference")
-    ).select("source_file_url", "ord", "reference.*")
-    return RateFiles(
-        headers=docs.select("source_file_url", *HEADER_FIELDS),
-        items=items.select(
-            "source_file_url", "item_ord", F.col("item.billing_code").alias("billing_code")
-        ),
-        entries=entries.select(*ENTRY_COLUMNS),
-        references=last_reference(references),
-        errors=broken.select(
-            "source_file_url",
-            F.lit("ValueError").alias("error_type"),
-            F.concat(
-                F.lit("not a valid rate document; payer: "),
-                F.coalesce("reporting_entity_name", F.lit("unknown")),
-            ).alias("error"),
-        ),
-    )
-
-
 def last_reference(references: DataFrame) -> DataFrame:
     """One row per (file, id): the last definition wins, null ids are skipped."""
     return (
@@ -112,42 +49,17 @@ def last_reference(references: DataFrame) -> DataFrame:
     )
 
 
-def read_rate_docs(
-    spark: SparkSession, paths: str | list[str], profile: CodeProfile, source: Column | None = None
-) -> RateFiles:
-    return split_docs(read_docs(spark, paths, RATE_DOC, source), profile)
-
+def read_rate_files(spark: SparkSession, paths: str | list[str] | DataFrame, profile: CodeProfile | None, source: Column | None = None) -> RateFiles:
+    """Tables of the files in folders, globs or lists, or of a table with one ``path`` per row.
 
-# --- large files and batches ----------------------------------------------
-
-PIECE_SCHEMA = "source_file_url string, kind string, item_ord long, ord long, code string, body string"
-#: Schema of each kind of piece; the landed table has one column per kind.
-PIECES = {"header": HEADER, "item": ITEM_HEAD, "rate": NEGOTIATED_RATE, "reference": PROVIDER_REFERENCE}
-
-
-def _checked(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-
-
-LANDED_PIECES = T.StructType(
-    [
-        T.StructField("source_file_url", T.StringType()),
-        T.StructField("item_ord", T.LongType()),
-        T.StructField("ord", T.LongType()),
-        T.StructField("code", T.StringType()),
-        T.StructField("error", T.StringType()),
-        *[T.StructField(kind, _checked(schema)) for kind, schema in PIECES.items()],
-        T.StructField("kind", T.StringType()),
-    ]
-)
-FILES_PER_TASK = 16
-
-
-def walk_tasks(paths: DataFrame) -> int:
-    """Tasks for walking files: all cores busy, a few files each when there are many."""
-    files = paths.count()
-    cores = paths.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(files, max(4 * cores, files // FILES_PER_TASK)))
+    ``source`` renames the files, from ``source_file_url``.
+    """
+    landing = scratch_path(spark, "landing")
+    land_rate_files(paths if isinstance(paths, DataFrame) else file_paths(spark, paths), landing, profile)
+    files = landed_rate_files(spark, landing, profile)
+    if source is None:
+        return files
+    return replace(files, **{f.name: getattr(files, f.name).withColumn("source_file_url", source) for f in fields(files)})
 
 
 def land_rate_files(
@@ -161,59 +73,26 @@ def land_rate_files(
     be outside it are dropped at once; without one, other profiles can use the
     same landing. Each kept piece is parsed here, once, into typed columns.
     """
-    wanted = profile.wanted if profile else ".*"
-    kind = F.col("kind")
-    (
-        paths.select("path")
-        .repartition(tasks or walk_tasks(paths))
-        .mapInArrow(lambda batches: _pieces(batches, wanted), PIECE_SCHEMA)
-        .withColumn("error", F.when(kind == "error", F.col("body")))
-        .withColumns({k: F.when(kind == k, F.from_json("body", _checked(schema))) for k, schema in PIECES.items()})
-        .select(*LANDED_PIECES.fieldNames())
-        .write.mode("overwrite")
-        .partitionBy("kind")
-        .option("compression", "zstd")
-        .parquet(landing)
-    )
+    land_elements(paths, "rates", landing, profile.wanted if profile else None, tasks)
 
 
-def landed_rate_files(spark: SparkSession, landing: str, profile: CodeProfile) -> RateFiles:
-    """Tables of the pieces written by ``land_rate_files``.
+def landed_rate_files(spark: SparkSession, landing: str, profile: CodeProfile | None) -> RateFiles:
+    """Tables of the pieces written by ``land_rate_files``; without a profile, of all codes.
 
     A file with a rate or reference that breaks the schema is in ``errors`` and
-    has no header and no entries. Rates left out at landing are not checked.
+    in no other table. Rates left out at landing are not checked.
     """
-    pieces = spark.read.schema(LANDED_PIECES).parquet(landing)
-
-    def of(kind: str) -> DataFrame:
-        return pieces.filter(F.col("kind") == kind)
-
-    def fields(kind: str) -> list[Column]:
-        return [F.col(f"{kind}.{name}") for name in PIECES[kind].fieldNames()]
-
-    unread = of("error").select("source_file_url", F.col("code").alias("error_type"), "error")
-    broken = [
-        of(kind)
-        .filter(F.col(f"{kind}._corrupt_record").isNotNull())
-        .select("source_file_url", F.lit("ValueError").alias("error_type"), F.lit(f"a {kind} breaks the schema").alias("error"))
-        for kind in ("rate", "reference")
-    ]
-    first = F.min(F.struct("error_type", "error")).alias("first")
-    errors = unread.union(broken[0]).union(broken[1]).groupBy("source_file_url").agg(first).select("source_file_url", "first.*")
-
-    headers = of("header").select("source_file_url", *fields("header"))
-    headers = headers.join(errors.select("source_file_url"), "source_file_url", "left_anti")
-    items = of("item").select("source_file_url", "item_ord", *fields("item"))
-    rates = (
-        of("rate")
-        .filter(F.col("code").isNull() | profile.contains(F.col("code")))
-        .select("source_file_url", "item_ord", F.col("ord").alias("rate_ord"), *fields("rate"))
-    )
-    matched = items.filter(profile.contains(F.col("billing_code")))
-    references = of("reference").select("source_file_url", "ord", *fields("reference"))
+    pieces = landed_elements(spark, landing, "rates")
+    errors = landing_errors(pieces, ("rate", "reference"))
+    broken = errors.select("source_file_url")
+    headers = kind_of(pieces, "rates", "header").join(broken, "source_file_url", "left_anti")
+    items = kind_of(pieces, "rates", "item", "item_ord")
+    rates = kind_of(pieces.filter(F.col("code").isNull() | _inside(profile, F.col("code"))), "rates", "rate", "item_ord", F.col("ord").alias("rate_ord"))
+    matched = items.filter(_inside(profile, F.col("billing_code")))
+    references = kind_of(pieces, "rates", "reference", "ord").join(broken, "source_file_url", "left_anti")
     return RateFiles(
         headers=headers,
-        items=items.select("source_file_url", "item_ord", "billing_code"),
+        items=items.join(broken, "source_file_url", "left_anti").select("source_file_url", "item_ord", "billing_code"),
         entries=rates.join(matched, ["source_file_url", "item_ord"])
         .join(headers, "source_file_url")
         .select(*ENTRY_COLUMNS),
@@ -222,34 +101,5 @@ def landed_rate_files(spark: SparkSession, landing: str, profile: CodeProfile) -
     )
 
 
-def _pieces(batches: Iterator, wanted: str | frozenset[str]) -> Iterator:
-    """Arrow batches of file pieces, a bounded number of bytes each."""
-    import pyarrow as pa
-
-    from ratescape.sources.json_walk import walk_rate_file
-
-    names = ["source_file_url", "kind", "item_ord", "ord", "code", "body"]
-    types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-
-    def pack(rows: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names)
-
-    def walk(path: str) -> Iterator[tuple]:
-        try:
-            for piece in walk_rate_file(path, wanted):
-                yield path, *piece
-        except (OSError, ValueError) as error:
-            yield path, "error", -1, -1, type(error).__name__, str(error)
-
-    for batch in batches:
-        for path in batch.column(0).to_pylist():
-            rows, size = [], 0
-            for row in walk(path):
-                rows.append(row)
-                size += len(row[-1])
-                if len(rows) >= 2_000 or size >= 8_000_000:
-                    yield pack(rows)
-                    rows, size = [], 0
-            if rows:
-                yield pack(rows)
+def _inside(profile: CodeProfile | None, code: Column) -> Column:
+    return F.lit(True) if profile is None else profile.contains(code)

@@ -8,11 +8,11 @@ from ratescape.functions.profiles import ABA
 from ratescape.operators.flatten import flatten_rates, missing_references, parse_counters
 from ratescape.schemas import RATE_TABLE
 from ratescape.session import scratch_path
-from ratescape.sources.rate_files import land_rate_files, landed_rate_files, read_rate_docs
+from ratescape.sources.rate_files import land_rate_files, landed_rate_files, read_rate_files
 
 
 def by_docs(spark, paths):
-    return read_rate_docs(spark, paths, ABA)
+    return read_rate_files(spark, paths, ABA)
 
 
 def by_walk(spark, paths):

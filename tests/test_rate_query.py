@@ -14,7 +14,7 @@ from ratescape.operators.rate_query import (
     sort_rows,
 )
 from ratescape.plans.presets import PRESETS, run_preset
-from ratescape.sources.rate_files import read_rate_docs
+from ratescape.sources.rate_files import read_rate_files
 from ratescape.sources.rate_tables import read_rates, write_rates
 
 
@@ -22,7 +22,7 @@ from ratescape.sources.rate_tables import read_rates, write_rates
 def parsed(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("parsed")
     for name, doc in {"a": INLINE_DOC, "b": REFERENCE_DOC}.items():
-        files = read_rate_docs(spark, write_json(folder / f"{name}.json.gz", doc), ABA)
+        files = read_rate_files(spark, write_json(folder / f"{name}.json.gz", doc), ABA)
         write_rates(flatten_rates(files, ABA), f"{folder}/out-{name}-aba", partition_by=())
     return read_rates(spark, f"{folder}/out-*-aba/*.parquet")
 

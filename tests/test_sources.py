@@ -9,11 +9,9 @@ from ratescape import reference_values as ref
 from ratescape.functions.columns import absolute_url, index_url, output_name, source_host
 from ratescape.functions.profiles import ABA
 from ratescape.operators.contracts import contract_lookup, payer_contracts
-from ratescape.operators.probe import probe_files, probe_paths, probe_summary
-from ratescape.schemas import PROBE_DOC
+from ratescape.operators.probe import probe_paths, probe_summary
 from ratescape.sources import indexes
 from ratescape.sources.contracts import contract_rates, read_contracts
-from ratescape.sources.rate_files import read_docs
 from ratescape.sources.registry import npi_registry, read_registry, read_registry_csv, registry_columns, write_registry
 
 
@@ -74,9 +72,8 @@ def test_table_of_contents(spark, tmp_path):
     head = indexes.index_headers(toc, files).first()
     assert (head.version, head.reporting_structure_count, head.in_network_file_count) == ("2.0.0", 4, 2)
     paths = spark.createDataFrame([(path,)], "path string")
-    large = indexes.toc_files(indexes.large_toc_structures(paths)).drop("source_file_url", "structure_ord")
-    plain = files.drop("source_file_url", "structure_ord")
-    assert sorted(map(str, large.collect())) == sorted(map(str, plain.collect()))
+    large = indexes.toc_files(indexes.toc_structures(indexes.read_toc(spark, paths))).drop("source_file_url")
+    assert sorted(map(str, large.collect())) == sorted(map(str, files.drop("source_file_url").collect()))
     out = str(tmp_path / "index")
     indexes.write_index(indexes.dedupe_files(files, indexes.TOC_ORDER).select(*indexes.INDEX_COLUMNS), out)
     (part,) = [p for p in (tmp_path / "index").iterdir() if p.name.endswith(".json")]
@@ -164,12 +161,9 @@ def test_index_url(spark):
 def test_probe(spark, tmp_path, options, expected):
     codes = ["99213", None, "97156", "97151", "97156"]
     path = write_json(tmp_path / "a.json.gz", rate_doc(*[item(c) for c in codes]))
-    docs = probe_files(read_docs(spark, path, PROBE_DOC), ABA, **options)
-    paths = probe_paths(spark.createDataFrame([(path,)], "path string"), ABA, **options)
-    for result in (docs, paths):
-        row = result.first()
-        assert (row.items_scanned, row.matched_codes) == expected
-        assert (row.status, row.has_match) == ("ok", bool(expected[1]))
+    row = probe_paths(spark.createDataFrame([(path,)], "path string"), ABA, **options).first()
+    assert (row.items_scanned, row.matched_codes) == expected
+    assert (row.status, row.has_match) == ("ok", bool(expected[1]))
 
 
 def test_probe_errors_and_summary(spark, tmp_path):
@@ -182,8 +176,6 @@ def test_probe_errors_and_summary(spark, tmp_path):
     ]
     by_path = probe_paths(spark.createDataFrame([(p,) for p in paths], "path string"), ABA)
     assert probe_summary(by_path).first().asDict() == {"total_files": 5, "with_match": 1, "errors": 2, "without_match": 2}
-    by_doc = probe_files(read_docs(spark, paths[:4], PROBE_DOC), ABA)
-    assert probe_summary(by_doc).first().asDict() == {"total_files": 4, "with_match": 1, "errors": 1, "without_match": 2}
 
 
 # --- registry and contracts -----------------------------------------------

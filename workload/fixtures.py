@@ -169,12 +169,12 @@ def write_documents(lines: DataFrame, path: str) -> None:
 
 def doc_source() -> Column:
     """Stable name of a written document."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"doc_id=([^/]+)", 1)
+    return F.regexp_extract("source_file_url", r"doc_id=([^/]+)", 1)
 
 
 def _place(section: int, *parts) -> Column:
     """Sortable position of a line: section, then up to six parts."""
-    padded = [F.lit(section)]
+    padded = [F.lit(section).alias("section")]
     for n in range(7):
         part = parts[n] if n < len(parts) else F.lit(0)
         padded.append((part if isinstance(part, Column) else F.col(part)).cast("long").alias(f"p{n}"))
@@ -203,6 +203,19 @@ def rate_docs(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "rate-docs", lambda path: write_documents(_rate_doc_lines(spark, sf_dir), path))
 
 
+def broken_rate_docs(spark: SparkSession, sf_dir: str) -> str:
+    """The rate files again; those of region 1 are cut short, those of region 2 have a rate of 97153 that breaks the schema."""
+
+    def write(path: str) -> None:
+        lines = _rate_doc_lines(spark, sf_dir)
+        cut = F.col("doc_id").startswith("r1-") & (F.col("place.section") == 4)
+        items = doc_lines(spark, sf_dir).filter(F.col("doc_id").startswith("r2-") & (F.col("billing_code") == "97153"))
+        oops = F.lit('{"provider_groups":"oops","negotiated_prices":[]},').alias("line")
+        write_documents(lines.filter(~cut).union(items.select("doc_id").distinct().select("doc_id", _place(3, F.lit(97153), F.lit(1)), oops)), path)
+
+    return _once(spark, sf_dir, "broken-rate-docs", write)
+
+
 def _group(npis: Column, tin_type: str, tin_value: Column) -> Column:
     tin = F.struct(F.lit(tin_type).alias("type"), tin_value.alias("value"))
     return F.struct(F.transform(npis, lambda n: n.cast("long")).alias("npi"), tin.alias("tin"))
@@ -292,59 +305,65 @@ def _rate_doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return united
 
 
-def toc_docs(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of tables of contents: one structure per lineitem, two files each."""
-
-    def write(path: str) -> None:
-        lines = table(spark, sf_dir, "lineitem").join(
-            table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
-        )
-        block = F.floor(F.col("l_orderkey") / F.lit(ORDERS_PER_DOC)).cast("long")
-        lines = lines.withColumn("doc_id", F.concat(F.lit("toc-"), _text(block)))
-        plan = lambda n: F.struct(
-            F.concat(F.lit("Plan "), _text(F.col("l_suppkey") + n)).alias("plan_name"),
-            F.lit("ein").alias("plan_id_type"),
-            _text(F.col("l_suppkey") + n).alias("plan_id"),
-        )
-        plans = F.transform(F.sequence(F.lit(0), (F.col("l_suppkey") % 3).cast("int")), plan)
-        first = F.struct(
-            F.when(F.col("l_linenumber") % 3 != 0, F.col("p_name")).alias("description"),
+def _toc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
+    )
+    block = F.floor(F.col("l_orderkey") / F.lit(ORDERS_PER_DOC)).cast("long")
+    lines = lines.withColumn("doc_id", F.concat(F.lit("toc-"), _text(block)))
+    plan = lambda n: F.struct(
+        F.concat(F.lit("Plan "), _text(F.col("l_suppkey") + n)).alias("plan_name"),
+        F.lit("ein").alias("plan_id_type"),
+        _text(F.col("l_suppkey") + n).alias("plan_id"),
+    )
+    plans = F.transform(F.sequence(F.lit(0), (F.col("l_suppkey") % 3).cast("int")), plan)
+    first = F.struct(
+        F.when(F.col("l_linenumber") % 3 != 0, F.col("p_name")).alias("description"),
+        F.concat(
+            F.lit("https://example.test/files/in-network-"), _text(F.col("l_partkey")), F.lit(".json.gz")
+        ).alias("location"),
+    )
+    number = F.col("l_linenumber")
+    second = F.struct(
+        F.lit("regional").alias("description"),
+        F.when(number == 6, "")
+        .when(
+            number != 7,
             F.concat(
-                F.lit("https://example.test/files/in-network-"), _text(F.col("l_partkey")), F.lit(".json.gz")
-            ).alias("location"),
-        )
-        number = F.col("l_linenumber")
-        second = F.struct(
-            F.lit("regional").alias("description"),
-            F.when(number == 6, "")
-            .when(
-                number != 7,
-                F.concat(
-                    F.lit("https://example.test/files/regional-"), _text(F.col("l_suppkey")), F.lit(".json.gz")
-                ),
-            )
-            .alias("location"),
-        )
-        structure = F.struct(plans.alias("reporting_plans"), F.array(first, second).alias("in_network_files"))
-        docs = lines.select("doc_id").distinct()
-        opening = (
-            '{"reporting_entity_name":"Example Payer","reporting_entity_type":"Health Insurance Issuer",'
-            '"last_updated_on":"2026-05-01","version":"2.0.0","reporting_structure":['
+                F.lit("https://example.test/files/regional-"), _text(F.col("l_suppkey")), F.lit(".json.gz")
+            ),
         )
-        write_documents(
-            docs.select("doc_id", _place(0), F.lit(opening).alias("line"))
-            .union(
-                lines.select(
-                    "doc_id",
-                    _place(1, *LINE_KEYS),
-                    F.concat(F.to_json(structure), F.lit(",")).alias("line"),
-                )
+        .alias("location"),
+    )
+    structure = F.struct(plans.alias("reporting_plans"), F.array(first, second).alias("in_network_files"))
+    docs = lines.select("doc_id").distinct()
+    opening = (
+        '{"reporting_entity_name":"Example Payer","reporting_entity_type":"Health Insurance Issuer",'
+        '"last_updated_on":"2026-05-01","version":"2.0.0","reporting_structure":['
+    )
+    return (
+        docs.select("doc_id", _place(0), F.lit(opening).alias("line"))
+        .union(
+            lines.select(
+                "doc_id",
+                _place(1, *LINE_KEYS),
+                F.concat(F.to_json(structure), F.lit(",")).alias("line"),
             )
-            .union(docs.select("doc_id", _place(2), F.lit("null]}").alias("line"))),
-            path,
         )
+        .union(docs.select("doc_id", _place(2), F.lit("null]}").alias("line")))
+    )
+
+
+def toc_docs(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of tables of contents: one structure per lineitem, two files each."""
+    return _once(spark, sf_dir, "toc-docs", lambda path: write_documents(_toc_lines(spark, sf_dir), path))
+
 
-    return _once(spark, sf_dir, "toc-docs", write)
+def broken_toc_docs(spark: SparkSession, sf_dir: str) -> str:
+    """The tables of contents again; those of even number are cut short."""
+    even = F.regexp_extract("doc_id", "([0-9]+)", 1).cast("long") % 2 == 0
+    lines = _toc_lines(spark, sf_dir).filter(~(even & (F.col("place.section") == 2)))
+    return _once(spark, sf_dir, "broken-toc-docs", lambda path: write_documents(lines, path))
 
 
 def index_docs(spark: SparkSession, sf_dir: str) -> str:

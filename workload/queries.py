@@ -22,19 +22,15 @@ from ratescape.operators.flatten import (
     parse_counters,
     resolve_references,
 )
-from ratescape.operators.probe import probe_files, probe_paths, probe_summary
+from ratescape.operators.probe import probe_paths, probe_summary
 from ratescape.plans.batch import batch_counters, plan_batch, read_manifest, run_batch, write_events
 from ratescape.plans.presets import run_preset
-from ratescape.schemas import PROBE_DOC, RATE_COLUMNS, RATE_DOC
+from ratescape.schemas import RATE_COLUMNS
 from ratescape.session import materialize, scratch_path
 from ratescape.sources import indexes
 from ratescape.sources.contracts import contract_rates, read_contracts
-from ratescape.sources.rate_files import (
-    land_rate_files,
-    landed_rate_files,
-    read_docs,
-    read_rate_docs,
-)
+from ratescape.sources.elements import file_paths, kind_of, landed_elements
+from ratescape.sources.rate_files import land_rate_files, landed_rate_files, read_rate_files
 from ratescape.sources.rate_tables import read_rates, write_rates
 from ratescape.sources.registry import npi_registry, read_registry_csv
 from ratescape.streaming.incremental import ingest_new_files
@@ -60,7 +56,7 @@ def _listed(rows: DataFrame, *names: str) -> DataFrame:
 
 
 def _files(spark: SparkSession, sf_dir: str, profile=ABA):
-    return read_rate_docs(spark, fx.rate_docs(spark, sf_dir), profile, fx.doc_source())
+    return read_rate_files(spark, fx.rate_docs(spark, sf_dir), profile, fx.doc_source())
 
 
 def _flat(rows: DataFrame) -> DataFrame:
@@ -70,20 +66,12 @@ def _flat(rows: DataFrame) -> DataFrame:
 
 
 def ingest_rate_docs(spark, sf_dir):
-    docs = read_docs(spark, fx.rate_docs(spark, sf_dir), RATE_DOC, fx.doc_source())
-    rates = F.aggregate(
-        F.transform("in_network", lambda i: F.size(i["negotiated_rates"])), F.lit(0), lambda a, n: a + n
-    )
-    return docs.select(
-        F.col("source_file_url").alias("source"),
-        "reporting_entity_name",
-        "reporting_entity_type",
-        "last_updated_on",
-        "version",
-        F.size("in_network").cast("long").alias("items"),
-        rates.cast("long").alias("rates"),
-        F.size("provider_references").cast("long").alias("refs"),
-    )
+    landing = scratch_path(spark, "landing")
+    land_rate_files(file_paths(spark, fx.rate_docs(spark, sf_dir)), landing)
+    pieces = landed_elements(spark, landing, "rates").withColumn("source", fx.doc_source())
+    counts = pieces.groupBy("source").agg(*[F.count_if(F.col("kind") == k).alias(k + "s") for k in ("item", "rate", "reference")])
+    headers = kind_of(pieces, "rates", "header", "source").drop("source_file_url")
+    return headers.join(counts, "source").withColumnRenamed("references", "refs")
 
 
 def provider_refs(spark, sf_dir):
@@ -161,8 +149,7 @@ def counters(spark, sf_dir):
 
 
 def _probe(spark, sf_dir, **options):
-    docs = read_docs(spark, fx.rate_docs(spark, sf_dir), PROBE_DOC, fx.doc_source())
-    return probe_files(docs, ABA, **options)
+    return _stable_source(probe_paths(_doc_paths(spark, fx.rate_docs(spark, sf_dir)), ABA, **options), "source")
 
 
 def probe_first(spark, sf_dir):
@@ -220,6 +207,21 @@ def scan_many(spark, sf_dir):
     )
 
 
+def ingest_errors(spark, sf_dir):
+    """Files that are cut short or break the schema, and what is read of the others."""
+    files = read_rate_files(spark, fx.broken_rate_docs(spark, sf_dir), ABA, fx.doc_source())
+    failed = files.errors.select(F.col("source_file_url").alias("source"), "error_type", "error", F.lit(None).cast("long").alias("entries"))
+    read = files.entries.groupBy(F.col("source_file_url").alias("source")).agg(F.count(F.lit(1)).alias("entries"))
+    return failed.unionByName(read, allowMissingColumns=True)
+
+
+def toc_errors(spark, sf_dir):
+    toc = indexes.read_toc(spark, fx.broken_toc_docs(spark, sf_dir), fx.doc_source())
+    failed = toc.errors.select(F.col("source_file_url").alias("source"), "error_type", "error", F.lit(None).cast("long").alias("files"))
+    read = indexes.toc_files(indexes.toc_structures(toc)).groupBy(F.col("source_file_url").alias("source")).agg(F.count(F.lit(1)).alias("files"))
+    return failed.unionByName(read, allowMissingColumns=True)
+
+
 # --- indexes and batch ----------------------------------------------------
 
 
@@ -229,8 +231,8 @@ def _structures(spark, sf_dir):
 
 
 def toc_files_large(spark, sf_dir):
-    structures = indexes.large_toc_structures(_doc_paths(spark, fx.toc_docs(spark, sf_dir)))
-    return _toc_listing(_stable_source(indexes.toc_files(structures)))
+    toc = indexes.read_toc(spark, _doc_paths(spark, fx.toc_docs(spark, sf_dir)))
+    return _toc_listing(_stable_source(indexes.toc_files(indexes.toc_structures(toc))))
 
 
 def toc_files(spark, sf_dir):
@@ -525,6 +527,8 @@ def custom_code_set(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     # sources and ingest
     "ingest_rate_docs": ingest_rate_docs,
+    "ingest_errors": ingest_errors,
+    "toc_errors": toc_errors,
     "provider_refs": provider_refs,
     "profile_filter": profile_filter,
     "flatten_rates": flatten_aba,

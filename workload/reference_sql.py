@@ -405,6 +405,24 @@ SQL: dict[str, str] = {
             GROUP BY source) r ON d.source = r.source""",
         DOCS,
     ),
+    "ingest_errors": _with(
+        """SELECT source, 'ValueError' AS error_type, CASE source[:3] WHEN 'r1-' THEN 'the document ends too early'
+          ELSE 'a rate breaks the schema' END AS error, CAST(NULL AS BIGINT) AS entries FROM broken
+        UNION ALL
+        SELECT source, NULL, NULL, CAST(count(*) + count(DISTINCT billing_code) AS BIGINT) FROM docs
+        WHERE service_line = 'aba' AND source NOT IN (SELECT source FROM broken) GROUP BY source""",
+        DOCS,
+        """broken AS (SELECT DISTINCT source FROM docs
+          WHERE source[:3] = 'r1-' OR source[:3] = 'r2-' AND billing_code = '97153')""",
+    ),
+    "toc_errors": _with(
+        """SELECT source, 'ValueError' AS error_type, 'the document ends too early' AS error, CAST(NULL AS BIGINT) AS files
+        FROM structures WHERE CAST(source[5:] AS BIGINT) % 2 = 0 GROUP BY source
+        UNION ALL
+        SELECT source, NULL, NULL, CAST(count(*) AS BIGINT) FROM files
+        WHERE CAST(source[5:] AS BIGINT) % 2 = 1 GROUP BY source""",
+        TOC,
+    ),
     "provider_refs": _with(
         """SELECT DISTINCT source, CAST(l_suppkey AS VARCHAR) AS ref_id,
           CAST(1000000000 + l_suppkey AS VARCHAR) AS npis
