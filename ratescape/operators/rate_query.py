@@ -64,7 +64,12 @@ def first_rows(rows: DataFrame, limit: int | None) -> DataFrame:
     return rows if limit is None else rows.limit(max(1, limit))
 
 
-def rate_predicate(
+def rate_predicate(**filters) -> Column:
+    """AND of the filters of :func:`group_predicate`; status modifiers are always left out."""
+    return group_predicate(**filters) & without_status_modifiers(F.col("billing_code_modifiers"))
+
+
+def group_predicate(
     *,
     service_line: str | None = None,
     cpt: str | None = None,
@@ -78,7 +83,7 @@ def rate_predicate(
     min_rate: float | None = None,
     max_rate: float | None = None,
 ) -> Column:
-    """AND of the given filters; status modifiers are always left out."""
+    """AND of the given filters, all on columns that a value table has."""
     equal = {
         "service_line": service_line,
         "billing_code": cpt,
@@ -96,14 +101,16 @@ def rate_predicate(
         tests.append(F.col("negotiated_rate") <= float(max_rate))
     if benchmark_eligible:
         tests.append(F.col("is_benchmark_eligible"))
-    tests.append(without_status_modifiers(F.col("billing_code_modifiers")))
     return all_of(tests)
 
 
 def summarize(rates: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     """Count, bounds, quartiles and mean of ``negotiated_rate`` per group."""
+    return _summary(value_counts(rates, list(dict.fromkeys(group_by)), "negotiated_rate"), group_by)
+
+
+def _summary(counts: DataFrame, group_by: Sequence[str]) -> DataFrame:
     keys = list(dict.fromkeys(group_by))
-    counts = value_counts(rates, keys, "negotiated_rate")
     stats = quantile_statistics(
         counts,
         keys,
@@ -122,6 +129,24 @@ def summarize(rates: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def value_table(rates: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """How often each ``negotiated_rate`` occurs per group of all group columns (and ``more``): what summaries need of the rates.
+
+    Rows add up, so tables of parts of the rates may simply be put together.
+    """
+    kept = rates.filter(without_status_modifiers(F.col("billing_code_modifiers")))
+    return value_counts(kept, [*more, *GROUP_COLUMNS], "negotiated_rate")
+
+
+def run_summary(values: DataFrame, *, group_by: str | Sequence[str] | None = None, limit: int | None = None, **filters) -> DataFrame:
+    """``run_query(..., summary=True)`` from a value table, exactly and without the rates."""
+    columns = column_list(group_by)
+    counts = values.filter(group_predicate(**filters)).groupBy(*dict.fromkeys(columns), "negotiated_rate").agg(F.sum("n").alias("n"))
+    ordered = [F.col(c).asc_nulls_last() for c in columns]
+    result = _summary(counts, columns)
+    return first_rows(result.orderBy(*ordered) if ordered else result, limit)
+
+
 def run_query(
     rates: DataFrame,
     *,

@@ -49,8 +49,8 @@ BATCH_ROWS, BATCH_BYTES = 2_000, 8_000_000
 
 
 class _Files(InputPartition):
-    def __init__(self, paths: tuple[str, ...]):
-        self.paths = paths
+    def __init__(self, files: tuple[tuple[str, str], ...]):
+        self.files = files
 
 
 def _flat_pieces(path: str, array: str) -> Iterator[tuple]:
@@ -65,7 +65,7 @@ def _flat_pieces(path: str, array: str) -> Iterator[tuple]:
 
 
 class ElementReader(DataSourceReader):
-    """``listing`` is a Parquet table of paths, ``layout`` a name of LAYOUTS, ``codes`` a pattern of the codes whose rates are wanted."""
+    """``listing`` is a Parquet table of paths and the names that rows have them by, ``layout`` a name of LAYOUTS, ``codes`` a pattern of the codes whose rates are wanted."""
 
     def __init__(self, options: dict):
         self.layout = LAYOUTS[options["layout"]]
@@ -92,9 +92,9 @@ class ElementReader(DataSourceReader):
 
         place = self.listing if "://" in self.listing or self.listing.startswith("file:") else f"file://{self.listing}"
         filesystem, inner = fs.FileSystem.from_uri(place)
-        paths = pq.read_table(inner, columns=["path"], filesystem=filesystem).column("path").to_pylist()
-        n = self.files_per_task
-        return [_Files(tuple(paths[i : i + n])) for i in range(0, len(paths), n)] or [_Files(())]
+        rows = pq.read_table(inner, columns=["path", "name"], filesystem=filesystem).to_pylist()
+        files, n = [(r["path"], r["name"]) for r in rows], self.files_per_task
+        return [_Files(tuple(files[i : i + n])) for i in range(0, len(files), n)] or [_Files(())]
 
     def _pieces(self, path: str) -> Iterator[tuple]:
         wanted = self.only if self.only is not None and self.codes == ".*" else self.codes
@@ -113,12 +113,12 @@ class ElementReader(DataSourceReader):
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
             return pa.RecordBatch.from_arrays(columns, names)
 
-        for path in partition.paths:
+        for path, name in partition.files:
             rows, size = [], 0
             for row in self._pieces(path):
                 if self.kinds is not None and row[0] not in self.kinds or self.only is not None and row[3] not in self.only:
                     continue
-                rows.append((path, *row))
+                rows.append((name, *row))
                 size += len(row[-1])
                 if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
                     yield pack(rows)
@@ -157,6 +157,7 @@ def read_tasks(paths: DataFrame) -> int:
 def read_elements(paths: DataFrame, layout: str, codes: str | frozenset[str] | None = None, tasks: int | None = None) -> DataFrame:
     """Rows of the documents at ``paths`` (one ``path`` per row), unparsed.
 
+    With a column ``name``, that is the rows' ``source_file_url``, else the path is.
     A path listed twice is read twice. ``codes`` is a pattern or a set; rates whose
     code comes first in their item and is not in it are left out.
     """
@@ -164,7 +165,8 @@ def read_elements(paths: DataFrame, layout: str, codes: str | frozenset[str] | N
     spark.dataSource.register(ElementSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     listing = scratch_path(spark, "listing")
-    paths.select("path").write.parquet(listing)
+    name = F.col("name") if "name" in paths.columns else F.col("path")
+    paths.select("path", name.alias("name")).write.parquet(listing)
     listed = spark.read.schema("path string").parquet(listing)
     files = listed.count()
     reader = spark.read.format("json_elements").option("listing", listing).option("layout", layout)

@@ -216,6 +216,18 @@ def broken_rate_docs(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "broken-rate-docs", write)
 
 
+def rerun_rate_docs(spark: SparkSession, sf_dir: str) -> str:
+    """The rate files as they are found later: region 0 has line 1 of each order only, region 1 is cut short, region 3 has no rates, region 2 neither."""
+
+    def write(path: str) -> None:
+        lines, place = _rate_doc_lines(spark, sf_dir), F.col("place")
+        region, rate = F.substring("doc_id", 2, 1), (place["section"] == 3) & (place["p1"] == 1)
+        gone = (region == "0") & rate & (place["p3"] != 1) | (region == "1") & (place["section"] == 4) | region.isin("2", "3") & (place["section"] == 3)
+        write_documents(lines.filter(~gone), path)
+
+    return _once(spark, sf_dir, "rerun-rate-docs", write)
+
+
 def _group(npis: Column, tin_type: str, tin_value: Column) -> Column:
     tin = F.struct(F.lit(tin_type).alias("type"), tin_value.alias("value"))
     return F.struct(F.transform(npis, lambda n: n.cast("long")).alias("npi"), tin.alias("tin"))

@@ -25,6 +25,7 @@ from ratescape.operators.flatten import (
 from ratescape.operators.probe import probe_paths, probe_summary
 from ratescape.plans.batch import batch_counters, plan_batch, read_manifest, run_batch, write_events
 from ratescape.plans.presets import run_preset
+from ratescape.plans.runs import commit_run, new_run, read_live_rates, read_live_values, write_run
 from ratescape.schemas import RATE_COLUMNS
 from ratescape.session import materialize, scratch_path
 from ratescape.sources import indexes
@@ -343,6 +344,42 @@ def batch_run(spark, sf_dir):
     )
 
 
+def _located(spark, folder):
+    """Index rows of a folder's documents; a location is a document's name, wherever its file is."""
+    name = F.regexp_extract("path", r"doc_id=([^/]+)", 1)
+    null = F.lit(None).cast("string")
+    return _doc_paths(spark, folder).select(
+        name.alias("location"), null.alias("description"), null.cast("long").alias("content_length_bytes"), name.alias("file_ord"), "path"
+    )
+
+
+def batch_rerun(spark, sf_dir):
+    """The live table after files were parsed again: with fewer rates, none, or a fault; and after a run that died before its commit."""
+    first, later = _located(spark, fx.rate_docs(spark, sf_dir)), _located(spark, fx.rerun_rate_docs(spark, sf_dir))
+    out, manifest = scratch_path(spark, "rerun-rates"), scratch_path(spark, "rerun-manifest")
+    options = {"profile_name": "aba", "out_path": out, "manifest_path": manifest, "index_payer": "payer-index"}
+    run_batch(spark, first, **options)
+    dead = read_rate_files(spark, later.select("path", F.col("location").alias("name")), ABA)
+    write_run(flatten_rates(dead, ABA, on_missing="skip"), out, new_run())
+    again = later.filter(F.substring("location", 2, 1).isin("0", "1", "3"))
+    run_batch(spark, again, manifest=read_manifest(spark, manifest), overwrite=True, **options)
+    return _flat(read_live_rates(spark, out))
+
+
+def summary_incremental(spark, sf_dir):
+    """A summary from value counts kept up by three runs; the third replaces sources that the first had wrong."""
+    rates = fx.rates(spark, sf_dir)
+    part = F.crc32("source_file_url") % 3
+    out = scratch_path(spark, "value-runs")
+    wrong = F.when(part == 1, F.col("negotiated_rate") * 2 + 1).otherwise(F.col("negotiated_rate"))
+    runs = [rates.filter(part != 2).withColumn("negotiated_rate", wrong), rates.filter(part == 2), rates.filter(part == 1)]
+    for run in runs:
+        run_id = new_run()
+        write_run(run, out, run_id)
+        commit_run(run.select(F.col("source_file_url").alias("source"), F.lit("all").alias("profile")), out, run_id)
+    return rq.run_summary(read_live_values(spark, out), group_by="billing_code,service_category,billing_class")
+
+
 def output_name(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages")
     return pages.select("page_id", col.output_name(F.col("url"), "aba").alias("output_name"))
@@ -561,6 +598,8 @@ QUERIES: dict[str, Query] = {
     "batch_manifest": batch_manifest,
     "batch_counters": lambda s, d: batch_counters(fx.manifest_events(s, d)),
     "batch_run": batch_run,
+    "batch_rerun": batch_rerun,
+    "summary_incremental": summary_incremental,
     "output_name": output_name,
     "source_host": source_hosts,
     "index_url_by_month": index_url_by_month,

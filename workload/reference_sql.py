@@ -556,6 +556,14 @@ SQL: dict[str, str] = {
         DOCS,
         COUNTERS,
     ),
+    "batch_rerun": _with(
+        _flat("'payer-index'", """service_line = 'aba' AND source NOT IN (SELECT source FROM missing)
+          AND (source[:2] IN ('r2', 'r4') OR source[:2] = 'r0' AND l_linenumber = 1)"""),
+        DOCS,
+    ),
+    "summary_incremental": _rates(
+        f"SELECT billing_code, service_category, billing_class, {SUMMARY} FROM rates WHERE {NO_STATUS} GROUP BY ALL"
+    ),
     "output_name": f"""SELECT page_id, regexp_replace(CASE WHEN base IN ('', '.') THEN 'in-network'
             ELSE base END, '(\\.json\\.gz|\\.json|\\.gz)$', '') || '.aba.parquet' AS output_name
         FROM (SELECT page_id, regexp_extract(regexp_replace({URL_PATH}, '/+$', ''), '([^/]*)$', 1) AS base
