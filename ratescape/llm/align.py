@@ -199,12 +199,14 @@ class Tokenizers:
         place = np.append(np.flatnonzero((flat & 0xC0) != 0x80), len(flat))
         first = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))[:-1]
         a_spans = place[spans + first[a_text][:, None]]
+        del ours, spans, place
 
         theirs = [t.pieces for t in self._b.encode(texts, return_type="proto", num_threads=1)]
         b_text = np.repeat(np.arange(len(texts)), [len(p) for p in theirs])
         flat_b = chain.from_iterable(map(attrgetter("id", "begin", "end"), chain.from_iterable(theirs)))
         pieces = np.fromiter(flat_b, np.int64, 3 * len(b_text)).reshape(-1, 3)
         b_ids, b_spans = pieces[:, 0], pieces[:, 1:]
+        del theirs, flat_b
         # the proto's spans are of the text; the space before it belongs to the first piece
         start = ends - np.array([len(r) for r in raw])
         leading = np.diff(b_text, prepend=-1) > 0
@@ -278,11 +280,16 @@ def _linked(a: Tokens, b: Tokens, a_group: np.ndarray, b_group: np.ndarray, grou
 def _block(tokenizers: Tokenizers, batch: pa.RecordBatch, block: int) -> pa.RecordBatch:
     texts = batch.column("text").to_pylist()
     n = len(texts)
-    index: dict[str, int] = {}
-    rows = [[index.setdefault(p, len(index)) for p in tokenizers.parts(t)] if t else [] for t in texts]
+    rows = [tokenizers.parts(t) if t else [] for t in texts]
+    index = dict.fromkeys(chain.from_iterable(rows))
+    index.update(zip(index, range(len(index))))
+    size = len(index)
+    counts = np.array([len(row) for row in rows], np.int64)
+    seen = np.fromiter(map(index.__getitem__, chain.from_iterable(rows)), np.int64, int(counts.sum()))
+    del texts, rows
     a, b, ends, good = tokenizers.encode_parts(list(index), ROW)
+    del index
     # groups, links and pairs of each distinct part
-    size = len(index)
     ends_here = np.zeros(int(ends[-1]) + 1 if size else 1, bool)
     ends_here[a.end] = True
     cuts = b.end[ends_here[b.end]]
@@ -301,10 +308,13 @@ def _block(tokenizers: Tokenizers, batch: pa.RecordBatch, block: int) -> pa.Reco
     pair_size = np.bincount(part, minlength=size)
     pair_at = np.cumsum(pair_size) - pair_size
     # documents: all parts, or nothing
-    rows = [row if all([good[p] for p in row]) else [] for row in rows]
-    groups = [";".join([names[p] for p in row]) for row in rows]
-    seen = np.array([p for row in rows for p in row], np.int64)
-    doc = np.repeat(np.arange(n), np.array([len(row) for row in rows], np.int64))
+    doc = np.repeat(np.arange(n), counts)
+    whole = np.bincount(doc, ~good[seen], n) == 0
+    seen, doc = seen[whole[doc]], doc[whole[doc]]
+    at = np.searchsorted(doc, np.arange(n + 1)).tolist()
+    written = list(map(names.__getitem__, seen.tolist()))
+    groups = [";".join(written[at[i] : at[i + 1]]) for i in range(n)]
+    del written, names
     totals = [np.bincount(doc, x[seen], n).astype(np.int64) for x in sums]
     # every (pair, document) of the block once, with its links
     each = pair_size[seen]
