@@ -29,13 +29,19 @@ from ratescape.llm.common import stored
 
 #: The kinds and their patterns.
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-IP = r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"
-CARD = r"[0-9](?:[\x20-]?[0-9])+"
+IP = r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+#: Mail addresses and cards hold groups that repeat without bound, on which Java's engine recurses until its stack is
+#: full. So the marks that may not stand inside a match (a dot without a name character on both sides, a blank or hyphen
+#: without digits) are replaced first by characters of no class, and what is left are runs of a class. A match begins where a
+#: run or the last match ends: from any later place in a run the rest would be the same, so nothing is tried twice.
+NO_DOT, NO_JOIN = r"(?<![A-Za-z0-9-])\.|\.(?![A-Za-z0-9-])", r"(?<![0-9])[\x20-]|[\x20-](?![0-9])"
+EMAIL = r"(?:(?<![A-Za-z0-9._%+\x01-])|\G)[A-Za-z0-9._%+\x01-]++@[A-Za-z0-9-]++\.[A-Za-z0-9.-]++"
+CARD = r"[0-9][0-9\x20-]++"
+LEAST_CARD = r"(?:[0-9][\x20-]?){12}"
 #: Looser candidates of the same kinds.
 LOOSE = {
-    "email": r"[A-Za-z0-9._%+-]+ ?(?:\[at\]|\(at\)|@) ?[A-Za-z0-9-]+ ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z]{2,}",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++ ?(?:\[at\]|\(at\)|@) ?[A-Za-z0-9-]++ ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z]{2,}",
     "card": r"(?<![0-9.])[0-9]{4}(?:[ ./_-]?[0-9]{4}){2}[ ./_-]?[0-9]{3,4}(?![0-9])",
     "phone": r"(?<![0-9+.])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
 }
@@ -76,10 +82,13 @@ def base_spans(text: Column) -> Column:
     whole = lambda s: F.forall(F.split(s["value"], r"\."), lambda x: F.regexp_replace(x, "^0+(?=[0-9])", "").rlike("^(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"))
     size = lambda s: F.length(_digits(s["value"]))
     card = lambda s: F.when(size(s).between(12, 19), luhn(_digits(s["value"]))).otherwise(F.lit(False))
+    dots = F.regexp_replace(F.translate(text, "\x01", "\x02"), NO_DOT, "\x01")
+    mails = F.transform(spans.find(dots, EMAIL, "email", 0), lambda s: s.withField("value", F.translate(s["value"], "\x01", ".")))
+    cards = spans.find(F.regexp_replace(text, NO_JOIN, "\x01"), CARD, "card", 2)
     return F.concat(
-        spans.find(text, EMAIL, "email", 0),
+        F.when(text.contains("@"), mails).otherwise(spans.none()),
         F.filter(spans.find(text, IP, "ip", 1), whole),
-        F.filter(spans.find(text, CARD, "card", 2), card),
+        F.when(text.rlike(LEAST_CARD), F.filter(cards, card)).otherwise(spans.none()),
         F.filter(spans.find(text, PHONE, "phone", 3), lambda s: size(s).between(9, 15)),
     )
 
