@@ -46,9 +46,9 @@ _GROUPS = f"array<{PROVIDER_GROUP.simpleString()}>"
 def resolve_references(entries: DataFrame, references: DataFrame) -> DataFrame:
     """Entries with ``groups``; null groups mark a reference that is missing.
 
-    Groups stay nested through the join and a reference matches at most one
-    row, so a frequent id never multiplies rows; adaptive execution splits its
-    partition.
+    Groups stay nested through the join. A reference defined in its file matches
+    one row, so a frequent id never multiplies rows; one from a file of its own
+    matches a row per group. Adaptive execution splits the partition of a frequent id.
     """
     known = references.select(
         "source_file_url", F.col("ref_id").alias("lookup_id"), empty_groups("ref_groups").alias("ref_groups")

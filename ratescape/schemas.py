@@ -65,6 +65,7 @@ PROVIDER_REFERENCE = T.StructType(
     [
         T.StructField("provider_group_id", T.StringType()),
         _struct_list("provider_groups", PROVIDER_GROUP),
+        T.StructField("location", T.StringType()),
     ]
 )
 

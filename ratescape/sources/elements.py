@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, IsNotNull
 
-from ratescape.schemas import HEADER, INDEX_ENTRY, ITEM_HEAD, NEGOTIATED_RATE, PROVIDER_REFERENCE, TOC_STRUCTURE, VENDOR_FILE
+from ratescape.schemas import HEADER, INDEX_ENTRY, ITEM_HEAD, NEGOTIATED_RATE, PROVIDER_GROUP, PROVIDER_REFERENCE, TOC_STRUCTURE, VENDOR_FILE
 from ratescape.session import scratch_path
 from ratescape.sources.json_walk import walk, walk_rate_file
 
@@ -36,6 +36,7 @@ class Layout(NamedTuple):
 
 LAYOUTS = {
     "rates": Layout(None, {"header": HEADER, "item": ITEM_HEAD, "rate": NEGOTIATED_RATE, "reference": PROVIDER_REFERENCE}),
+    "groups": Layout("provider_groups", {"header": COUNTED, "element": PROVIDER_GROUP}),
     "toc": Layout("reporting_structure", {"header": COUNTED, "element": TOC_STRUCTURE}),
     "index": Layout("in_network_files", {"header": COUNTED, "element": INDEX_ENTRY}),
     "vendor": Layout("files", {"header": COUNTED, "element": VENDOR_FILE}),

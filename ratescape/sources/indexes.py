@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +87,48 @@ def toc_file_plans(structures: DataFrame) -> DataFrame:
     )
 
 
+class PlanClasses(NamedTuple):
+    """Plan lists told apart by content.
+
+    * listings: (location, plan_class, listings), how often a file is listed with that list of plans;
+    * members: (plan_class, plan_ord) with the fields of a plan, each distinct list once.
+    """
+
+    listings: DataFrame
+    members: DataFrame
+
+
+def plan_classes(structures: DataFrame) -> PlanClasses:
+    """Files and plans without their product: many files and structures share few plan lists.
+
+    A class is the SHA-256 of the list, in its order, without null entries. Empty
+    lists have no class. Counting combines on the map side, so a list that a third of all
+    structures share is no hot group; files x plans exist only after ``expand_plans``.
+    """
+    listed = structures.select(F.filter("reporting_plans", lambda p: p.isNotNull()).alias("plans"), "in_network_files").filter(F.size("plans") > 0)
+    coded = listed.withColumn("plan_class", F.sha2(F.to_json("plans"), 256))
+    listings = (
+        coded.select(F.explode("in_network_files.location").alias("location"), "plan_class")
+        .filter(F.col("location") != "")
+        .groupBy("location", "plan_class")
+        .agg(F.count(F.lit(1)).alias("listings"))
+    )
+    distinct = coded.groupBy("plan_class").agg(F.any_value("plans").alias("plans"))
+    members = distinct.select("plan_class", F.posexplode("plans").alias("plan_ord", "plan")).select("plan_class", "plan_ord", "plan.*")
+    return PlanClasses(listings, members)
+
+
+def plan_class_sizes(classes: PlanClasses) -> DataFrame:
+    """(plan_class, plans, files, listings): the links of a class without expanding it."""
+    files = classes.listings.groupBy("plan_class").agg(F.count(F.lit(1)).alias("files"), F.sum("listings").alias("listings"))
+    return classes.members.groupBy("plan_class").agg(F.count(F.lit(1)).alias("plans")).join(files, "plan_class", "left").fillna(0, ["files", "listings"])
+
+
+def expand_plans(classes: PlanClasses) -> DataFrame:
+    """(location, listings) with plan_ord and the fields of a plan: all files x plans, on request."""
+    return classes.listings.join(classes.members, "plan_class").select("location", "listings", "plan_ord", *PLAN_FIELDS)
+
+
 def dedupe_files(files: DataFrame, order: list[str]) -> DataFrame:
     """One row per location: first known description and length, plans added up.
 

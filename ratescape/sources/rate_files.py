@@ -29,7 +29,8 @@ class RateFiles:
     * items: (item_ord, billing_code) of every in-network item;
     * entries: one row per negotiated rate of a profile code, with header and
       item fields; groups, reference ids and prices stay nested;
-    * references: one row per ref_id with its provider groups;
+    * references: one row per ref_id with its provider groups, or with the
+      location of the file that has them (see ``remote_references``);
     * errors: (error_type, error) of files that could not be read.
     """
 
@@ -41,11 +42,17 @@ class RateFiles:
 
 
 def last_reference(references: DataFrame) -> DataFrame:
-    """One row per (file, id): the last definition wins, null ids are skipped."""
+    """One row per (file, id): the last definition wins, null ids are skipped.
+
+    ``location`` is that of a definition without groups of its own; an empty one is none.
+    """
+    named = F.when(F.col("provider_groups").isNull() & (F.col("location") != ""), F.col("location"))
+    last = F.max_by(F.struct(F.col("provider_groups").alias("ref_groups"), named.alias("location")), "ord")
     return (
         references.filter(F.col("provider_group_id").isNotNull())
         .groupBy("source_file_url", F.col("provider_group_id").alias("ref_id"))
-        .agg(F.max_by("provider_groups", "ord").alias("ref_groups"))
+        .agg(last.alias("last"))
+        .select("source_file_url", "ref_id", "last.*")
     )
 
 

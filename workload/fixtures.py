@@ -228,6 +228,51 @@ def rerun_rate_docs(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "rerun-rate-docs", write)
 
 
+REF_BLOCK = 20
+
+
+def _reference_location(block: Column) -> Column:
+    return F.concat(F.lit("https://example.test/refs/"), _text(block), F.lit(".json.gz"))
+
+
+def remote_rate_docs(spark: SparkSession, sf_dir: str) -> str:
+    """The rate files again; the last definition of every second reference names the reference file of its block of suppliers."""
+
+    def write(path: str) -> None:
+        lines, place = _rate_doc_lines(spark, sf_dir), F.col("place")
+        key = place["p1"]
+        remote = (place["section"] == 1) & (place["p0"] == 1) & (key % 4 == 1)
+        body = F.struct(key.alias("provider_group_id"), _reference_location(F.floor(key / F.lit(REF_BLOCK))).alias("location"))
+        write_documents(lines.withColumn("line", F.when(remote, F.concat(F.to_json(body), F.lit(","))).otherwise(F.col("line"))), path)
+
+    return _once(spark, sf_dir, "remote-rate-docs", write)
+
+
+def reference_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(location, path) of reference files, one per block of suppliers with a group for every second odd one.
+
+    Of seven blocks, one has no groups, one no file, and one a file that is cut short.
+    """
+
+    def write(path: str) -> None:
+        key = F.col("s_suppkey")
+        block = F.floor(key / F.lit(REF_BLOCK)).cast("long")
+        groups = table(spark, sf_dir, "supplier").filter((key % 4 == 1) & (block % 7 != 3))
+        groups = groups.withColumn("block", block).withColumn("doc_id", F.concat(F.lit("refs-"), _text(block)))
+        docs = groups.select("doc_id", "block").distinct()
+        group = _group(F.array(1000000000 + key), "npi", F.concat(F.lit("R"), _text(key)))
+        parts = [
+            docs.select("doc_id", _place(0), F.lit('{"version":"2.0.0","provider_groups":[').alias("line")),
+            groups.filter(F.col("block") % 7 != 2).select("doc_id", _place(1, key), F.concat(F.to_json(group), F.lit(",")).alias("line")),
+            docs.filter(F.col("block") % 7 != 5).select("doc_id", _place(2), F.lit("null]}").alias("line")),
+        ]
+        write_documents(parts[0].union(parts[1]).union(parts[2]), path)
+
+    folder = _once(spark, sf_dir, "reference-docs", write)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").load(folder).select("path")
+    return files.select(_reference_location(F.regexp_extract("path", "doc_id=refs-([0-9]+)", 1)).alias("location"), "path")
+
+
 def _group(npis: Column, tin_type: str, tin_value: Column) -> Column:
     tin = F.struct(F.lit(tin_type).alias("type"), tin_value.alias("value"))
     return F.struct(F.transform(npis, lambda n: n.cast("long")).alias("npi"), tin.alias("tin"))

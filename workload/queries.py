@@ -33,6 +33,7 @@ from ratescape.sources.contracts import contract_rates, read_contracts
 from ratescape.sources.elements import file_paths, kind_of, landed_elements
 from ratescape.sources.rate_files import land_rate_files, landed_rate_files, read_rate_files
 from ratescape.sources.rate_tables import read_rates, write_rates
+from ratescape.sources.remote_references import read_remote_references, unresolved_references
 from ratescape.sources.registry import npi_registry, read_registry_csv
 from ratescape.streaming.incremental import ingest_new_files
 from workload import fixtures as fx
@@ -143,6 +144,27 @@ def missing_refs(spark, sf_dir):
     return missing_references(_files(spark, sf_dir)).withColumnRenamed("source_file_url", "source")
 
 
+def _remote(spark, sf_dir):
+    files = read_rate_files(spark, fx.remote_rate_docs(spark, sf_dir), ABA, fx.doc_source())
+    return files, read_remote_references(spark, files, fx.reference_docs(spark, sf_dir))
+
+
+def remote_refs(spark, sf_dir):
+    """Rates whose provider groups are partly in reference files."""
+    return _flat(flatten_rates(_remote(spark, sf_dir)[1].files, ABA, index_payer="payer-index", on_missing="skip"))
+
+
+def remote_refs_missing(spark, sf_dir):
+    """References that stay undefined, and why."""
+    return unresolved_references(*_remote(spark, sf_dir)).withColumnRenamed("source_file_url", "source")
+
+
+def remote_refs_quarantine(spark, sf_dir):
+    """Rates per file once those that use an undefined reference are left out."""
+    rates = flatten_rates(_remote(spark, sf_dir)[1].files, ABA, on_missing="quarantine")
+    return rates.groupBy(F.col("source_file_url").alias("source")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def counters(spark, sf_dir):
     files = _files(spark, sf_dir)
     rates = flatten_rates(files, ABA, on_missing="quarantine")
@@ -258,6 +280,19 @@ def toc_file_plans(spark, sf_dir):
     )
 
 
+def plan_classes(spark, sf_dir):
+    """Files x plans once more, from plan lists told apart by content."""
+    plans = indexes.expand_plans(indexes.plan_classes(_structures(spark, sf_dir)))
+    return plans.groupBy("location", "plan_name", "plan_id_type", "plan_id").agg(F.sum("listings").alias("listings"))
+
+
+def plan_class_sizes(spark, sf_dir):
+    """What the classes save: plans, files and listings of each list of plans, named by its first plan."""
+    classes = indexes.plan_classes(_structures(spark, sf_dir))
+    first = classes.members.filter("plan_ord = 0").select("plan_class", F.col("plan_id").alias("first_plan"))
+    return indexes.plan_class_sizes(classes).join(first, "plan_class").drop("plan_class")
+
+
 def index_dedupe(spark, sf_dir):
     files = indexes.toc_files(_structures(spark, sf_dir))
     return indexes.dedupe_files(files, indexes.TOC_ORDER).select(*indexes.INDEX_COLUMNS)
@@ -574,6 +609,9 @@ QUERIES: dict[str, Query] = {
     "flatten_rates_large": flatten_large,
     "resolve_refs": resolve_refs,
     "missing_refs": missing_refs,
+    "remote_refs": remote_refs,
+    "remote_refs_missing": remote_refs_missing,
+    "remote_refs_quarantine": remote_refs_quarantine,
     "parse_counters": counters,
     "probe_files": probe_first,
     "probe_files_full": probe_full,
@@ -587,6 +625,8 @@ QUERIES: dict[str, Query] = {
     "toc_files": toc_files,
     "toc_files_large": toc_files_large,
     "toc_file_plans": toc_file_plans,
+    "plan_classes": plan_classes,
+    "plan_class_sizes": plan_class_sizes,
     "index_dedupe": index_dedupe,
     "index_headers": index_headers,
     "index_files": index_files,

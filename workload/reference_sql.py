@@ -143,7 +143,7 @@ flat AS (
 )"""
 
 
-def _flat(index_payer: str, where: str) -> str:
+def _flat(index_payer: str, where: str, table: str = "flat") -> str:
     return f"""SELECT {index_payer} AS index_payer, payer_name,
       'Health Insurance Issuer' AS reporting_entity_type, source AS source_file_url,
       '2026-05-01' AS last_updated_on, '2.0.0' AS schema_version, billing_code,
@@ -154,10 +154,34 @@ def _flat(index_payer: str, where: str) -> str:
       array_to_string(billing_code_modifiers, ',') AS billing_code_modifiers, is_global,
       is_benchmark_eligible, npis AS provider_npi_list, tin_type AS provider_tin_type,
       tin_value AS provider_tin_value, CAST(NULL AS VARCHAR) AS additional_information,
-      {_details("flat")}
-    FROM flat WHERE {where}"""
+      {_details(table)}
+    FROM {table} WHERE {where}"""
 
 
+REMOTE = """
+remote AS (
+  SELECT *, l_suppkey % 4 = 1 AND NOT ref_is_missing AS is_remote, l_suppkey // 20 AS ref_block FROM docs WHERE has_ref
+),
+groups AS (SELECT s_suppkey, s_suppkey // 20 AS group_block FROM supplier
+  WHERE s_suppkey % 4 = 1 AND (s_suppkey // 20) % 7 NOT IN (2, 3, 5)),
+flat_remote AS (
+  SELECT *, array_to_string(provider_npi_list, ',') AS npis, 'ein' AS tin_type,
+    provider_tin_value AS tin_value FROM docs WHERE has_inline
+  UNION ALL
+  SELECT * EXCLUDE (is_remote, ref_block), CAST(1000000000 + l_suppkey AS VARCHAR), 'npi', 'R' || l_suppkey
+  FROM remote WHERE NOT is_remote AND NOT ref_is_missing
+  UNION ALL
+  SELECT * EXCLUDE (is_remote, ref_block, s_suppkey, group_block), CAST(1000000000 + s_suppkey AS VARCHAR), 'npi', 'R' || s_suppkey
+  FROM remote JOIN groups ON ref_block = group_block WHERE is_remote
+),
+unresolved AS (
+  SELECT DISTINCT source, CAST(l_suppkey AS VARCHAR) AS ref_id,
+    CASE WHEN is_remote THEN 'https://example.test/refs/' || ref_block || '.json.gz' END AS location,
+    CASE WHEN NOT is_remote THEN NULL WHEN ref_block % 7 = 3 THEN 'FileNotFoundError' ELSE 'ValueError' END AS error_type,
+    CASE WHEN NOT is_remote THEN NULL WHEN ref_block % 7 = 3 THEN 'no file is listed for this location'
+      ELSE 'the document ends too early' END AS error
+  FROM remote WHERE service_line = 'aba' AND (ref_is_missing OR is_remote AND ref_block % 7 IN (3, 5))
+)"""
 FLAT_ABA = _with(
     _flat("'payer-index'", "service_line = 'aba' AND source NOT IN (SELECT source FROM missing)"), DOCS
 )
@@ -446,6 +470,14 @@ SQL: dict[str, str] = {
         DOCS,
     ),
     "missing_refs": _with("SELECT source, ref_id FROM missing", DOCS),
+    "remote_refs": _with(_flat("'payer-index'", "service_line = 'aba'", "flat_remote"), DOCS, REMOTE),
+    "remote_refs_missing": _with("SELECT * FROM unresolved", DOCS, REMOTE),
+    "remote_refs_quarantine": _with(
+        """SELECT source, CAST(count(*) AS BIGINT) AS row_count FROM flat_remote
+        WHERE service_line = 'aba' AND source NOT IN (SELECT source FROM unresolved) GROUP BY source""",
+        DOCS,
+        REMOTE,
+    ),
     "parse_counters": _with("SELECT * FROM counters", DOCS, COUNTERS),
     "probe_files": _with(_probe(True), DOCS),
     "probe_files_large": _with(_probe(True), DOCS),
@@ -484,6 +516,18 @@ SQL: dict[str, str] = {
         FROM (SELECT *, unnest(range(reporting_plan_count)) AS p FROM files) GROUP BY ALL""",
         TOC,
     ),
+    "plan_classes": _with(
+        """SELECT location, 'Plan ' || plan AS plan_name, 'ein' AS plan_id_type, CAST(plan AS VARCHAR) AS plan_id,
+          CAST(count(*) AS BIGINT) AS listings
+        FROM (SELECT location, unnest(range(l_suppkey, l_suppkey + reporting_plan_count)) AS plan FROM files) GROUP BY ALL""",
+        TOC,
+    ),
+    "plan_class_sizes": _with(
+        """SELECT CAST(l_suppkey AS VARCHAR) AS first_plan, max(reporting_plan_count) AS plans,
+          CAST(count(DISTINCT location) AS BIGINT) AS files, CAST(count(*) AS BIGINT) AS listings
+        FROM files GROUP BY l_suppkey""",
+        TOC,
+    ),
     "index_dedupe": _with(DEDUPED, TOC),
     "index_written": _with(DEDUPED, TOC),
     "index_headers": _with(
