@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratescape.functions.profiles import CodeProfile
@@ -82,6 +82,27 @@ def probe_paths(
     )
 
 
+PROBE_SCHEMA = "source string, status string, items_scanned long, has_match boolean, matched_codes array<string>, error string"
+
+
+def write_probe(results: DataFrame, path: str) -> None:
+    """Append probe results as JSON lines, so that a probe can go on where one stopped."""
+    results.select("error", "has_match", "items_scanned", "matched_codes", "source", "status").write.mode("append").option("ignoreNullFields", False).json(path)
+
+
+def read_probe(spark: SparkSession, path: str) -> DataFrame:
+    """Written results, one row per source: a hit before a miss, a miss before an error."""
+    best = F.max(F.struct("has_match", (F.col("status") == "ok").alias("ok"), "items_scanned", "matched_codes", "error")).alias("best")
+    rows = spark.read.schema(PROBE_SCHEMA).json(path).groupBy("source").agg(best)
+    return rows.select("source", F.when(F.col("best.ok"), "ok").otherwise("error").alias("status"), *[f"best.{c}" for c in ("items_scanned", "has_match", "matched_codes", "error")])
+
+
+def probed_files(files: DataFrame, results: DataFrame) -> DataFrame:
+    """Index files whose location a probe found to hold codes of the profile."""
+    hits = results.filter("has_match").select(F.col("source").alias("location"))
+    return files.join(hits, "location", "left_semi")
+
+
 def probe_summary(results: DataFrame) -> DataFrame:
     """Files, hits, errors and misses of a probe."""
     return results.agg(

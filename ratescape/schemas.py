@@ -167,6 +167,8 @@ INDEX_ENTRY = T.StructType(
     [
         *_strings("location", "description"),
         T.StructField("content_length_bytes", T.LongType()),
+        T.StructField("reporting_plan_count", T.LongType()),
+        _struct_list("reporting_plans", PLAN),
     ]
 )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratescape import reference_values as ref
@@ -14,6 +14,7 @@ from ratescape.sources.elements import Documents, read_documents
 
 PLAN_FIELDS = PLAN.fieldNames()
 _PLANS = f"array<{PLAN.simpleString()}>"
+LISTING_FIELDS = ("description", "content_length_bytes", "location", "reporting_plan_count", "reporting_plans")
 INDEX_COLUMNS = ("location", "description", "content_length_bytes", "reporting_plan_count")
 
 
@@ -168,6 +169,56 @@ def write_index(files: DataFrame, path: str, mode: str = "overwrite") -> None:
     files.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+#: Structures whose listings make up one written index document.
+STRUCTURES_PER_PIECE = 10_000
+
+
+def toc_listings(structures: DataFrame) -> DataFrame:
+    """``toc_files`` with the plans of each listing; a row has no more plans than its structure."""
+    plans = structures.select("source_file_url", "structure_ord", F.filter("reporting_plans", lambda p: p.isNotNull()).alias("reporting_plans"))
+    return toc_files(structures).join(plans, ["source_file_url", "structure_ord"])
+
+
+def write_index_documents(headers: DataFrame, entries: DataFrame, path: str, structures_per_piece: int = STRUCTURES_PER_PIECE) -> None:
+    """Index documents, as ``read_native_index`` reads them: header fields, then listings in their order.
+
+    ``headers`` is from ``index_headers``. ``entries`` has source_file_url, structure_ord,
+    file_ord, location, description, content_length_bytes, reporting_plan_count and, where
+    plans are wanted, reporting_plans. The listings of every ``structures_per_piece`` structures
+    make one document with the whole header, below ``document=<hash>/piece=<number>``: so
+    documents are bounded whatever the index, paths sort in listing order, and each is
+    valid JSON of its own. A source without listings has one document without any. A location
+    listed more than once is written as often as ``entries`` has it; plans add up again by
+    ``dedupe_files``. Written anew, a folder is replaced.
+    """
+    document = F.sha2("source_file_url", 256).alias("document")
+    piece = F.floor(F.col("structure_ord") / F.lit(structures_per_piece)).cast("long")
+    kept = [c for c in LISTING_FIELDS if c in entries.columns]
+    body = F.to_json(F.struct(*kept), {"ignoreNullFields": "false"})
+    listings = entries.select("source_file_url", document, piece.alias("number"), "structure_ord", "file_ord", body.alias("line"))
+    pieces = listings.select("source_file_url", "number").union(headers.select("source_file_url", F.lit(0).cast("long"))).distinct()
+    head = F.to_json(F.struct(F.col("source_file_url").alias("source"), *HEADER_FIELDS, "reporting_structure_count", "in_network_file_count"), {"ignoreNullFields": "false"})
+    opening = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"in_network_files":['))
+    opened = pieces.join(headers, "source_file_url").select("source_file_url", document, "number", opening.alias("opening"))
+    none = F.lit(-1).cast("long")
+    lines = listings.select("document", "number", F.lit(1).alias("section"), "structure_ord", "file_ord", "line")
+    for section, line in ((0, F.col("opening")), (2, F.lit("]}"))):
+        lines = lines.unionByName(opened.select("document", "number", F.lit(section).alias("section"), none.alias("structure_ord"), none.cast("int").alias("file_ord"), line.alias("line")))
+    in_order = Window.partitionBy("document", "number").orderBy("section", "structure_ord", "file_ord", "line")
+    before = F.lag("section").over(in_order)  # a piece is bounded
+    comma = F.when((F.col("section") == 1) & (before == 1), ",").otherwise("")
+    (
+        lines.select("document", F.lpad(F.col("number").cast("string"), 12, "0").alias("piece"), F.row_number().over(in_order).alias("place"), F.concat(comma, "line").alias("line"))
+        .repartition("document", "piece")
+        .sortWithinPartitions("document", "piece", "place")
+        .select("document", "piece", "line")
+        .write.mode("overwrite")
+        .partitionBy("document", "piece")
+        .option("compression", "gzip")
+        .text(path)
+    )
+
+
 # --- native index ---------------------------------------------------------
 
 
@@ -184,6 +235,12 @@ def index_entries(index: Documents) -> DataFrame:
     return entries.select("source_file_url", F.col("ord").alias("file_ord"), "location", "description", "content_length_bytes")
 
 
+def index_listings(index: Documents) -> DataFrame:
+    """``index_entries`` with plan counts and plans, where a document has them."""
+    entries = index.elements.filter(F.col("location").isNotNull())
+    return entries.select("source_file_url", F.col("ord").alias("file_ord"), *LISTING_FIELDS)
+
+
 # --- hosted-vendor metadata -----------------------------------------------
 
 

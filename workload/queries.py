@@ -22,7 +22,7 @@ from ratescape.operators.flatten import (
     parse_counters,
     resolve_references,
 )
-from ratescape.operators.probe import probe_paths, probe_summary
+from ratescape.operators.probe import probe_paths, probe_summary, probed_files, read_probe, write_probe
 from ratescape.plans.batch import batch_counters, plan_batch, read_manifest, run_batch, write_events
 from ratescape.plans.presets import run_preset
 from ratescape.plans.runs import commit_run, new_run, read_live_rates, read_live_values, write_run
@@ -30,7 +30,7 @@ from ratescape.schemas import RATE_COLUMNS
 from ratescape.session import materialize, scratch_path
 from ratescape.sources import indexes
 from ratescape.sources.contracts import contract_rates, read_contracts
-from ratescape.sources.elements import file_paths, kind_of, landed_elements
+from ratescape.sources.elements import file_paths, kind_of, landed_elements, read_documents
 from ratescape.sources.rate_files import land_rate_files, landed_rate_files, read_rate_files
 from ratescape.sources.rate_tables import read_rates, write_rates
 from ratescape.sources.remote_references import read_remote_references, unresolved_references
@@ -379,6 +379,63 @@ def batch_run(spark, sf_dir):
     )
 
 
+def index_roundtrip(spark, sf_dir):
+    """The merged index written as bounded documents and read back, with the place of each listing."""
+    toc = indexes.read_toc(spark, fx.toc_docs(spark, sf_dir), fx.doc_source())
+    files = indexes.toc_files(indexes.toc_structures(toc))
+    merged = indexes.dedupe_files(files, indexes.TOC_ORDER).select(*indexes.INDEX_COLUMNS, "first_seen.*")
+    return _reread(spark, indexes.index_headers(toc, files), merged)[1].drop("reporting_plans", "source_file_url")
+
+
+def index_plans_roundtrip(spark, sf_dir):
+    """All listings with their plans written and read back, then merged; plans add up."""
+    toc = indexes.read_toc(spark, fx.toc_docs(spark, sf_dir), fx.doc_source())
+    structures = indexes.toc_structures(toc)
+    headers = indexes.index_headers(toc, indexes.toc_files(structures))
+    read, listings = _reread(spark, headers, indexes.toc_listings(structures))
+    named = read.headers.select("source_file_url", F.col("reporting_entity_name").alias("entity"), "version")
+    ids = F.aggregate("reporting_plans", F.lit(0).cast("long"), lambda total, p: total + p["plan_id"].cast("long"))
+    return listings.join(named, "source_file_url").groupBy("location", "entity", "version").agg(
+        F.sum("reporting_plan_count").alias("reporting_plan_count"),
+        F.count(F.lit(1)).alias("listings"),
+        F.sum(ids).alias("plan_ids"),
+        F.sum(F.size("reporting_plans")).alias("plans"),
+    )
+
+
+def _reread(spark, headers, entries):
+    path = scratch_path(spark, "index-documents")
+    indexes.write_index_documents(headers, entries, path, structures_per_piece=1_000)
+    read = read_documents(spark, path, "index")
+    piece = F.regexp_extract("source_file_url", r"piece=(\d+)", 1).cast("long")
+    return read, indexes.index_listings(read).withColumn("piece", piece).withColumnRenamed("file_ord", "place")
+
+
+def probe_written(spark, sf_dir):
+    """A probe in two parts, kept as JSON lines; the files it found, planned for parsing."""
+    files = _located(spark, fx.rate_docs(spark, sf_dir))
+    path = scratch_path(spark, "probe")
+    first = F.col("location").startswith("r0-") | F.col("location").startswith("r1-")
+    for part in (files.filter(first), files.filter(~first)):
+        write_probe(_stable_source(probe_paths(part, ABA), "source"), path)
+    probe = read_probe(spark, path)
+    planned = plan_batch(probed_files(files, probe), fx.manifest_events(spark, sf_dir), "aba", out_dir="out/")
+    return _listed(probe, "matched_codes").join(planned.select("source", "out_path", F.col("status").alias("plan")), "source", "left")
+
+
+def batch_remote(spark, sf_dir):
+    """A batch whose files use reference files, some of which are missing or broken."""
+    events = run_batch(
+        spark,
+        _located(spark, fx.remote_rate_docs(spark, sf_dir)),
+        profile_name="aba",
+        out_path=scratch_path(spark, "batch-rates"),
+        manifest_path=scratch_path(spark, "batch-manifest"),
+        reference_files=fx.reference_docs(spark, sf_dir),
+    )
+    return events.select("source", "status", "profile", "scanned_items", "matched_items", "rows_written", "error")
+
+
 def _located(spark, folder):
     """Index rows of a folder's documents; a location is a document's name, wherever its file is."""
     name = F.regexp_extract("path", r"doc_id=([^/]+)", 1)
@@ -631,6 +688,8 @@ QUERIES: dict[str, Query] = {
     "index_headers": index_headers,
     "index_files": index_files,
     "index_written": index_written,
+    "index_roundtrip": index_roundtrip,
+    "index_plans_roundtrip": index_plans_roundtrip,
     "vendor_index": vendor_index,
     "vendor_file_plans": vendor_file_plans,
     "vendor_header": vendor_header,
@@ -639,6 +698,8 @@ QUERIES: dict[str, Query] = {
     "batch_counters": lambda s, d: batch_counters(fx.manifest_events(s, d)),
     "batch_run": batch_run,
     "batch_rerun": batch_rerun,
+    "batch_remote": batch_remote,
+    "probe_written": probe_written,
     "summary_incremental": summary_incremental,
     "output_name": output_name,
     "source_host": source_hosts,

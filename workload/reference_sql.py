@@ -545,6 +545,22 @@ SQL: dict[str, str] = {
           p_name AS description,
           CASE WHEN p_partkey % 7 <> 0 THEN CAST(p_size * 100000 AS BIGINT) END AS content_length_bytes
         FROM part WHERE p_partkey % 9 <> 0""",
+    "index_roundtrip": _with(
+        """SELECT location, description, content_length_bytes, reporting_plan_count, piece,
+          row_number() OVER (PARTITION BY source, piece ORDER BY structure_ord, file_ord) - 1 AS place
+        FROM (SELECT d.*, f.source, f.structure_ord, f.file_ord, f.structure_ord // 1000 AS piece
+          FROM deduped d JOIN (SELECT location, unnest(min((source, structure_ord, file_ord)::ROW(source VARCHAR, structure_ord BIGINT, file_ord BIGINT)))
+            FROM files GROUP BY location) f ON d.location = f.location)""",
+        TOC,
+        f"deduped AS ({DEDUPED})",
+    ),
+    "index_plans_roundtrip": _with(
+        """SELECT location, CAST(sum(reporting_plan_count) AS BIGINT) AS reporting_plan_count, CAST(count(*) AS BIGINT) AS listings,
+          CAST(sum(reporting_plan_count * l_suppkey + reporting_plan_count * (reporting_plan_count - 1) // 2) AS BIGINT) AS plan_ids,
+          CAST(sum(reporting_plan_count) AS BIGINT) AS plans, 'Example Payer' AS entity, '2.0.0' AS version
+        FROM files GROUP BY location""",
+        TOC,
+    ),
     "vendor_index": _with(
         """SELECT location, first_description AS description, CAST(NULL AS BIGINT) AS content_length_bytes,
           CAST(sum(plans) AS BIGINT) AS reporting_plan_count
@@ -594,6 +610,23 @@ SQL: dict[str, str] = {
         DOCS,
         COUNTERS,
     ),
+    "batch_remote": _with(
+        """SELECT c.source, CASE WHEN u.ref_id IS NULL THEN 'succeeded' ELSE 'failed' END AS status, 'aba' AS profile,
+          CASE WHEN u.ref_id IS NULL THEN scanned_items END AS scanned_items,
+          CASE WHEN u.ref_id IS NULL THEN matched_items END AS matched_items,
+          CASE WHEN u.ref_id IS NULL THEN CAST(COALESCE(f.n, 0) AS BIGINT) END AS rows_written,
+          'undefined provider reference ' || u.ref_id AS error
+        FROM counters c LEFT JOIN (SELECT source, min(ref_id) AS ref_id FROM unresolved GROUP BY source) u ON c.source = u.source
+          LEFT JOIN (SELECT source, count(*) AS n FROM flat_remote WHERE service_line = 'aba' GROUP BY source) f ON c.source = f.source""",
+        DOCS,
+        REMOTE,
+        COUNTERS,
+    ),
+    "probe_written": _with(
+        f"""SELECT *, CASE WHEN has_match THEN 'out/' || source || '.aba.parquet' END AS out_path,
+          CASE WHEN has_match THEN 'planned' END AS plan FROM ({_probe(True)})""",
+        DOCS,
+    ),
     "batch_rerun": _with(
         _flat("'payer-index'", """service_line = 'aba' AND source NOT IN (SELECT source FROM missing)
           AND (source[:2] IN ('r2', 'r4') OR source[:2] = 'r0' AND l_linenumber = 1)"""),
