@@ -30,7 +30,7 @@ def _span_digest(found: DataFrame, kinds: tuple[str, ...], *more: str) -> DataFr
 
 
 def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _span_digest(secret_scan.scan(_table(spark, sf_dir, "documents")), secret_scan.KINDS[:3], "n_live", "n_examples")
+    return _span_digest(secret_scan.scan(_table(spark, sf_dir, "documents")), secret_scan.KINDS[:3], "n_live", "n_examples", "n_copied_owners", "n_copied_inside")
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

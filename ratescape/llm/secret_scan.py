@@ -3,9 +3,10 @@
 Three fixed patterns give the base spans: assignments, access keys and long hex
 strings. A broader pattern gives further candidates: long mixed tokens. Every
 candidate value is then counted over the corpus by distinct repositories and
-owners. A value that several owners have is a copied example; one that a single
-owner has looks live. The base spans stay either way; a mixed token is added as
-a span of kind ``token`` only if it looks live.
+owners. A value that several owners have is a copied example; so is one that a
+single owner has in more than LIVE_REPOSITORIES repositories or LIVE_DOCUMENTS documents:
+it is pasted about, not kept. Any other looks live. The base spans stay either way; a mixed
+token is added as a span of kind ``token`` only if it looks live.
 
 Counting goes by (value, owner, repository), then (value, owner), then value,
 each combined before its shuffle, so a value in a third of all documents is no
@@ -31,8 +32,10 @@ ACCESS, HEX = "AKIA[A-Z0-9]+", "[0-9a-f]{24,}"
 #: Mixed tokens: upper and lower case letters and digits, 24 or more characters.
 MIXED = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{24,}"
 KINDS = ("assign", "access", "hex", "token")
-#: Distinct characters that a mixed token has at least, and owners of a value that looks live at most.
-MIXED_CHARACTERS, LIVE_OWNERS = 12, 1
+#: Distinct characters that a mixed token has at least.
+MIXED_CHARACTERS = 12
+#: Owners, repositories and documents that a value which looks live has at most.
+LIVE_OWNERS, LIVE_REPOSITORIES, LIVE_DOCUMENTS = 1, 2, 100
 
 
 def base_spans(text: Column) -> Column:
@@ -63,18 +66,30 @@ def ownership(found: DataFrame) -> DataFrame:
     return owners.groupBy("value").agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"), F.sum("documents").alias("documents"))
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: list[str] | None = None, live_owners: int = LIVE_OWNERS) -> DataFrame:
-    """Per document: doc_id, base and all spans as arrays, n_live and n_examples of its candidate values."""
+def scan(
+    docs: DataFrame,
+    owner: str = "source",
+    repository: list[str] | None = None,
+    live_owners: int = LIVE_OWNERS,
+    live_repositories: int = LIVE_REPOSITORIES,
+    live_documents: int = LIVE_DOCUMENTS,
+) -> DataFrame:
+    """Per document: doc_id, base and all spans as arrays, n_live and n_examples of its candidate values.
+
+    Of the examples, n_copied_owners are copied over owners, n_copied_inside within one owner.
+    """
     found = candidates(docs, owner, repository or ["source", "lang"])
-    # a value of one document has one owner: only the others need their count back
-    shared = ownership(found).where((F.col("documents") > 1) & (F.col("owners") > live_owners)).select("value", "owners")
+    over, inside = F.col("owners") > live_owners, (F.col("repositories") > live_repositories) | (F.col("documents") > live_documents)
+    # a value of one document looks live: only copied ones need their verdict back
+    shared = ownership(found).where(over | inside).select("value", over.alias("over"))
     one = F.explode(F.concat("_base", "_mixed")).alias("span")
     each = found.where(F.size("_base") + F.size("_mixed") > 0).select("_row", one).withColumn("value", F.sha2("span.value", 256))
-    judged = lookup(each, shared, ["value"], "_row").withColumn("live", F.col("owners").isNull())
+    judged = lookup(each, shared, ["value"], "_row").withColumn("live", F.col("over").isNull())
     kept = F.when((F.col("span.kind") != "token") | F.col("live"), F.col("span"))
     per_row = judged.groupBy(F.col("_row").alias("_r")).agg(
-        F.collect_list(kept).alias("_all"), F.sum(F.col("live").cast("long")).alias("n_live"), F.sum((~F.col("live")).cast("long")).alias("n_examples")
-    )
+        F.collect_list(kept).alias("_all"), F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_examples"),
+        F.count_if("over").alias("n_copied_owners"), F.count_if(~F.col("over")).alias("n_copied_inside"),
+    )
     joined = found.join(per_row, found["_row"] == per_row["_r"], "left")
-    zero = F.lit(0).cast("long")
-    return joined.select("doc_id", "_base", F.coalesce("_all", spans.none()).alias("_all"), F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_examples", zero).alias("n_examples"))
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_live", "n_examples", "n_copied_owners", "n_copied_inside")]
+    return joined.select("doc_id", "_base", F.coalesce("_all", spans.none()).alias("_all"), *counts)

@@ -169,6 +169,21 @@ def test_owners_decide_on_mixed_tokens(spark):
     assert [s.value for s in found[0]._all] == [own] and not found[1]._all and found[0].n_examples == found[1].n_examples == 1
 
 
+def test_values_copied_within_one_owner_are_examples(spark):
+    many, few, often, key = "Ab3dE5fGh7jKl9mN1pQ3rS5tU7v", "Zz9yX8wVu7tSr6qPo5nMl4kJi3h", "Qq1wW2eE3rR4tT5yY6uU7iI8oO9", "password=hunter2hunter2"
+    rows = [(i, f"{many} {key}", lang, "s") for i, lang in enumerate(["en", "de", None])]
+    rows += [(10 + i, few, lang, "s") for i, lang in enumerate(["en", "de"])] + [(20 + i, often, "en", "s") for i in range(5)] + [(None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r for r in secret_scan.scan(docs, live_documents=4).collect()}
+    kinds = {i: sorted(s.kind for s in r._all) for i, r in found.items()}
+    # three repositories or five documents are too many, the base span stays; two repositories are not
+    assert kinds == {**dict.fromkeys(range(3), ["assign"]), 10: ["token"], 11: ["token"], **dict.fromkeys(range(20, 25), []), None: []}
+    assert [(found[i].n_live, found[i].n_copied_owners, found[i].n_copied_inside) for i in (0, 10, 20, None)] == [(0, 0, 2), (1, 0, 0), (0, 0, 1), (0, 0, 0)]
+    assert [s.kind for s in secret_scan.scan(docs).where("doc_id = 20").first()._all] == ["token"]
+    counts = {(r.owners, r.repositories, r.documents) for r in secret_scan.ownership(secret_scan.candidates(docs, "source", ["source", "lang"])).collect()}
+    assert counts == {(1, 3, 3), (1, 2, 2), (1, 1, 5)}
+
+
 def test_label_model_trusts_agreeing_labelers():
     counts = {"phone:base:y:-:y:s": 80, "phone:base:y:-:-:s": 40, "phone:loose:y:-:y:s": 5, "phone:loose:n:n:n:s": 60, "phone:loose:y:n:n:s": 10}
     p = private_data.train(counts)
