@@ -16,12 +16,14 @@ from ratescape.operators import contracts as own
 from ratescape.operators import distribution as dist
 from ratescape.operators import providers as prov
 from ratescape.operators import rate_query as rq
+from ratescape.operators import sketches
 from ratescape.operators.flatten import (
     flatten_rates,
     missing_references,
     parse_counters,
     resolve_references,
 )
+from ratescape.operators.pages import page_index, read_pages, write_pages
 from ratescape.operators.probe import probe_paths, probe_summary, probed_files, read_probe, write_probe
 from ratescape.plans.batch import batch_counters, plan_batch, read_manifest, run_batch, write_events
 from ratescape.plans.presets import run_preset
@@ -653,6 +655,36 @@ def custom_code_set(spark, sf_dir):
     return rq.summarize(in_code_table(fx.rates(spark, sf_dir), codes), ["billing_code"])
 
 
+def rate_pages(spark, sf_dir):
+    """The whole rate table in pages: rows, first and last keys of each."""
+    path = scratch_path(spark, "pages")
+    write_pages(fx.rates(spark, sf_dir), [("billing_code", False), ("negotiated_rate", True)], path, 1_000)
+    return page_index(read_pages(spark, path), ["billing_code", "negotiated_rate"])
+
+
+SKETCH_KEYS = ["billing_code", "billing_class"]
+
+
+def summary_fast(rates):
+    """Summaries from merged sketches of three parts, and whether each quartile is within the stated rank error."""
+    parts = sketches.rate_sketches(rates.withColumn("part", F.crc32("source_file_url") % 3), ["part", *SKETCH_KEYS])
+    summary = sketches.sketch_summary(sketches.merge_rate_sketches(parts, SKETCH_KEYS))
+    known = rates.filter(col.without_status_modifiers(F.col("billing_code_modifiers"))).filter(F.col("negotiated_rate").isNotNull())
+    rows = known.select(*SKETCH_KEYS, "negotiated_rate").join(summary, SKETCH_KEYS)
+    rate, share = F.col("negotiated_rate"), F.count(F.lit(1))
+    within = [
+        ((F.count_if(rate < F.col(name)) / share <= q + sketches.RANK_ERROR) & (F.count_if(rate <= F.col(name)) / share >= q - sketches.RANK_ERROR)).alias(f"{name}_fits")
+        for name, q in sketches.QUARTILES.items()
+    ]
+    return rows.groupBy(*SKETCH_KEYS, "row_count", "min_rate", "max_rate").agg(*within)
+
+
+def payer_overlap_fast(rates):
+    parts = [sketches.payer_sketches(rates.filter(F.crc32("source_file_url") % 2 == n)) for n in (0, 1)]
+    pairs = sketches.payer_pairs(sketches.merge_payer_sketches(parts[0].union(parts[1])))
+    return pairs.select("billing_code", "payer", "other_payer", *[F.col(c).cast("long").alias(c) for c in ("rates", "other_rates", "shared_rates")])
+
+
 QUERIES: dict[str, Query] = {
     # sources and ingest
     "ingest_rate_docs": ingest_rate_docs,
@@ -747,6 +779,8 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "sorted_rows": _rates(sorted_rows),
+    "rate_pages": rate_pages,
+    "summary_fast": _rates(summary_fast),
     "raw_vs_benchmark": _rates(lambda r: rq.raw_and_benchmark(r, service_line="aba")),
     "facets": _rates(rq.facets),
     "facets_modifiers": _rates(
@@ -788,4 +822,5 @@ QUERIES: dict[str, Query] = {
     # optional
     "custom_code_set": custom_code_set,
     "payer_overlap": _rates(prov.payer_overlap),
+    "payer_overlap_fast": _rates(payer_overlap_fast),
 }

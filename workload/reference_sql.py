@@ -722,6 +722,19 @@ SQL: dict[str, str] = {
     "sorted_rows": _rates(
         f"SELECT billing_code, billing_class, {SUMMARY} FROM rates GROUP BY billing_code, billing_class"
     ),
+    "rate_pages": _rates(
+        """SELECT page, CAST(count(*) AS BIGINT) AS row_count,
+          max(billing_code) FILTER (place = low) AS first_billing_code, max(billing_code) FILTER (place = high) AS last_billing_code,
+          max(negotiated_rate) FILTER (place = low) AS first_negotiated_rate, max(negotiated_rate) FILTER (place = high) AS last_negotiated_rate
+        FROM (SELECT *, min(place) OVER (PARTITION BY page) AS low, max(place) OVER (PARTITION BY page) AS high
+          FROM (SELECT *, place // 1000 AS page FROM (SELECT billing_code, negotiated_rate, row_number() OVER
+            (ORDER BY billing_code NULLS LAST, negotiated_rate DESC NULLS LAST) - 1 AS place FROM rates))) GROUP BY page"""
+    ),
+    "summary_fast": _rates(
+        f"""SELECT billing_code, billing_class, CAST(count(*) AS BIGINT) AS row_count, min(negotiated_rate) AS min_rate,
+          max(negotiated_rate) AS max_rate, TRUE AS p25_rate_fits, TRUE AS median_rate_fits, TRUE AS p75_rate_fits
+        FROM rates WHERE {NO_STATUS} GROUP BY billing_code, billing_class HAVING count(negotiated_rate) > 0"""
+    ),
     "raw_vs_benchmark": _with(
         """SELECT 'raw' AS "view", CAST(count(*) AS BIGINT) AS group_count,
           CAST(COALESCE(sum(raw), 0) AS BIGINT) AS row_total
@@ -847,6 +860,21 @@ SQL: dict[str, str] = {
           FROM customer) GROUP BY billing_code""",
         RATES,
     ),
+    "payer_overlap_fast": _with(
+        """SELECT a.billing_code, a.payer_name AS payer, b.payer_name AS other_payer, max(m.n) AS rates, max(o.n) AS other_rates,
+          CAST(count(*) AS BIGINT) AS shared_rates
+        FROM grain a JOIN grain b ON a.billing_code = b.billing_code AND a.payer_name < b.payer_name
+            AND a.billing_code_modifiers = b.billing_code_modifiers AND a.billing_class = b.billing_class
+            AND a.negotiated_type = b.negotiated_type AND a.provider_tin_value = b.provider_tin_value
+            AND a.negotiated_rate IS NOT DISTINCT FROM b.negotiated_rate
+          JOIN sizes m ON m.billing_code = a.billing_code AND m.payer_name = a.payer_name
+          JOIN sizes o ON o.billing_code = b.billing_code AND o.payer_name = b.payer_name
+        GROUP BY ALL""",
+        RATES,
+        """grain AS (SELECT DISTINCT billing_code, payer_name, billing_code_modifiers, billing_class, negotiated_type,
+          negotiated_rate, provider_tin_value FROM rates)""",
+        "sizes AS (SELECT billing_code, payer_name, CAST(count(*) AS BIGINT) AS n FROM grain GROUP BY ALL)",
+    ),
     "payer_overlap": _rates(
         """SELECT payers, hosts, CAST(max(payer_count) AS INTEGER) AS payer_count,
           CAST(count(*) AS BIGINT) AS shared_rates
