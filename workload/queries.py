@@ -636,8 +636,8 @@ def _with_registry(transform) -> Query:
 TOP_PROVIDERS, MAX_PROVIDERS = 500, 10_000
 
 
-def _plan_rates(rates, registry):
-    table = prov.plan_rates(rates, registry, CPT, limit=MAX_PROVIDERS)
+def _plan_rates(rates, registry, limit=MAX_PROVIDERS):
+    table = prov.plan_rates(rates, registry, CPT, limit=limit)
     names = [c for c in table.columns if c not in ("npi", "provider_name", "modifiers")]
     renamed = [F.col(f"`{n}`").alias(f"plan_{i}") for i, n in enumerate(names)]
     return table.select("npi", "provider_name", "modifiers", *renamed)
@@ -807,6 +807,11 @@ QUERIES: dict[str, Query] = {
     ),
     "plan_rates_median": _with_registry(lambda r, n: prov.plan_rates_median(r, n, CPT, limit=MAX_PROVIDERS)),
     "plan_rates": _with_registry(_plan_rates),
+    "npi_summary_code_all": _with_registry(lambda r, n: prov.npi_summary(r, n, CPT)),
+    "provider_rates_median_all": _with_registry(lambda r, n: prov.provider_rates_median(r, n, CPT)),
+    "provider_filter_bcba_all": _with_registry(lambda r, n: prov.provider_rates_median(r, n, CPT, provider_filter="bcba")),
+    "plan_rates_median_all": _with_registry(lambda r, n: prov.plan_rates_median(r, n, CPT)),
+    "plan_rates_all": _with_registry(lambda r, n: _plan_rates(r, n, None)),
     "rate_distribution": _with_registry(
         lambda r, n: dist.trimmed_counts(
             dist.median_counts(dist.npi_median(r, n, CPT, "HM", TEXAS, "excl_phys"))

@@ -295,12 +295,15 @@ LISTED = "listed AS (SELECT rates.*, provider.npi FROM rates, unnest(provider_np
 SPREAD = "round(quantile_cont(r, 0.5), 2) AS median_rate, min(r) AS min_rate, max(r) AS max_rate"
 
 
-def _provider_median(extra: str = "", where: str = "TRUE") -> str:
+MAX_PROVIDERS = "LIMIT 10000"
+
+
+def _provider_median(extra: str = "", where: str = "TRUE", limit: str = MAX_PROVIDERS) -> str:
     return _with(
         f"""SELECT npi, {NAME} AS provider_name, {_label("n.primary_taxonomy")} AS type, modifiers, payer_name,
           median_rate, min_rate, max_rate
         FROM per_provider LEFT JOIN names n USING (npi) WHERE {where}
-        ORDER BY median_rate DESC NULLS LAST, provider_name, npi, modifiers, payer_name LIMIT 10000""",
+        ORDER BY median_rate DESC NULLS LAST, provider_name, npi, modifiers, payer_name {limit}""",
         RATES,
         NAMES,
         LISTED,
@@ -342,6 +345,30 @@ def _npi_summary(extra: str = "", limit: str = "LIMIT 500") -> str:
     )
 
 
+def _plan_medians(limit: str = MAX_PROVIDERS) -> str:
+    return _with(
+        f"""SELECT npi, {NAME} AS provider_name, per_provider.* EXCLUDE (npi) FROM per_provider LEFT JOIN names n USING (npi)
+        ORDER BY median_rate DESC NULLS LAST, provider_name, npi, modifiers {limit}""",
+        RATES,
+        NAMES,
+        PLAN_ROWS,
+        f"""per_provider AS (SELECT npi, modifiers, CAST(count(DISTINCT plan_name) AS BIGINT) AS plan_count, {SPREAD}
+          FROM named_offers GROUP BY npi, modifiers)""",
+    )
+
+
+def _plan_pivot(limit: str = MAX_PROVIDERS) -> str:
+    return _with(
+        f"SELECT npi, provider_name, modifiers, {PLAN_COLUMNS} FROM page WHERE COALESCE({PLAN_COLUMNS}) IS NOT NULL",
+        RATES,
+        NAMES,
+        PLAN_ROWS,
+        f"wide AS (SELECT npi, modifiers, {PLAN_MAXIMA} FROM named_offers GROUP BY npi, modifiers)",
+        f"""page AS (SELECT wide.*, {NAME} AS provider_name FROM wide LEFT JOIN names n USING (npi)
+          ORDER BY provider_name NULLS LAST, modifiers NULLS LAST, npi {limit})""",
+    )
+
+
 PLAN = r"regexp_extract(source_file_url, '\d{4}-\d{2}-\d{2}_\d+-(.+)_Blue-Shield', 1)"
 NAMED = r"NOT regexp_full_match(plan_name, '\d+|Blue-Shield-of-California')"
 #: What a provider is offered under each named plan.
@@ -790,24 +817,13 @@ SQL: dict[str, str] = {
     "provider_filter_excl_phys": _provider_median(
         "AND list_contains(billing_code_modifiers, 'HM')", NOT_PHYSICIAN
     ),
-    "plan_rates_median": _with(
-        f"""SELECT npi, {NAME} AS provider_name, per_provider.* EXCLUDE (npi) FROM per_provider LEFT JOIN names n USING (npi)
-        ORDER BY median_rate DESC NULLS LAST, provider_name, npi, modifiers LIMIT 10000""",
-        RATES,
-        NAMES,
-        PLAN_ROWS,
-        f"""per_provider AS (SELECT npi, modifiers, CAST(count(DISTINCT plan_name) AS BIGINT) AS plan_count, {SPREAD}
-          FROM named_offers GROUP BY npi, modifiers)""",
-    ),
-    "plan_rates": _with(
-        f"SELECT npi, provider_name, modifiers, {PLAN_COLUMNS} FROM page WHERE COALESCE({PLAN_COLUMNS}) IS NOT NULL",
-        RATES,
-        NAMES,
-        PLAN_ROWS,
-        f"wide AS (SELECT npi, modifiers, {PLAN_MAXIMA} FROM named_offers GROUP BY npi, modifiers)",
-        f"""page AS (SELECT wide.*, {NAME} AS provider_name FROM wide LEFT JOIN names n USING (npi)
-          ORDER BY provider_name NULLS LAST, modifiers NULLS LAST, npi LIMIT 10000)""",
-    ),
+    "plan_rates_median": _plan_medians(),
+    "plan_rates": _plan_pivot(),
+    "npi_summary_code_all": _npi_summary("AND billing_code = '97153'", limit=""),
+    "provider_rates_median_all": _provider_median(limit=""),
+    "provider_filter_bcba_all": _provider_median(where="n.primary_taxonomy LIKE '103K%'", limit=""),
+    "plan_rates_median_all": _plan_medians(limit=""),
+    "plan_rates_all": _plan_pivot(limit=""),
     "rate_distribution": _with(
         "SELECT median_rate, CAST(count(*) AS BIGINT) AS n FROM trimmed GROUP BY median_rate",
         RATES,
