@@ -391,10 +391,20 @@ def _tile_links(blocks: DataFrame, members: DataFrame, percent: int, tile: int)
     return joined.groupBy("class", "one", "two").applyInArrow(_tiles(percent), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text); see the module."""
+def _described(docs: DataFrame, n: int) -> DataFrame:
+    return stored(docs.select("doc_id", "text").mapInArrow(tidy(_describe(n)), "doc_id long, n_shingles long, set_key binary"), "jaccard-sets")
+
+
+def _ids_unique(described: DataFrame) -> bool:
+    """Whether all rows of an id have the same set."""
+    key = F.xxhash64("set_key")
+    per_id = described.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(key).alias("one"), F.max(key).alias("other"))
+    return per_id.where("one != other").isEmpty()
+
+
+def _linked(docs: DataFrame, described: DataFrame, n: int, percent: int, tile: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every described row; all rows of an id have the same set."""
     parts = parts_of(docs.sparkSession)
-    described = stored(docs.select("doc_id", "text").mapInArrow(tidy(_describe(n)), "doc_id long, n_shingles long, set_key binary"), "jaccard-sets")
     named = described.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     sets = stored(named.groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "jaccard-keys")
 
@@ -414,13 +424,52 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, tile: int
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows with a number each, stored, since the numbers must not change."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("node"), "doc_id", F.struct("*").alias("row")), "jaccard-rows")
+
+
+def _linked_rows(rows: DataFrame, n: int, percent: int, tile: int) -> DataFrame:
+    """(node, doc_id, n_shingles, text, linked) of numbered rows with an id; linked is the smallest node reachable by links of texts."""
+    texts = rows.where("doc_id IS NOT NULL").select(F.col("node").alias("doc_id"), "row.text")
+    links = _linked(texts, _described(texts, n), n, percent, tile).select(F.col("doc_id").alias("at"), "n_shingles", F.col("component_id").alias("linked"))
+    return rows.join(links, rows["node"] == links["at"]).select("node", "doc_id", "n_shingles", "row.text", "linked")
+
+
+def _by_row(docs: DataFrame, n: int, percent: int, tile: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of rows with an id, where an id may have several texts: these share a component."""
+    rows = stored(_linked_rows(_numbered(docs.select("doc_id", "text")), n, percent, tile).drop("text"), "jaccard-rows-linked")
+    first = rows.groupBy("doc_id").agg(F.min("linked").alias("first"), F.max("linked").alias("last")).where("first < last").drop("last")
+    shared = lookup(rows, first, ["doc_id"], "node").where("linked > first").select(F.col("linked").alias("a"), F.col("first").alias("b"))
+    merged = components(shared, "jaccard-shared-ids").select(F.col("node").alias("linked"), "component")
+    rows = lookup(rows, merged, ["linked"], "node").withColumn("component", F.coalesce("component", "linked"))
+    smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return lookup(rows, smallest, ["component"], "node").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, tile: int = TILE) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text); see the module.
+
+    Where an id has several texts, rows are numbered and linked by number first, so no text hides another.
+    """
+    described = _described(docs, n)
+    if _ids_unique(described):
+        return _linked(docs, described, n, percent, tile)
+    nameless = described.where("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    return _by_row(docs, n, percent, tile).union(nameless)
+
+
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of linked documents: the one with the smallest id.
 
     Rows without an id stay; of rows with the same id and text, one stays, any
-    of them where their other columns differ.
+    of them where their other columns differ. Where an id has several texts, each
+    of its rows is judged by its own text.
     """
-    found = jaccard_components(docs, n, percent)
+    described = _described(docs, n)
+    if not _ids_unique(described):
+        return _keep_rows(docs, n, percent)
+    found = _linked(docs, described, n, percent, TILE)
     dropped = found.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     left = docs.join(dropped, docs["doc_id"] == dropped["_gone"], "left_anti")
     again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
@@ -429,3 +478,14 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         return left
     once = left.join(again, F.col("doc_id") == again["_again"], "left_anti")
     return once.union(left.join(again, F.col("doc_id") == again["_again"], "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+def _keep_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    rows = _numbered(docs)
+    linked = _linked_rows(rows, n, percent, TILE)
+    # texts without words link with nothing; equal ones of an id are one
+    words = F.col("n_shingles") > 0
+    group = F.struct(F.when(words, F.col("linked")).alias("linked"), F.when(~words, F.col("doc_id")).alias("id"), F.when(~words, F.col("text")).alias("text"))
+    first = linked.groupBy(group.alias("group")).agg(F.min(F.struct("doc_id", "node")).alias("first")).select(F.col("first.node").alias("kept"))
+    stays = rows.join(first, rows["node"] == first["kept"], "left_semi").union(rows.where("doc_id IS NULL"))
+    return stays.select("row.*")

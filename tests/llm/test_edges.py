@@ -94,6 +94,50 @@ def test_keep_one(docs):
     assert ids.count(16) == 1
 
 
+def test_jaccard_where_an_id_has_several_texts(spark):
+    near, other = " ".join(NEAR), prose(120)
+    rows = [(1, BASE, "a"), (2, near, "b"), (2, other, "c"), (3, other, "d"), (4, prose(90), "e"), (5, "", "f"), (5, prose(80), "g"), (6, "", "h"), (6, "", "i"), (6, None, "j"), (7, BASE, "k"), (7, BASE, "l"), (None, BASE, "m")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string").repartition(3)
+    got = jaccard_join.jaccard_components(docs).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (6, 6), (7, 1), (None, None)}
+    want = {(i, len({tuple(w[k : k + 3]) for k in range(len(w) - 2)})) for i, t, _ in rows for w in [(t or "").split()]}
+    assert {(r.doc_id, r.n_shingles) for r in got} == want
+    left = jaccard_join.keep_one(docs)
+    assert left.columns == docs.columns
+    kept = sorted(((r.doc_id or 0, r.text or "") for r in left.collect()))
+    assert kept == sorted([(1, BASE), (2, other), (4, rows[4][1]), (5, ""), (5, rows[6][1]), (6, ""), (6, ""), (0, BASE)])
+
+
+def test_jaccard_where_one_id_has_a_third_of_all_texts(spark):
+    source = prose(100).split()
+    rows = []
+    for i in range(90):
+        words = list(source) if i % 2 else prose(60).split()
+        words[i % 50] = f"n{i}"
+        rows.append((0 if i % 3 == 0 else i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    unique = {i: t for i, t in enumerate(t for _, t in rows)}
+    linked = {i: c for i, _, c in brute.jaccard(list(unique.items()), 3, 90)}
+    # rows of an id are one node
+    root = {c: c for c in linked.values()}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (d, _) in enumerate(rows):
+        if d == 0:
+            root[find(linked[i])] = find(linked[0])
+    smallest = {}
+    for i, (d, _) in enumerate(rows):
+        c = find(linked[i])
+        smallest[c] = min(smallest.get(c, d), d)
+    want = sorted((d, smallest[find(linked[i])]) for i, (d, _) in enumerate(rows))
+    assert sorted((r.doc_id, r.component_id) for r in jaccard_join.jaccard_components(docs, 3, 90, 16).collect()) == want
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 40])
 def test_decontamination(spark, docs, block_bytes):
     items = [(1, ITEM), (2, " ".join(ITEM.split()[2:])), (3, None), (4, "..."), (5, "One"), (6, "foo bar"), (7, ITEM)]
