@@ -27,7 +27,7 @@ from ratescape.operators.pages import page_index, read_pages, write_pages
 from ratescape.operators.probe import probe_paths, probe_summary, probed_files, read_probe, write_probe
 from ratescape.plans.batch import batch_counters, plan_batch, read_manifest, run_batch, write_events
 from ratescape.plans.presets import run_preset
-from ratescape.plans.runs import commit_run, new_run, read_live_rates, read_live_values, write_run
+from ratescape.plans.runs import commit_run, new_run, read_live_rates, read_live_values, read_run_events, write_run
 from ratescape.schemas import RATE_COLUMNS
 from ratescape.session import materialize, scratch_path
 from ratescape.sources import indexes
@@ -37,7 +37,7 @@ from ratescape.sources.rate_files import land_rate_files, landed_rate_files, rea
 from ratescape.sources.rate_tables import read_rates, write_rates
 from ratescape.sources.remote_references import read_remote_references, unresolved_references
 from ratescape.sources.registry import npi_registry, read_registry_csv
-from ratescape.streaming.incremental import ingest_new_files
+from ratescape.streaming.incremental import ingest_new_files, ingest_runs
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,6 +213,33 @@ def stream_events(spark, sf_dir):
     return _stable_source(events).withColumnRenamed("source_file_url", "source")
 
 
+def _streamed_runs(spark, sf_dir):
+    """Three batches or so, each a committed run."""
+    docs, out = fx.rate_docs(spark, sf_dir), scratch_path(spark, "stream-runs")
+    batch = -(-_doc_paths(spark, docs).count() // 3)
+    ingest_runs(
+        spark,
+        docs,
+        profile_name="aba",
+        out_path=out,
+        checkpoint_path=scratch_path(spark, "stream-runs-state"),
+        index_payer="payer-index",
+        max_files=batch,
+    ).awaitTermination()
+    return out
+
+
+def stream_large(spark, sf_dir):
+    """The live table after a stream whose batches are runs."""
+    return _flat(_stable_source(read_live_rates(spark, _streamed_runs(spark, sf_dir))))
+
+
+def stream_run_events(spark, sf_dir):
+    """What became of each streamed file."""
+    events = read_run_events(spark, _streamed_runs(spark, sf_dir))
+    return _stable_source(events, "source").select("source", "status", "error", "rows_written")
+
+
 def written_rates(spark, sf_dir):
     path = scratch_path(spark, "rates")
     write_rates(fx.rates(spark, sf_dir), path)
@@ -708,6 +735,8 @@ QUERIES: dict[str, Query] = {
     "probe_summary": lambda s, d: probe_summary(_probe(s, d)),
     "stream_ingest": stream_ingest,
     "stream_events": stream_events,
+    "stream_large": stream_large,
+    "stream_run_events": stream_run_events,
     "write_rates": written_rates,
     "scan_many": scan_many,
     # indexes and batch

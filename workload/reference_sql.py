@@ -489,6 +489,14 @@ SQL: dict[str, str] = {
         FROM missing GROUP BY source""",
         DOCS,
     ),
+    "stream_large": FLAT_ABA,
+    "stream_run_events": _with(
+        """SELECT c.source, CASE WHEN m.ref_id IS NULL THEN 'succeeded' ELSE 'failed' END AS status,
+          'undefined provider reference ' || m.ref_id AS error, CASE WHEN m.ref_id IS NULL THEN c.rows_written END AS rows_written
+        FROM counters c LEFT JOIN (SELECT source, min(ref_id) AS ref_id FROM missing GROUP BY source) m USING (source)""",
+        DOCS,
+        COUNTERS,
+    ),
     "resolve_refs": _with(
         """SELECT source, billing_code, CAST(count(*) FILTER (WHERE has_inline) AS BIGINT) AS inline_origins,
           CAST(count(*) FILTER (WHERE has_ref AND NOT ref_is_missing) AS BIGINT) AS resolved,
