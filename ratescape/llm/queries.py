@@ -90,6 +90,17 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_secret_ownership, op4_jaccard_join, op5_decontaminate, op6_suffix_dedup, op7_private_data, op8_interpolated_lm, op9_quality_fertility, op10_fair_mix, op11_rp_forest, op12_merkle_manifest, op13_cross_alignment)}
 
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# the CRC register takes a byte of the id, then eight shifts by one bit
+_CRC32_SQL = """xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+    lambda r, b: xor(xor(r, b) >> 1, 3988292384::BIGINT * (xor(r, b) & 1))), 4294967295::BIGINT)"""
+
 SQL = {
     "op1_line_dedup": rf"""
 WITH split AS (
@@ -158,4 +169,65 @@ WITH words AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op6_suffix_dedup": """
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT doc_id, i, md5_number(substring(h, 2 * i + 1, 200)) AS w FROM bytes, unnest(range(0, length(h) // 2 - 99)) AS t(i)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1
+), marked AS (
+  SELECT doc_id, i, i > lag(i, 1, i - 101) OVER (PARTITION BY doc_id ORDER BY i) + 100 AS opens FROM later
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT doc_id, i, count(*) FILTER (opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked) GROUP BY doc_id, span
+), gaps AS (
+  SELECT doc_id, b, substring(h, 2 * lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) + 1, 2 * (a - lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a))) AS gap, b - a AS n
+  FROM spans JOIN bytes USING (doc_id)
+), cut AS (
+  SELECT doc_id, string_agg(gap, '' ORDER BY b) AS kept, max(b) AS b, sum(n)::BIGINT AS n_removed, count(*) AS n_spans FROM gaps GROUP BY doc_id
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN kept IS NULL THEN h ELSE kept || substring(h, 2 * b + 1) END)) AS kept_sha256
+FROM bytes LEFT JOIN cut USING (doc_id)""",
+    "op12_merkle_manifest": rf"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, {_leaf_sql('text')} AS leaf, {_CRC32_SQL} % 3 = 0 AS is_tampered,
+    {_leaf_sql(f"translate(text, '{_UPPER}', '{_LOWER}')")} AS lowered,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos
+  FROM documents
+), nodes AS (
+  SELECT tree, 0 AS level, pos, count(*) OVER (PARTITION BY tree) AS n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 8, n
+), tops AS (
+  SELECT 0 AS level, tree AS pos, count(*) OVER () AS n, digest FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, pos // 8, n
+), heights AS (
+  SELECT tree, max(level) AS height FROM nodes GROUP BY tree
+), runs AS (
+  SELECT tree, level, pos // 8 AS run, list(digest ORDER BY pos) AS digests FROM nodes WHERE n > 1 GROUP BY ALL
+), top_runs AS (
+  SELECT level, pos // 8 AS run, list(digest ORDER BY pos) AS digests FROM tops WHERE n > 1 GROUP BY ALL
+), steps AS (
+  SELECT doc_id, r.level AS step, digests, (pos >> (3 * r.level)) % 8 AS place
+  FROM leaves l JOIN runs r ON r.tree = l.tree AND r.run = l.pos >> (3 * r.level + 3)
+  UNION ALL
+  SELECT doc_id, height + r.level, digests, (l.tree >> (3 * r.level)) % 8
+  FROM leaves l JOIN heights h USING (tree) JOIN top_runs r ON r.run = l.tree >> (3 * r.level + 3)
+), parts AS (
+  SELECT doc_id, step, array_to_string(digests[1:place], '') AS before, array_to_string(digests[place + 2:], '') AS after FROM steps
+), proofs AS (
+  SELECT doc_id, string_agg(before || after, '' ORDER BY step) AS proof FROM parts GROUP BY doc_id
+), folds AS (
+  SELECT doc_id, 0 AS step, CASE WHEN is_tampered THEN lowered ELSE leaf END AS digest FROM leaves
+  UNION ALL
+  SELECT doc_id, f.step + 1, sha256(before || digest || after) FROM folds f JOIN parts p USING (doc_id, step)
+), folded AS (
+  SELECT doc_id, arg_max(digest, step) AS folded_root FROM folds GROUP BY doc_id
+)
+SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = t.digest AS verified
+FROM leaves l JOIN nodes s ON s.tree = l.tree AND s.n = 1 JOIN tops t ON t.n = 1
+  JOIN folded USING (doc_id) LEFT JOIN proofs USING (doc_id)""",
 }
