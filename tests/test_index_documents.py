@@ -89,3 +89,21 @@ def test_a_probe_goes_on_where_one_stopped(spark, tmp_path):
     assert found == {"a.json": ("ok", True, ["97155"], None), "b.json": ("ok", True, ["97152"], None), "c.json": ("ok", True, ["97155"], None)}
     files = spark.createDataFrame([(good, 0), ("elsewhere", 1)], "location string, file_ord int")
     assert [r.file_ord for r in probed_files(files, read_probe(spark, out)).collect()] == [0]
+
+
+def test_listings_take_their_plans_along_without_a_join(spark):
+    plan = "struct<plan_name:string,plan_id:string>"
+    rows = [("d", 0, [("P", "1"), None], [("x", None), ("", None)])] * 2  # a document that was read twice
+    structures = spark.createDataFrame(rows, f"source_file_url string, structure_ord long, reporting_plans array<{plan}>, in_network_files array<struct<location:string,description:string>>")
+    listings = indexes.toc_listings(structures)
+    assert [(r["location"], r["reporting_plan_count"], len(r["reporting_plans"])) for r in listings.collect()] == [("x", 1, 1)] * 2
+    assert "Join" not in listings._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_line_of_an_index_document_is_shuffled_once(spark, tmp_path, monkeypatch):
+    dealt = []
+    repartition = type(spark.range(0)).repartition
+    monkeypatch.setattr(type(spark.range(0)), "repartition", lambda rows, *keys: (dealt.append(rows), repartition(rows, *keys))[1])
+    written(spark, tmp_path, 2)
+    last = dealt[-1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in last  # the window is behind the shuffle, not before it
