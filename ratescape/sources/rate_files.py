@@ -100,9 +100,8 @@ def landed_rate_files(spark: SparkSession, landing: str, profile: CodeProfile |
     return RateFiles(
         headers=headers,
         items=items.join(broken, "source_file_url", "left_anti").select("source_file_url", "item_ord", "billing_code"),
-        entries=rates.join(matched, ["source_file_url", "item_ord"])
-        .join(headers, "source_file_url")
-        .select(*ENTRY_COLUMNS),
+        # Header and item meet first, one row per item, so that the rates are shuffled once.
+        entries=rates.join(matched.join(headers, "source_file_url"), ["source_file_url", "item_ord"]).select(*ENTRY_COLUMNS),
         references=last_reference(references),
         errors=errors,
     )
