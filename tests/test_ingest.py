@@ -152,3 +152,10 @@ def test_keys_in_any_order(spark, tmp_path):
     strip = lambda rows: [{**r.asDict(), "source_file_url": None} for r in rows]
     assert strip(walked) == strip(read)
     assert walked[0].payer_name == "Harbor Cooperative"
+
+
+def test_rates_go_through_one_join(spark, tmp_path):
+    write_json(tmp_path / "a.json", INLINE_DOC)
+    entries = read_rate_files(spark, str(tmp_path / "a.json"), ABA).entries
+    plan = entries._jdf.queryExecution().optimizedPlan().toString()
+    assert plan[: plan.index("Relation [")].count("Join") == 1  # the rates come first and meet items that have their header
