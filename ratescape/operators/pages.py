@@ -43,12 +43,21 @@ def write_pages(rows: DataFrame, order: Order, path: str, size: int, range_rows:
     ranges = kept.count() // range_rows + 1
     # the place is taken after the sort and stored, so that it stays as it is
     placed = kept.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
-    stored = materialize(placed, "sorted").withColumn("_range", F.shiftright("_place", _PLACE_BITS))
+    paged = with_positions(materialize(placed, "sorted"), size)
+    paged.select(*kept.columns, "position", "page").sortWithinPartitions("position").write.mode("overwrite").parquet(path)
+
+
+def with_positions(stored: DataFrame, size: int) -> DataFrame:
+    """Stored rows with position and page, from their ``_place``; they stay where they are.
+
+    The first position of each range is sent to them: one row per ``RANGE_ROWS`` rows or so.
+    """
+    stored = stored.withColumn("_range", F.shiftright("_place", _PLACE_BITS))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = stored.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
     position = F.col("_before") + F.col("_place").bitwiseAND((1 << _PLACE_BITS) - 1)
-    paged = stored.join(offsets, "_range").withColumn("position", position).withColumn("page", F.floor(F.col("position") / F.lit(size)).cast("long"))
-    paged.select(*kept.columns, "position", "page").sortWithinPartitions("position").write.mode("overwrite").parquet(path)
+    placed = stored.join(F.broadcast(offsets), "_range").withColumn("position", position)
+    return placed.withColumn("page", F.floor(F.col("position") / F.lit(size)).cast("long"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

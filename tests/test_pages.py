@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ratescape.operators.pages import page_index, read_page, read_pages, rows_after, write_pages
+from ratescape.operators.pages import page_index, read_page, read_pages, rows_after, with_positions, write_pages
 
 ORDER = [("code", False), ("rate", True), ("id", False)]
 rng = random.Random(3)
@@ -49,3 +49,16 @@ def test_no_rows_and_equal_rows(spark, tmp_path):
     assert read_pages(spark, str(tmp_path / "e")).count() == 0
     write_pages(spark.createDataFrame([("x", 1.0, 1, [])] * 5, SCHEMA), [("code", True)], str(tmp_path / "s"), 2, range_rows=1)
     assert sorted((r.position, r.page) for r in read_pages(spark, str(tmp_path / "s")).collect()) == [(0, 0), (1, 0), (2, 1), (3, 1), (4, 2)]
+
+
+def test_rows_are_not_shuffled_for_their_positions(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = spark.createDataFrame([(r << 33 | i, f"{r}{i}") for r in (0, 1, 2) for i in range(r + 2)], "_place long, name string")
+        paged = with_positions(stored, 4)
+        plan = paged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        found = {r.name: (r.position, r.page) for r in paged.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == {name: (n, n // 4) for n, name in enumerate(["00", "01", "10", "11", "12", "20", "21", "22", "23"])}
