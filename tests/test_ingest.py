@@ -8,6 +8,7 @@ from ratescape.functions.profiles import ABA
 from ratescape.operators.flatten import flatten_rates, missing_references, parse_counters
 from ratescape.schemas import RATE_TABLE
 from ratescape.session import scratch_path
+from ratescape.sources.elements import file_paths
 from ratescape.sources.rate_files import land_rate_files, landed_rate_files, read_rate_files
 
 
@@ -159,3 +160,22 @@ def test_rates_go_through_one_join(spark, tmp_path):
     entries = read_rate_files(spark, str(tmp_path / "a.json"), ABA).entries
     plan = entries._jdf.queryExecution().optimizedPlan().toString()
     assert plan[: plan.index("Relation [")].count("Join") == 1  # the rates come first and meet items that have their header
+
+
+def test_files_with_errors_are_found_once(spark, tmp_path):
+    cut = tmp_path / "cut.json"
+    cut.write_text('{"reporting_entity_name": "x", "in_network": [')
+    files = by_docs(spark, [write_json(tmp_path / "a.json.gz", INLINE_DOC), str(cut)])
+    assert {place.rsplit("/", 2)[1].split("-")[0] for place in files.errors.inputFiles()} == {"errors"}
+    assert [r.source_file_url.rsplit("/", 1)[1] for r in files.errors.collect()] == ["cut.json"]
+    assert files.headers.count() == 1
+
+
+def test_folders_are_listed_in_few_tasks(spark, tmp_path):
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    spark.conf.set(setting, "10000")
+    for n in range(40):
+        (tmp_path / f"d{n}").mkdir()
+        (tmp_path / f"d{n}" / "a.json").write_text("{}")
+    assert file_paths(spark, str(tmp_path)).count() == 40
+    assert int(spark.conf.get(setting)) <= 4 * spark.sparkContext.defaultParallelism
