@@ -10,7 +10,8 @@ Texts are cut before tokenizing at the blanks between two visible characters. No
 token of either vocabulary spans such a place (``Tokenizers`` verifies that for the
 piece vocabulary and, in every row of parts, for both; the byte-level one splits words there by its
 pattern), so a text's tokens and groups are those of its parts in a row. The distinct parts of a
-slice of documents are put in rows, as texts of their own, and tokenized once.
+task's documents are put in rows, as texts of their own, and tokenized once; a task that has
+met too many of them forgets them all and starts anew.
 
 The number of documents that hold a pair linked is counted over all documents,
 and each document is then scored with the counts of its pairs. Documents travel as
@@ -27,8 +28,9 @@ from __future__ import annotations
 
 import os
 import re
+from collections import defaultdict
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 from operator import attrgetter
 from pathlib import Path
 from typing import NamedTuple
@@ -45,8 +47,10 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pairs of one part of the pair table and packed bytes of blocks that meet it in one cell.
 PART_PAIRS, CELL_BYTES = 1 << 20, 16 << 20
-#: Bytes of text of a slice of documents, and characters of a row of parts, about.
-SLICE, ROW = 4 << 20, 1 << 16
+#: Bytes of text of a slice of documents, and characters of a row of parts and of rows that are tokenized at once, about.
+SLICE, ROW, AT_ONCE = 4 << 20, 1 << 10, 1 << 18
+#: A task forgets its distinct parts beyond so many bytes, about: their characters, so many more for each part and for each of its pairs.
+KNOWN, PART_BYTES, PAIR_BYTES = 160 << 20, 200, 12
 #: A group with more links than this is counted by distinct ids.
 WIDE = 4096
 #: A task adds up its pair counts beyond so many of them.
@@ -277,53 +281,99 @@ def _linked(a: Tokens, b: Tokens, a_group: np.ndarray, b_group: np.ndarray, grou
     return np.concatenate(pairs), np.concatenate(text), np.concatenate(links)
 
 
-def _block(tokenizers: Tokenizers, batch: pa.RecordBatch, block: int) -> pa.RecordBatch:
+class _Parts:
+    """The distinct parts that the texts of a task have had so far, each tokenized once.
+
+    A part has a number, its groups in writing, its counts (A ids, B ids, groups, links),
+    and its pairs in a row: the place of each in the sorted ``keys``, and its links.
+    All is forgotten between two slices where it takes more than about ``KNOWN`` bytes.
+    """
+
+    def __init__(self, tokenizers: Tokenizers):
+        self.tokenizers = tokenizers
+        self._forget()
+
+    def _forget(self) -> None:
+        self._number: defaultdict[str, int] = defaultdict()
+        self._number.default_factory = self._number.__len__
+        self._bytes = 0
+        self.names: list[str] = []
+        self.good, self.sums = np.zeros(0, bool), np.zeros((4, 0), np.int64)
+        self.keys, self.rank, self.links, self.pair_size = (np.zeros(0, t) for t in (np.int64, np.int32, np.int64, np.int64))
+
+    def numbers(self, rows: list[list[str]], n: int) -> np.ndarray:
+        """The numbers of the n parts of all rows; what is new among them is tokenized."""
+        if self._bytes + PAIR_BYTES * len(self.rank) > KNOWN:
+            self._forget()
+        known = len(self._number)
+        out = np.fromiter(map(self._number.__getitem__, chain.from_iterable(rows)), np.int64, n)
+        new = list(islice(self._number, known, None))
+        if new:
+            sizes = np.fromiter(map(len, new), np.int64, len(new))
+            self._bytes += int(sizes.sum()) + PART_BYTES * len(new)
+            edges = np.flatnonzero(np.diff(np.cumsum(sizes) // AT_ONCE)) + 1
+            self._add([self._found(new[i:j]) for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(new)], strict=True)])
+        return out
+
+    def _found(self, parts: list[str]) -> tuple[np.ndarray, ...]:
+        """Of parts: whether they are good, counts, pairs with their links, by part, and the number of pairs."""
+        size = len(parts)
+        a, b, ends, good = self.tokenizers.encode_parts(parts, ROW)
+        ends_here = np.zeros(int(ends[-1]) + 1, bool)
+        ends_here[a.end] = True
+        cuts = b.end[ends_here[b.end]]
+        a_group, b_group = np.searchsorted(cuts, a.end), np.searchsorted(cuts, b.end)
+        names, of = _names(self.tokenizers, a, b, a_group, b_group)
+        at = np.searchsorted(of, np.arange(size + 1)).tolist()
+        names = names.tolist()
+        self.names += ["".join(names[at[i] : at[i + 1]]) for i in range(size)]
+        last_of_group = np.append(a_group[1:] != a_group[:-1], True) if len(a_group) else np.zeros(0, bool)
+        pair, part, links = _linked(a, b, a_group, b_group, len(cuts))
+        sums = [np.bincount(x, minlength=size) for x in (a.text, b.text, a.text[last_of_group])]
+        sums.append(np.bincount(part, links, size).astype(np.int64))
+        order = np.argsort(part, kind="stable")
+        return good, np.stack(sums), pair[order], links[order], np.bincount(part, minlength=size)
+
+    def _add(self, found: list[tuple[np.ndarray, ...]]) -> None:
+        good, sums, pairs, links, pair_size = zip(*found, strict=True)
+        self.good = np.concatenate([self.good, *good])
+        self.sums = np.concatenate([self.sums, *sums], axis=1)
+        self.links = np.concatenate([self.links, *links])
+        self.pair_size = np.concatenate([self.pair_size, *pair_size])
+        new, rank = np.unique(np.concatenate(pairs), return_inverse=True)
+        keys = np.union1d(self.keys, new)
+        moved = [np.searchsorted(keys, x).astype(np.int32)[at] for x, at in ((self.keys, self.rank), (new, rank))]
+        self.keys, self.rank = keys, np.concatenate(moved)
+
+
+def _block(known: _Parts, batch: pa.RecordBatch, block: int) -> pa.RecordBatch:
     texts = batch.column("text").to_pylist()
     n = len(texts)
-    rows = [tokenizers.parts(t) if t else [] for t in texts]
-    index = dict.fromkeys(chain.from_iterable(rows))
-    index.update(zip(index, range(len(index))))
-    size = len(index)
+    rows = [known.tokenizers.parts(t) if t else [] for t in texts]
     counts = np.array([len(row) for row in rows], np.int64)
-    seen = np.fromiter(map(index.__getitem__, chain.from_iterable(rows)), np.int64, int(counts.sum()))
+    seen = known.numbers(rows, int(counts.sum()))
     del texts, rows
-    a, b, ends, good = tokenizers.encode_parts(list(index), ROW)
-    del index
-    # groups, links and pairs of each distinct part
-    ends_here = np.zeros(int(ends[-1]) + 1 if size else 1, bool)
-    ends_here[a.end] = True
-    cuts = b.end[ends_here[b.end]]
-    a_group, b_group = np.searchsorted(cuts, a.end), np.searchsorted(cuts, b.end)
-    names, of = _names(tokenizers, a, b, a_group, b_group)
-    at = np.searchsorted(of, np.arange(size + 1)).tolist()
-    names = names.tolist()
-    names = ["".join(names[at[i] : at[i + 1]]) for i in range(size)]
-    last_of_group = np.append(a_group[1:] != a_group[:-1], True) if len(a_group) else np.zeros(0, bool)
-    pair, part, links = _linked(a, b, a_group, b_group, len(cuts))
-    sums = [np.bincount(x, minlength=size) for x in (a.text, b.text, a.text[last_of_group])]
-    sums.append(np.bincount(part, links, size).astype(np.int64))
-    keys, rank = np.unique(pair, return_inverse=True)
-    order = np.argsort(part, kind="stable")
-    rank, links = rank[order], links[order]
-    pair_size = np.bincount(part, minlength=size)
-    pair_at = np.cumsum(pair_size) - pair_size
     # documents: all parts, or nothing
     doc = np.repeat(np.arange(n), counts)
-    whole = np.bincount(doc, ~good[seen], n) == 0
+    whole = np.bincount(doc, ~known.good[seen], n) == 0
     seen, doc = seen[whole[doc]], doc[whole[doc]]
     at = np.searchsorted(doc, np.arange(n + 1)).tolist()
-    written = list(map(names.__getitem__, seen.tolist()))
+    written = list(map(known.names.__getitem__, seen.tolist()))
     groups = [";".join(written[at[i] : at[i + 1]]) for i in range(n)]
-    del written, names
-    totals = [np.bincount(doc, x[seen], n).astype(np.int64) for x in sums]
+    del written
+    totals = [np.bincount(doc, x[seen], n).astype(np.int64) for x in known.sums]
     # every (pair, document) of the block once, with its links
-    each = pair_size[seen]
-    place = joined_at(each, pair_at[seen])
-    both, where = np.unique(rank[place] * n + np.repeat(doc, each), return_inverse=True)
-    total = np.bincount(where, links[place], len(both)).astype(np.int64)
+    each = known.pair_size[seen]
+    place = joined_at(each, (np.cumsum(known.pair_size) - known.pair_size)[seen])
+    held = known.rank[place].astype(np.int64)
+    held *= n
+    held += np.repeat(doc, each)
+    both, where = np.unique(held, return_inverse=True)
+    total = np.bincount(where, known.links[place], len(both)).astype(np.int64)
+    del held, where
     place, doc = both // max(n, 1), both % max(n, 1)
-    docs_of = np.bincount(place, minlength=len(keys)).astype(np.int64)
-    packed = [squeeze_sorted(keys[docs_of > 0].astype(np.uint64)), squeeze(docs_of[docs_of > 0]), squeeze(doc.astype(np.int32)), squeeze(total)]
+    docs_of = np.bincount(place, minlength=len(known.keys)).astype(np.int64)
+    packed = [squeeze_sorted(known.keys[docs_of > 0].astype(np.uint64)), squeeze(docs_of[docs_of > 0]), squeeze(doc.astype(np.int32)), squeeze(total)]
     columns = [[block] * (n + 1), [*range(n), -1], [*batch.column("id").to_pylist(), None]]
     columns += [[*x.tolist(), None] for x in totals] + [[*groups, None]] + [[*[None] * n, x] for x in packed]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROWS, strict=True)], schema=_ROWS)
@@ -332,11 +382,11 @@ def _block(tokenizers: Tokenizers, batch: pa.RecordBatch, block: int) -> pa.Reco
 def _aligned(files):
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks share the cores already
-        tokenizers = Tokenizers(*files.value)
+        known = _Parts(Tokenizers(*files.value))
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for piece in slices(batch, limit=SLICE):
-                yield _block(tokenizers, piece, block)
+                yield _block(known, piece, block)
                 block += 1
 
     return tidy(run)

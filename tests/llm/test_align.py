@@ -2,8 +2,10 @@
 
 from collections import Counter, defaultdict
 from hashlib import sha256
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ratescape.llm import align, queries
@@ -129,6 +131,50 @@ def test_edge_cases(spark, tmp_path, tokenizers, monkeypatch, limits):
     assert by_query(spark, tmp_path, rows, schema) == sorted(expected(tokenizers, EDGES), key=str)
 
 
+def blocks_of(monkeypatch, texts):
+    """What one task returns for texts, unpacked, and the parts it has tokenized."""
+    tokenized = []
+    encode_parts = align.Tokenizers.encode_parts
+    monkeypatch.setattr(align.Tokenizers, "encode_parts", lambda self, parts, size: (tokenized.extend(parts), encode_parts(self, parts, size))[1])
+    monkeypatch.setattr(align, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    files = SimpleNamespace(value=tuple(open(f, "rb").read() for f in (align.BYTE_BPE, align.PIECE_BPE)))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
+    blocks = [b.to_pylist() for b in align._aligned(files)(iter([batch]))]
+    documents = [[r[c] for c in ("id", "n_a", "n_b", "n_groups", "n_links", "groups")] for rows in blocks for r in rows if r["at"] >= 0]
+    held = []
+    for rows in blocks:
+        keys, sizes = align.expand_sorted(rows[-1]["pairs"]), align.expand(rows[-1]["docs_of"], np.int64)
+        doc, links = align.expand(rows[-1]["doc"], np.int32), align.expand(rows[-1]["links"], np.int64)
+        held += [(rows[d]["id"], k, n) for k, d, n in zip(np.repeat(keys, sizes).tolist(), doc.tolist(), links.tolist(), strict=True)]
+    return len(blocks), documents, sorted(held), tokenized
+
+
+WORDS = [None, "", *(f"the word{i % 5}, of 漢字{i % 3} and\n the  \U0001f642 {'x' * (i % 7)} Lied{i}" for i in range(40)), None]
+
+
+def test_a_part_is_tokenized_once_in_all_slices_of_a_task(monkeypatch):
+    with monkeypatch.context() as m:
+        slices, documents, held, tokenized = blocks_of(m, WORDS)
+    assert slices == 1
+    monkeypatch.setattr(align, "SLICE", 200)
+    found = blocks_of(monkeypatch, WORDS)
+    assert found[0] > 5
+    assert found[1:3] == (documents, held)
+    assert sorted(found[3]) == sorted(set(tokenized))
+
+
+@pytest.mark.parametrize("known", [0, 4000])
+def test_forgotten_parts_are_tokenized_again_with_the_same_rows(monkeypatch, known):
+    with monkeypatch.context() as m:
+        _, documents, held, tokenized = blocks_of(m, WORDS)
+    monkeypatch.setattr(align, "SLICE", 200)
+    monkeypatch.setattr(align, "KNOWN", known)
+    monkeypatch.setattr(align, "AT_ONCE", 20)
+    found = blocks_of(monkeypatch, WORDS)
+    assert found[1:3] == (documents, held)
+    assert set(found[3]) == set(tokenized) and len(found[3]) > len(tokenized)
+
+
 def test_no_rows(spark, tmp_path):
     assert by_query(spark, tmp_path, []) == []
 
