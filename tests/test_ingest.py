@@ -5,7 +5,7 @@ from rate_docs import INLINE_DOC, REFERENCE_DOC, group, item, price, rate_doc, w
 from pyspark.errors import PySparkException
 
 from ratescape.functions.profiles import ABA
-from ratescape.operators.flatten import flatten_rates, missing_references, parse_counters
+from ratescape.operators.flatten import flatten_rates, missing_references, parse_counters, resolve_references
 from ratescape.schemas import RATE_TABLE
 from ratescape.session import scratch_path
 from ratescape.sources.elements import file_paths
@@ -162,6 +162,30 @@ def test_rates_go_through_one_join(spark, tmp_path):
     assert plan[: plan.index("Relation [")].count("Join") == 1  # the rates come first and meet items that have their header
 
 
+def test_files_left_out_go_before_rates_meet_their_items(spark, tmp_path):
+    write_json(tmp_path / "a.json", INLINE_DOC)
+    write_json(tmp_path / "b.json", REFERENCE_DOC)
+    entries = read_rate_files(spark, str(tmp_path), ABA).entries
+    out = entries.select("source_file_url").filter("source_file_url like '%/a.json'").distinct()
+    kept = entries.join(out, "source_file_url", "left_anti")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftAnti" not in plan[: plan.index("Relation [")]  # the rates come first
+    assert {r.source_file_url.rsplit("/", 1)[1] for r in kept.collect()} == {"b.json"}
+
+
+def test_inline_groups_do_not_go_through_the_reference_join(spark):
+    groups = "array<struct<npi:array<string>,tin:struct<type:string,value:string>>>"
+    one, two = [(["1"], ("ein", "x"))], [(["2"], ("ein", "y"))]
+    rows = [("f", 0, one, ["k", "k", None, "gone"]), ("f", 1, None, ["empty"]), ("f", 2, [], None), (None, 3, one, ["k"])]
+    entries = spark.createDataFrame(rows, f"source_file_url string, rate_ord int, provider_groups {groups}, provider_references array<string>")
+    references = spark.createDataFrame([("f", "k", two), ("f", "empty", None)], f"source_file_url string, ref_id string, ref_groups {groups}")
+    resolved = resolve_references(entries, references)
+    found = sorted((r.rate_ord, r.ref_id or "", None if r.groups is None else [g.npi for g in r.groups]) for r in resolved.collect())
+    assert found == [(0, "", [["1"]]), (0, "gone", None), (0, "k", [["2"]]), (0, "k", [["2"]]), (1, "empty", []), (3, "", [["1"]]), (3, "k", None)]
+    plan = resolved._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and plan.count("Join LeftOuter") == 1
+
+
 def test_files_with_errors_are_found_once(spark, tmp_path):
     cut = tmp_path / "cut.json"
     cut.write_text('{"reporting_entity_name": "x", "in_network": [')
