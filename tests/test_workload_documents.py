@@ -49,3 +49,10 @@ def test_documents_keep_every_line(spark, tables):
     prices = rates.selectExpr("source_file_url", "billing_code", "inline(negotiated_prices)")
     assert prices.filter("setting is null or billing_class is null").isEmpty()
     assert rates.filter("billing_code = '97153' and size(provider_references) = 1").count() == rates.filter("billing_code = '97153'").count() > 0
+
+
+def test_shuffles_of_documents_go_once_they_are_written(spark, tables, monkeypatch):
+    released = []
+    monkeypatch.setattr(fx, "release_shuffles", released.append)
+    fx.toc_docs(spark, tables)
+    assert released == [spark]
