@@ -8,6 +8,7 @@ import pytest
 from ratescape.functions.profiles import ABA
 from ratescape.sources.rate_files import read_rate_files
 from workload import fixtures as fx
+from workload import queries
 
 
 @pytest.fixture
@@ -51,6 +52,13 @@ def test_documents_keep_every_line(spark, tables):
     assert rates.filter("billing_code = '97153' and size(provider_references) = 1").count() == rates.filter("billing_code = '97153'").count() > 0
 
 
+def test_plans_are_added_up_before_listings_meet_their_headers(spark, tables):
+    read = queries.index_plans_roundtrip(spark, tables)
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan[plan.index("aggregate(") :]
+    assert read.filter("location = 'https://example.test/files/regional-1.json.gz'").selectExpr("sum(listings) = sum(plans) / 2").first()[0]
+
+
 def test_shuffles_of_documents_go_once_they_are_written(spark, tables, monkeypatch):
     released = []
     monkeypatch.setattr(fx, "release_shuffles", released.append)
